@@ -273,7 +273,7 @@ CHAMPION = """
   SELECT CASE WHEN m.challenger_mae < m.baseline_mae * (1 - 0.05) THEN 'CHALLENGER' ELSE 'BASELINE' END AS active_model,
          CASE WHEN m.challenger_mae < m.baseline_mae * (1 - 0.05) THEN p.challenger_run_id ELSE p.baseline_run_id END AS model_run_id,
          m.baseline_mae, m.challenger_mae
-  FROM eval_maes m, pivot p"""
+  FROM eval_maes m, role_piv p"""
 
 ACTIVE = """
   SELECT * FROM model_decisions ORDER BY decision_timestamp DESC, model_run_id DESC LIMIT 1"""
@@ -291,7 +291,7 @@ SEVERE = """
 ROLLBACK = """
   SELECT s.evaluation_timestamp, s.severe_drift, p.baseline_run_id, p.baseline_mae, p.challenger_mae,
          COALESCE(s.severe_drift AND p.challenger_mae > p.baseline_mae * 1.05, false) AS rollback_required
-  FROM severe s, pivot p"""
+  FROM severe s, role_piv p"""
 
 LATEST_BATCH = "SELECT * FROM drift_batches WHERE evaluation_timestamp = (SELECT max(evaluation_timestamp) FROM drift_batches)"
 
@@ -505,7 +505,7 @@ def _oracles() -> dict[str, str]:
         "SELECT a.*, r.start_time, r.env, r.model_role, r.mae FROM active a LEFT JOIN model_runs r ON a.model_run_id = r.run_id",
     )
     q["decision_history"] = with_(dec, "SELECT * FROM model_decisions ORDER BY decision_timestamp DESC")
-    champ = g + runs + [("eval_maes", EVAL_MAES), ("per_role", DEV_PER_ROLE), ("pivot", ROLE_PIVOT), ("champ", CHAMPION)]
+    champ = g + runs + [("eval_maes", EVAL_MAES), ("per_role", DEV_PER_ROLE), ("role_piv", ROLE_PIVOT), ("champ", CHAMPION)]
     q["champion_decision"] = with_(
         champ, "SELECT active_model, model_run_id, round(baseline_mae, 6) AS baseline_mae, round(challenger_mae, 6) AS challenger_mae FROM champ"
     )
@@ -531,7 +531,7 @@ def _oracles() -> dict[str, str]:
               ELSE 'OK' END AS status,
          {_ts(P.EVAL_TS)} AS evaluation_timestamp
   FROM am""")
-    rb = drift + runs + [("severe", SEVERE), ("per_role", DEV_PER_ROLE), ("pivot", ROLE_PIVOT), ("rb", ROLLBACK)]
+    rb = drift + runs + [("severe", SEVERE), ("per_role", DEV_PER_ROLE), ("role_piv", ROLE_PIVOT), ("rb", ROLLBACK)]
     q["rollback_decision"] = with_(rb, """
   SELECT evaluation_timestamp, severe_drift, round(baseline_mae, 6) AS baseline_mae,
          round(challenger_mae, 6) AS challenger_mae, rollback_required FROM rb""")
