@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake import config
@@ -105,30 +105,32 @@ def histogram_sides(
     features: Sequence[str] = config.DRIFT_FEATURES,
     bins: int = config.PSI_BINS,
 ) -> DataFrame:
-    """Histogram from a side-tagged sample (see ``drift_sides``)."""
+    """Histogram from a side-tagged sample (see ``drift_sides``).
+
+    Two passes over the sample: the reference min/max (edges), then one
+    binning aggregate.  Empty cells come from a constant (feature, bin)
+    grid unioned into that aggregate, and side totals (which include values
+    outside [lo, hi], the NULL bin) are a window over its tiny output."""
     edges = bin_edges(sides.filter(F.col("side") == "ref"), features, bins)
     pairs = ", ".join(f"'{f}', CAST(`{f}` AS DOUBLE)" for f in features)
     both = sides.selectExpr("side", f"stack({len(features)}, {pairs}) AS (feature, value)")
     binned = both.join(F.broadcast(edges), "feature").select(
-        "feature", "side", bin_index(F.col("value"), F.col("lo"), F.col("hi"), F.col("width"), bins).alias("bin")
+        "feature",
+        bin_index(F.col("value"), F.col("lo"), F.col("hi"), F.col("width"), bins).alias("bin"),
+        (F.col("side") == "ref").cast("long").alias("is_ref"),
+        (F.col("side") == "cur").cast("long").alias("is_cur"),
     )
-    counts = binned.groupBy("feature", "bin").agg(
-        F.count_if(F.col("side") == "ref").alias("n_ref"),
-        F.count_if(F.col("side") == "cur").alias("n_cur"),
+    grid = sides.sparkSession.createDataFrame(
+        [(f, b, 0, 0) for f in features for b in range(bins)], "feature string, bin int, is_ref long, is_cur long"
     )
-    totals = counts.groupBy("feature").agg(F.sum("n_ref").alias("ref_total"), F.sum("n_cur").alias("cur_total"))
-    grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    h = (
-        grid.join(counts.filter(F.col("bin").isNotNull()), ["feature", "bin"], "left")
-        .join(totals, "feature", "left")
-        .select(
-            "feature", "bin",
-            F.coalesce("n_ref", F.lit(0)).alias("n_ref"),
-            F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
-            F.coalesce("ref_total", F.lit(0)).alias("ref_total"),
-            F.coalesce("cur_total", F.lit(0)).alias("cur_total"),
-        )
+    counts = binned.unionByName(grid).groupBy("feature", "bin").agg(
+        F.sum("is_ref").alias("n_ref"), F.sum("is_cur").alias("n_cur")
     )
+    per_feature = Window.partitionBy("feature")
+    h = counts.withColumns({
+        "ref_total": F.sum("n_ref").over(per_feature),
+        "cur_total": F.sum("n_cur").over(per_feature),
+    }).filter(F.col("bin").isNotNull())
     return h.select(
         "feature", "bin", "n_ref", "n_cur",
         F.try_divide(F.col("n_ref").cast("double"), F.col("ref_total")).alias("ref_share"),

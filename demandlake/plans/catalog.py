@@ -41,6 +41,13 @@ def _gold(spark, sf) -> DataFrame:
     return gold.build_features(_silver(spark, sf))
 
 
+def _gold_table(spark, sf) -> DataFrame:
+    """The gold layer written once to the shared folder and read back: the
+    downstream steps (slices, models, drift) scan the table, as they would
+    in production, instead of re-running the bronze -> gold lineage."""
+    return io.materialize(_gold(spark, sf), storage.scratch_path(spark, "gold_sales_features"))
+
+
 def _int_keys(spark, sf) -> DataFrame:
     li = fx.table(spark, sf, "lineitem")
     return li.select(
@@ -68,12 +75,12 @@ def _fixed_scores(df: DataFrame) -> DataFrame:
 
 def _eval_maes(spark, sf) -> DataFrame:
     """Last-30-day MAEs of the two constant scorers (one row)."""
-    ev = _complete_features(slices.since(_gold(spark, sf), config.EVAL_DAYS))
+    ev = _complete_features(slices.since(_gold_table(spark, sf), config.EVAL_DAYS))
     return models.mae_by(_fixed_scores(ev), {"baseline_mae": "pred_baseline", "challenger_mae": "pred_challenger"})
 
 
 def _train_matrix(spark, sf) -> DataFrame:
-    train, _ = slices.split_holdout(_gold(spark, sf))
+    train, _ = slices.split_holdout(_gold_table(spark, sf))
     return models.feature_matrix(train)
 
 
@@ -177,17 +184,17 @@ def gold_projection(spark, sf):
 # ------------------------------------------------------------- slices
 
 def train_test_counts(spark, sf):
-    return slices.split_counts(_gold(spark, sf))
+    return slices.split_counts(_gold_table(spark, sf))
 
 
 def eval_window(spark, sf):
-    g = _gold(spark, sf)
+    g = _gold_table(spark, sf)
     ev = slices.since(g, config.EVAL_DAYS).select(*config.GOLD_COLUMNS).dropna(how="any")
     return slices.require_rows(ev)
 
 
 def latest_date_slice(spark, sf):
-    return slices.latest_slice(_gold(spark, sf))
+    return slices.latest_slice(_gold_table(spark, sf))
 
 
 def latest_batch_slice(spark, sf):
@@ -239,7 +246,7 @@ def layer_checks(spark, sf):
 # ------------------------------------------------------------- models
 
 def fixed_linear_scores(spark, sf):
-    latest = slices.latest_slice(_gold(spark, sf))
+    latest = slices.latest_slice(_gold_table(spark, sf))
     rows = latest.select("date", "store", "item", *config.FEATURES).dropna(how="any")
     return rows.select(
         "*",
@@ -251,7 +258,7 @@ def fixed_linear_scores(spark, sf):
 
 
 def forecast_mae_rmse(spark, sf):
-    _, test = slices.split_holdout(_gold(spark, sf))
+    _, test = slices.split_holdout(_gold_table(spark, sf))
     scored = _complete_features(test).withColumn(
         "predicted_sales", C.linear_score(P.BASELINE_COEF, P.BASELINE_INTERCEPT)
     )
@@ -291,7 +298,7 @@ def forest_invariants(spark, sf):
 
 
 def holdout_metrics(spark, sf):
-    train, test = slices.split_holdout(_gold(spark, sf))
+    train, test = slices.split_holdout(_gold_table(spark, sf))
     model = models.fit_baseline(models.feature_matrix(train))
     scored = models.score(model, models.feature_matrix(test))
     return models.error_metrics(scored).select(F.lit(config.BASELINE).alias("model_role"), "*")
@@ -305,7 +312,7 @@ def model_comparison(spark, sf):
 # ------------------------------------------------------------- drift
 
 def _sides(spark, sf):
-    return monitoring.drift_sides(_gold(spark, sf))
+    return monitoring.drift_sides(_gold_table(spark, sf))
 
 
 def feature_histogram(spark, sf):
@@ -313,13 +320,13 @@ def feature_histogram(spark, sf):
 
 
 def feature_psi(spark, sf):
-    p = monitoring.feature_psi(_gold(spark, sf))
+    p = monitoring.feature_psi(_gold_table(spark, sf))
     return p.select("feature", _r("psi"))
 
 
 def drift_metrics(spark, sf):
     path = storage.scratch_path(spark, "feature_drift_metrics")
-    d = monitoring.drift_metrics(_gold(spark, sf), P.ts(P.EVAL_TS))
+    d = monitoring.drift_metrics(_gold_table(spark, sf), P.ts(P.EVAL_TS))
     io.write_table(d, path, "append")
     return io.read_back(spark, path).select("feature", _r("psi"), "evaluation_timestamp")
 
@@ -345,7 +352,7 @@ def alerts_published(spark, sf):
 # ---------------------------------------------------------- registry
 
 def run_roundtrip(spark, sf):
-    train, test = slices.split_holdout(_gold(spark, sf))
+    train, test = slices.split_holdout(_gold_table(spark, sf))
     model = models.fit_baseline(models.feature_matrix(train))
     test_m = models.feature_matrix(test).persist()
     metrics = models.error_metrics(models.score(model, test_m)).first()

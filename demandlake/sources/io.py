@@ -94,3 +94,13 @@ def control_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructTyp
 def append_if_any(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append a batch; an empty batch writes no files (no-op)."""
     df.write.format(fmt).mode("append").save(path)
+
+
+def materialize(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Write a layer once to the shared folder and read it back.
+
+    Later passes scan the written table (column pruning, predicate
+    pushdown, no recomputation of the lineage), and a lost executor only
+    costs re-reading files, never re-running the upstream shuffles."""
+    df.write.format(fmt).mode("overwrite").save(path)
+    return df.sparkSession.read.format(fmt).load(path)
