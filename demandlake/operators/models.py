@@ -25,13 +25,14 @@ FOREST = "RandomForestRegressor"
 def feature_matrix(
     df: DataFrame,
     features: Sequence[str] = config.FEATURES,
-    label: str = config.TARGET,
+    label: str | None = config.TARGET,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rows complete in every feature and the label, plus a ``features``
-    vector column.  ``keep`` carries extra columns (keys) through."""
-    cols = [*keep, *features, label]
-    complete = df.select(*cols).dropna(how="any", subset=[*features, label])
+    vector column.  ``keep`` carries extra columns (keys) through;
+    ``label=None`` builds a scoring matrix without a label."""
+    needed = [*features, *([label] if label else [])]
+    complete = df.select(*keep, *needed).dropna(how="any", subset=[*keep, *needed])
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(complete)
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,7 +46,7 @@ def record_run(
     model.write().overwrite().save(path)
     row = (
         run_id,
-        start_time or datetime.utcnow(),
+        start_time or datetime.now(timezone.utc).replace(tzinfo=None),
         env,
         role,
         models.model_type(model),
