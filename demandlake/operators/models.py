@@ -36,6 +36,17 @@ def feature_matrix(
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(complete)
 
 
+def spread(matrix: DataFrame) -> DataFrame:
+    """At least one partition per core for iterative training.
+
+    A training set read from a few small files arrives as one or two
+    partitions; the forest's level-by-level passes would then run on one
+    core.  Large inputs already have more partitions than cores and are
+    left as they are (no extra shuffle)."""
+    cores = matrix.sparkSession.sparkContext.defaultParallelism
+    return matrix.repartition(cores) if matrix.rdd.getNumPartitions() < cores else matrix
+
+
 def fit_baseline(matrix: DataFrame, label: str = config.TARGET) -> LinearRegressionModel:
     """Ordinary least squares with intercept and no penalty.
 
@@ -63,7 +74,11 @@ def fit_challenger(
         numTrees=num_trees, maxDepth=max_depth, seed=seed, maxBins=max_bins,
         featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
     )
-    return rf.fit(matrix)
+    data = spread(matrix).persist()
+    try:
+        return rf.fit(data)
+    finally:
+        data.unpersist()
 
 
 def model_type(model: Model) -> str:

@@ -286,13 +286,13 @@ def feature_matrix_stats(spark, sf):
 
 
 def ols_normal_equations(spark, sf):
-    m = _train_matrix(spark, sf).persist()
+    m = models.spread(_train_matrix(spark, sf)).persist()
     model = models.fit_baseline(m)
     return models.normal_equation_check(model, m)
 
 
 def forest_invariants(spark, sf):
-    m = _train_matrix(spark, sf).persist()
+    m = models.spread(_train_matrix(spark, sf)).persist()
     model = models.fit_challenger(m, num_trees=100, max_depth=10, seed=42)
     return models.forest_check(model, m)
 

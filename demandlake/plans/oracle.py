@@ -72,7 +72,7 @@ MODEL_DECISIONS = """
          CONCAT('run_', CAST(o_orderkey AS VARCHAR)) AS model_run_id,
          CAST(NULL AS VARCHAR) AS reason,
          o_orderdate AS decision_timestamp
-  FROM orders WHERE o_orderpriority LIKE '1%'"""
+  FROM orders"""
 
 DRIFT_BATCHES = """
   SELECT CASE event_type WHEN 'view' THEN 'is_promo' WHEN 'click' THEN 'discount_pct'
