@@ -1,21 +1,21 @@
 """Session helper for tests, the bench and local runs.
 
 A cluster job should use the session it is given; this helper only
-builds a local one.  It sets ``spark.checkpoint.dir`` only when the
-environment has not named one.
+builds a local one.  The shared folder stays whatever the environment
+names in ``spark.checkpoint.dir``; only when none is named does a local
+session get a folder of its own (see ``sources.storage``).
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
+from demandlake.sources import storage
+
 
 def get_session(app: str = "demandlake", cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
-    conf = SparkConf()
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -29,8 +29,7 @@ def get_session(app: str = "demandlake", cores: str | int = "*", shuffle_partiti
         .config("spark.driver.memory", os.environ.get("DEMANDLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if not conf.get("spark.checkpoint.dir", None):
-        b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="demandlake-ckpt-"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    storage.shared_root(spark)  # the environment's spark.checkpoint.dir, or a local folder if none is named
     return spark
