@@ -77,8 +77,9 @@ def drift_sides(
     current_days: int = config.DRIFT_CURRENT_DAYS,
 ) -> DataFrame:
     """Both windows from ONE scan: (side, features...), side 'ref' or 'cur'."""
-    ref_cut = slices.cutoff(gold, reference_days)
-    cur_cut = slices.cutoff(gold, current_days)
+    mx = slices.max_of(gold)  # one scalar subquery serves both cutoffs
+    ref_cut = F.date_sub(mx, reference_days)
+    cur_cut = F.date_sub(mx, current_days)
     side = F.when(F.col("date") < ref_cut, "ref").when(F.col("date") >= cur_cut, "cur")
     return (
         gold.select(side.alias("side"), *features)

@@ -102,10 +102,15 @@ def active_decision(decisions: DataFrame) -> DataFrame:
 
 
 def active_run(decisions: DataFrame, runs: DataFrame) -> DataFrame:
-    """Pointer -> run lookup.  The pointer side is one row (a top-1), so the
-    broadcast is bounded by construction."""
+    """Pointer -> run lookup without moving the run table.
+
+    The run table is filtered by the pointer's run id (a scalar subquery
+    that reaches the scan as a data filter), so only matching runs leave
+    the scan; the final left join is between that match and the one-row
+    pointer, both bounded."""
     ptr = active_decision(decisions)
-    return F.broadcast(ptr).join(runs, ptr.model_run_id == runs.run_id, "left").drop("run_id")
+    match = runs.filter(F.col("run_id") == ptr.select("model_run_id").scalar())
+    return ptr.join(match, ptr.model_run_id == match.run_id, "left").drop("run_id")
 
 
 def champion(maes: DataFrame, per_role: DataFrame, margin: float = config.CHAMPION_MARGIN) -> DataFrame:

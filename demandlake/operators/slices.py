@@ -37,7 +37,8 @@ def since(df: DataFrame, days: int, c: str = "date") -> DataFrame:
 
 def split_holdout(df: DataFrame, days: int = config.HOLDOUT_DAYS, c: str = "date") -> tuple[DataFrame, DataFrame]:
     """Time-based holdout: (train before max-days, test on/after max-days)."""
-    return before(df, days, c), since(df, days, c)
+    cut = cutoff(df, days, c)
+    return df.filter(F.col(c) < cut), df.filter(F.col(c) >= cut)
 
 
 def split_counts(df: DataFrame, days: int = config.HOLDOUT_DAYS, c: str = "date") -> DataFrame:
