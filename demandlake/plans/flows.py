@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from demandlake import config
 from demandlake.operators import alerts, bronze, gold, models, monitoring, registry, silver, slices
-from demandlake.sources import io, schemas
+from demandlake.sources import io, schemas, storage
 
 TABLES = (
     "bronze_sales", "silver_sales", "gold_sales_features", "gold_sales_forecast", "model_runs",
@@ -62,6 +62,61 @@ def refresh_silver(lake: Lake, as_of: Column | None = None) -> None:
     io.write_table(silver.build_silver(b, as_of), lake.path("silver_sales"), "overwrite", lake.fmt)
 
 
+def refresh_silver_incremental(
+    lake: Lake,
+    as_of: "datetime.date | None" = None,
+    tie_breakers=(),
+) -> None:
+    """Incremental silver maintenance with the same result as a full rebuild.
+
+    Silver is partitioned by ``date``; a small ``silver_state`` table keeps
+    the newest load already merged (``bronze_watermark``) and the previous
+    ``as_of``.  A run reads only bronze rows loaded after the watermark,
+    plus rows whose date has entered the future-tolerance window since the
+    previous run (both are scan filters, so old row groups are skipped),
+    cleans them, merges them with the current winners of the dates they
+    touch (a semi-join that prunes silver partitions), stages the merged
+    partitions in the shared folder and overwrites only those partitions.
+    Requirements: load stamps increase and ``as_of`` never moves back.
+    """
+    import datetime
+
+    spark = lake.spark
+    as_of = as_of or datetime.date.today()
+    as_of_col = F.lit(as_of)
+    order = [F.col("ingestion_timestamp").desc(), *tie_breakers]
+    bronze_df = lake.read("bronze_sales", merge_schema=True)
+    silver_path, state_path = lake.path("silver_sales"), lake.path("silver_state")
+    if not lake.exists("silver_state"):
+        merged, new = silver.latest_per_key(silver.clean(bronze_df, as_of_col), config.KEYS, order), bronze_df
+        merged.write.format(lake.fmt).mode("overwrite").partitionBy("date").save(silver_path)
+        prev_wm = None
+    else:
+        st = io.read_back(spark, state_path).orderBy(F.col("as_of").desc(), F.col("bronze_watermark").desc()).first()
+        prev_wm, prev_as_of = st["bronze_watermark"], st["as_of"]
+        if as_of < prev_as_of:
+            raise ValueError(f"as_of {as_of} is before the previous refresh's {prev_as_of}")
+        entering = (F.col("date") > F.date_add(F.lit(prev_as_of), config.FUTURE_TOLERANCE_DAYS)) & (
+            F.col("date") <= F.date_add(as_of_col, config.FUTURE_TOLERANCE_DAYS)
+        )
+        loaded = F.col("ingestion_timestamp") > F.lit(prev_wm) if prev_wm is not None else F.lit(True)
+        new = bronze_df.filter(loaded | entering)
+        cand = silver.clean(new, as_of_col)
+        current = lake.read("silver_sales")
+        old = current.join(cand.select("date").distinct(), "date", "left_semi")
+        merged = silver.latest_per_key(old.unionByName(cand, allowMissingColumns=True), config.KEYS, order)
+        staged = io.materialize(merged.select(*current.columns), storage.scratch_path(spark, "silver_staged"))
+        (
+            staged.write.format(lake.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date").save(silver_path)
+        )
+    wm = new.agg(F.max("ingestion_timestamp").alias("m")).first()["m"]
+    if prev_wm is not None and (wm is None or wm < prev_wm):
+        wm = prev_wm
+    state = spark.createDataFrame([(wm, as_of)], "bronze_watermark timestamp, as_of date")
+    io.write_table(state, state_path, "append", lake.fmt)
+
+
 def refresh_gold(lake: Lake) -> None:
     io.write_table(gold.build_features(lake.read("silver_sales")), lake.path("gold_sales_features"), "overwrite", lake.fmt)
 
@@ -113,10 +168,18 @@ def forecast(lake: Lake, env: str = "DEV", selector: str = "latest", ts: Column
 
 
 def training_flow(spark: SparkSession, root: str, raw_path: str, env: str = "DEV", as_of: Column | None = None,
-                  forest: dict | None = None) -> dict:
+                  forest: dict | None = None, incremental_as_of=None) -> dict:
+    """Raw CSV -> bronze -> silver -> gold -> baseline + challenger -> forecast.
+
+    ``incremental_as_of`` (a date) switches silver maintenance to
+    ``refresh_silver_incremental``: only new loads are deduplicated instead
+    of the whole bronze history."""
     lake = Lake(spark, root)
     ingest_raw(lake, raw_path)
-    refresh_silver(lake, as_of)
+    if incremental_as_of is not None:
+        refresh_silver_incremental(lake, incremental_as_of)
+    else:
+        refresh_silver(lake, as_of)
     refresh_gold(lake)
     base = train(lake, config.BASELINE, env)
     chal = train(lake, config.CHALLENGER, env, forest)
