@@ -257,6 +257,33 @@ def fixed_linear_scores(spark, sf):
     )
 
 
+def forecast_checks(spark, sf):
+    """Two forecast batches (two scorers, two stamps) appended to a forecast
+    table; then rows, distinct run ids and the prediction-time range."""
+    path = storage.scratch_path(spark, "gold_sales_forecast")
+    latest = slices.latest_slice(_gold_table(spark, sf))
+    rows = latest.select("date", "store", "item", *config.FEATURES).dropna(how="any")
+    for coef, icpt, run, role, stamp in (
+        (P.BASELINE_COEF, P.BASELINE_INTERCEPT, P.FIXED_BASELINE_RUN, config.BASELINE, P.EVAL_TS),
+        (P.CHALLENGER_COEF, P.CHALLENGER_INTERCEPT, P.FIXED_CHALLENGER_RUN, config.CHALLENGER, P.EVAL_TS_2),
+    ):
+        batch = rows.select(
+            "*",
+            C.linear_score(coef, icpt).alias("predicted_sales"),
+            F.lit(run).alias("model_run_id"),
+            F.lit(role).alias("model_role"),
+            P.ts(stamp).alias("prediction_timestamp"),
+        )
+        io.write_table(batch, path, "append")
+    fc = io.read_back(spark, path)
+    return fc.agg(
+        F.count(F.lit(1)).alias("forecast_rows"),
+        F.count_distinct("model_run_id").alias("model_versions"),
+        F.min("prediction_timestamp").alias("min_prediction_timestamp"),
+        F.max("prediction_timestamp").alias("max_prediction_timestamp"),
+    )
+
+
 def forecast_mae_rmse(spark, sf):
     _, test = slices.split_holdout(_gold_table(spark, sf))
     scored = _complete_features(test).withColumn(
@@ -517,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "max_date": max_date,
     "layer_checks": layer_checks,
     "fixed_linear_scores": fixed_linear_scores,
+    "forecast_checks": forecast_checks,
     "forecast_mae_rmse": forecast_mae_rmse,
     "feature_matrix_stats": feature_matrix_stats,
     "ols_normal_equations": ols_normal_equations,

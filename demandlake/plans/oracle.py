@@ -457,6 +457,17 @@ def _oracles() -> dict[str, str]:
          {base_lin} AS predicted_sales,
          '{P.FIXED_BASELINE_RUN}' AS model_run_id, 'BASELINE' AS model_role, {_ts(P.EVAL_TS)} AS prediction_timestamp
   FROM gold WHERE date = {MAX_DATE} AND {NOT_NULL_FEATS}""")
+    chal_lin = _lin(P.CHALLENGER_COEF, P.CHALLENGER_INTERCEPT)
+    q["forecast_checks"] = with_(g + [
+        ("latest", f"SELECT * FROM gold WHERE date = {MAX_DATE} AND {NOT_NULL_FEATS}"),
+        ("fc", f"""
+  SELECT {base_lin} AS predicted_sales, '{P.FIXED_BASELINE_RUN}' AS model_run_id, {_ts(P.EVAL_TS)} AS prediction_timestamp FROM latest
+  UNION ALL
+  SELECT {chal_lin} AS predicted_sales, '{P.FIXED_CHALLENGER_RUN}' AS model_run_id, {_ts(P.EVAL_TS_2)} AS prediction_timestamp FROM latest"""),
+    ], """
+  SELECT count(*) AS forecast_rows, count(DISTINCT model_run_id) AS model_versions,
+         min(prediction_timestamp) AS min_prediction_timestamp, max(prediction_timestamp) AS max_prediction_timestamp
+  FROM fc""")
     q["forecast_mae_rmse"] = with_(g, f"""
   SELECT count(*) AS n_rows,
          round(avg(abs(CAST(sales AS DOUBLE) - p)), 6) AS mae,

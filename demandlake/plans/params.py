@@ -10,6 +10,7 @@ AS_OF = "2001-06-29"
 LOAD_TS = "2001-07-01 00:00:00"
 LOAD_TS_2 = "2001-07-02 00:00:00"
 EVAL_TS = "2001-07-03 00:00:00"
+EVAL_TS_2 = "2001-07-04 00:00:00"
 ENV = "DEV"
 
 # Two linear scorers given as constants (intercept first, then one
@@ -42,6 +43,7 @@ CHALLENGER_COEF = {
 }
 
 FIXED_BASELINE_RUN = "run_fixed_baseline"
+FIXED_CHALLENGER_RUN = "run_fixed_challenger"
 
 
 def ts(value: str) -> Column:
