@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandlake import config
@@ -88,12 +88,13 @@ def refresh_silver_incremental(
     bronze_df = lake.read("bronze_sales", merge_schema=True)
     silver_path, state_path = lake.path("silver_sales"), lake.path("silver_state")
     if not lake.exists("silver_state"):
-        merged, new = silver.latest_per_key(silver.clean(bronze_df, as_of_col), config.KEYS, order), bronze_df
+        cand = silver.clean(bronze_df, as_of_col)
+        merged, new = silver.latest_per_key(cand, config.KEYS, order), bronze_df
         merged.write.format(lake.fmt).mode("overwrite").partitionBy("date").save(silver_path)
-        prev_wm = None
+        prev_wm, refresh_id = None, 1
     else:
-        st = io.read_back(spark, state_path).orderBy(F.col("as_of").desc(), F.col("bronze_watermark").desc()).first()
-        prev_wm, prev_as_of = st["bronze_watermark"], st["as_of"]
+        st = io.read_back(spark, state_path).orderBy(F.col("refresh_id").desc()).first()
+        prev_wm, prev_as_of, refresh_id = st["bronze_watermark"], st["as_of"], st["refresh_id"] + 1
         if as_of < prev_as_of:
             raise ValueError(f"as_of {as_of} is before the previous refresh's {prev_as_of}")
         entering = (F.col("date") > F.date_add(F.lit(prev_as_of), config.FUTURE_TOLERANCE_DAYS)) & (
@@ -110,13 +111,75 @@ def refresh_silver_incremental(
             staged.write.format(lake.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("date").save(silver_path)
         )
+    # Changed series and their first changed date (<= one row per series),
+    # consumed by refresh_gold_incremental.
+    changes = cand.groupBy(*config.SERIES).agg(F.min("date").alias("from_date"))
+    io.write_table(changes.withColumn("refresh_id", F.lit(refresh_id)), lake.path("silver_changes"), "append", lake.fmt)
     wm = new.agg(F.max("ingestion_timestamp").alias("m")).first()["m"]
     if prev_wm is not None and (wm is None or wm < prev_wm):
         wm = prev_wm
-    state = spark.createDataFrame([(wm, as_of)], "bronze_watermark timestamp, as_of date")
+    state = spark.createDataFrame([(refresh_id, wm, as_of)], "refresh_id long, bronze_watermark timestamp, as_of date")
     io.write_table(state, state_path, "append", lake.fmt)
 
 
+def refresh_gold_incremental(lake: Lake) -> None:
+    """Recompute gold only where silver changed, with the same result as a
+    full ``gold.build_features`` over silver.
+
+    For each changed series, rows from its first changed date onward are
+    recomputed together with a halo of the 28 rows before it (lags and
+    trailing means look back at most 28 rows); the halo is a top-28 per
+    series, so Spark limits it per task before the shuffle.  Touched date
+    partitions are rewritten with the recomputed rows plus the unchanged
+    rows of other series, staged in the shared folder first.  Keys never
+    leave silver, so no partition ever needs deleting.
+    """
+    spark = lake.spark
+    gold_path, state_path = lake.path("gold_sales_features"), lake.path("gold_state")
+    sil = lake.read("silver_sales")
+    changes_all = lake.read("silver_changes")
+    last = changes_all.agg(F.max("refresh_id").alias("m")).first()["m"]
+    if not lake.exists("gold_state"):
+        gold.build_features(sil).write.format(lake.fmt).mode("overwrite").partitionBy("date").save(gold_path)
+    else:
+        done = io.read_back(spark, state_path).agg(F.max("refresh_id").alias("m")).first()["m"]
+        ch = (
+            changes_all.filter(F.col("refresh_id") > F.lit(done))
+            .groupBy(*config.SERIES).agg(F.min("from_date").alias("from_date"))
+        )
+        if ch.isEmpty():
+            return
+        halo_n = max(config.LAGS + config.ROLLING)
+        sj = sil.join(ch, list(config.SERIES))
+        w_back = Window.partitionBy(*config.SERIES).orderBy(F.col("date").desc())
+        halo = (
+            sj.filter(F.col("date") < F.col("from_date"))
+            .withColumn("_rn", F.row_number().over(w_back))
+            .filter(F.col("_rn") <= halo_n)
+            .drop("_rn")
+        )
+        tail = sj.filter(F.col("date") >= F.col("from_date"))
+        rows = halo.unionByName(tail)  # keeps each series' from_date
+        fresh = (
+            gold.rolling_means(gold.lag_features(gold.calendar_features(rows)))
+            .filter(F.col("date") >= F.col("from_date"))
+            .select(*config.GOLD_COLUMNS)
+        )
+        lo = ch.agg(F.min("from_date")).scalar()
+        old = lake.read("gold_sales_features").filter(F.col("date") >= lo)
+        kept = (
+            old.join(ch, list(config.SERIES), "left")
+            .filter(F.col("from_date").isNull() | (F.col("date") < F.col("from_date")))
+            .select(*config.GOLD_COLUMNS)
+        )
+        staged = io.materialize(kept.unionByName(fresh), storage.scratch_path(spark, "gold_staged"))
+        (
+            staged.write.format(lake.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date").save(gold_path)
+        )
+    io.write_table(spark.createDataFrame([(last,)], "refresh_id long"), state_path, "append", lake.fmt)
+
+
 def refresh_gold(lake: Lake) -> None:
     io.write_table(gold.build_features(lake.read("silver_sales")), lake.path("gold_sales_features"), "overwrite", lake.fmt)
 
@@ -171,16 +234,18 @@ def training_flow(spark: SparkSession, root: str, raw_path: str, env: str = "DEV
                   forest: dict | None = None, incremental_as_of=None) -> dict:
     """Raw CSV -> bronze -> silver -> gold -> baseline + challenger -> forecast.
 
-    ``incremental_as_of`` (a date) switches silver maintenance to
-    ``refresh_silver_incremental``: only new loads are deduplicated instead
-    of the whole bronze history."""
+    ``incremental_as_of`` (a date) switches layer maintenance to
+    ``refresh_silver_incremental`` + ``refresh_gold_incremental``: only new
+    loads are deduplicated, and only the changed tail of each changed series
+    is re-featured, instead of the whole history."""
     lake = Lake(spark, root)
     ingest_raw(lake, raw_path)
     if incremental_as_of is not None:
         refresh_silver_incremental(lake, incremental_as_of)
+        refresh_gold_incremental(lake)
     else:
         refresh_silver(lake, as_of)
-    refresh_gold(lake)
+        refresh_gold(lake)
     base = train(lake, config.BASELINE, env)
     chal = train(lake, config.CHALLENGER, env, forest)
     forecast(lake, env)

@@ -101,3 +101,34 @@ def test_incremental_silver_equals_full_rebuild(spark):
     inc = lake.read("silver_sales").select(*full.columns)
     assert inc.count() == full.count()
     assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
+
+
+def test_incremental_gold_equals_full_rebuild(spark):
+    import random
+
+    from demandlake.operators import gold
+    from demandlake.sources import io
+
+    rnd = random.Random(11)
+    lake = flows.Lake(spark, storage.scratch_path(spark, "lake_gold_inc"))
+    d0 = dt.date(2020, 1, 1)
+    schema = ("date date, store string, item string, sales int, ingestion_timestamp timestamp, "
+              "is_promo int, discount_pct double")
+    stamp = dt.datetime(2020, 1, 1)
+    as_of = d0 + dt.timedelta(40)
+    for load in range(4):
+        rows = []
+        # mostly recent days, some late corrections deep in the past
+        for _ in range(120 if load == 0 else 25):
+            stamp += dt.timedelta(minutes=1)
+            back = rnd.randint(0, 40) if load == 0 or rnd.random() < 0.2 else rnd.randint(0, 3)
+            rows.append((as_of - dt.timedelta(back), rnd.choice(["a", "b", "c"]), rnd.choice(["x", "y"]),
+                         rnd.randint(0, 30), stamp, rnd.choice([0, 1]), rnd.choice([0.0, 0.05])))
+        io.write_table(spark.createDataFrame(rows, schema), lake.path("bronze_sales"), "append")
+        flows.refresh_silver_incremental(lake, as_of)
+        flows.refresh_gold_incremental(lake)
+        as_of += dt.timedelta(3)
+    full = gold.build_features(lake.read("silver_sales"))
+    inc = lake.read("gold_sales_features").select(*full.columns)
+    assert inc.count() == full.count() > 0
+    assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
