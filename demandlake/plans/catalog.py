@@ -30,6 +30,13 @@ def _r(c, name: str | None = None, digits: int = 6):
     return col.alias(name or (c if isinstance(c, str) else None))
 
 
+def _wall_clock(df: DataFrame, *cols: str) -> DataFrame:
+    """Contract timestamps (session-zone TIMESTAMP) back to zone-free
+    wall-clock values: the round trip through one session zone is exact,
+    so results do not depend on the zone of the process that collects."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
 # ---------------------------------------------------------------- inputs
 
 def _silver(spark, sf) -> DataFrame:
@@ -373,7 +380,7 @@ def severe_drift(spark, sf):
 def alerts_published(spark, sf):
     path = storage.scratch_path(spark, "ml_alerts")
     a = alerts.drift_alerts(_latest_batch(spark, sf), P.ts(P.EVAL_TS))
-    return alerts.publish_alerts(spark, a, path)
+    return _wall_clock(alerts.publish_alerts(spark, a, path), "alert_timestamp")
 
 
 # ---------------------------------------------------------- registry
@@ -433,7 +440,7 @@ def decision_written(spark, sf):
     path = storage.scratch_path(spark, "model_decisions")
     io.write_table(schemas.conform(fx.model_decisions(spark, sf), schemas.MODEL_DECISIONS), path, "overwrite")
     rows = registry.decision_rows(_champion(spark, sf), ts=P.ts(P.EVAL_TS))
-    return registry.append_decisions(spark, rows, path)
+    return _wall_clock(registry.append_decisions(spark, rows, path), "decision_timestamp")
 
 
 def _active_maes(spark, sf) -> DataFrame:
@@ -465,7 +472,8 @@ def performance_row(spark, sf):
     io.write_table(schemas.conform(row, schemas.PERFORMANCE), path, "append")
     back = io.read_back(spark, path)
     return back.select(
-        "active_model", _r("baseline_mae"), _r("active_model_mae"), _r("degradation_pct"), "status", "evaluation_timestamp"
+        "active_model", _r("baseline_mae"), _r("active_model_mae"), _r("degradation_pct"), "status",
+        F.col("evaluation_timestamp").cast("timestamp_ntz").alias("evaluation_timestamp"),
     )
 
 
@@ -504,7 +512,7 @@ def pointer_after_rollback(spark, sf):
         ts=P.ts(P.EVAL_TS), reason=F.lit("AUTO_ROLLBACK"),
     )
     log = registry.append_decisions(spark, rows, path)
-    return registry.active_decision(log)
+    return _wall_clock(registry.active_decision(log), "decision_timestamp")
 
 
 def pointer_restamped(spark, sf):

@@ -393,7 +393,7 @@ def _oracles() -> dict[str, str]:
     q["promo_assigned"] = with_(ik + hc, f"SELECT * {_excl(helpers)}, {_promo_cols(_bucket('__ph'))} FROM {last}")
     q["promo_summary"] = with_(
         ik + hc + [("promo", f"SELECT {_promo_cols(_bucket('__ph'))} FROM {last}")],
-        "SELECT count(*) AS total_rows, sum(is_promo) AS promo_rows FROM promo",
+        "SELECT count(*) AS total_rows, CAST(sum(is_promo) AS BIGINT) AS promo_rows FROM promo",
     )
 
     dirty = [("bronze_dirty", BRONZE_DIRTY)]
@@ -429,7 +429,7 @@ def _oracles() -> dict[str, str]:
     q["complete_rows"] = with_(g, f"SELECT {FEATS}, sales FROM gold WHERE {NOT_NULL_FEATS} AND sales IS NOT NULL")
     q["date_bounds"] = with_(g, "SELECT min(date) AS min_date, max(date) AS max_date FROM gold")
     q["ts_bounds"] = with_(dirty, "SELECT min(ingestion_timestamp) AS min_ts, max(ingestion_timestamp) AS max_ts FROM bronze_dirty")
-    q["silver_totals"] = with_(silver, "SELECT sum(is_promo) AS promo_rows, sum(sales) AS total_sales FROM silver")
+    q["silver_totals"] = with_(silver, "SELECT CAST(sum(is_promo) AS BIGINT) AS promo_rows, CAST(sum(sales) AS BIGINT) AS total_sales FROM silver")
     dec = [("model_decisions", MODEL_DECISIONS)]
     q["model_versions"] = with_(dec, "SELECT count(*) AS decision_rows, count(DISTINCT model_run_id) AS model_versions FROM model_decisions")
     q["null_lag_rows"] = with_(g, "SELECT count(*) FILTER (WHERE sales_lag_7 IS NULL) AS rows_with_null_lag FROM gold")
