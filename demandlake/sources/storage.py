@@ -19,10 +19,17 @@ _LOCAL_ROOTS: dict[str, str] = {}
 
 def shared_root(spark: SparkSession) -> str:
     """Root folder for everything this library writes."""
-    root = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF, None)
+    root = spark.conf.get(_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no local context
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get(_CONF, None)
     if root:
         return root.rstrip("/")
-    sc = spark.sparkContext
+    if sc is None:
+        raise RuntimeError(f"{_CONF} is not set; name a shared folder for tables and checkpoints")
     if not sc.master.startswith("local"):
         raise RuntimeError(
             f"{_CONF} is not set; a cluster run needs a shared folder for tables and checkpoints"
