@@ -15,12 +15,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandlake.config import BASELINE, CHALLENGER
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one input table.  Inputs are immutable snapshots, so the footer
+    schema is resolved once per path and handed to later reads (no
+    schema-inference job per query); every call still builds a fresh
+    relation, so self-joins stay unambiguous."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _line_dims(spark: SparkSession, sf_dir: str, li: DataFrame) -> DataFrame:

@@ -103,4 +103,9 @@ def materialize(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     pushdown, no recomputation of the lineage), and a lost executor only
     costs re-reading files, never re-running the upstream shuffles."""
     df.write.format(fmt).mode("overwrite").save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    return df.sparkSession.read.format(fmt).schema(nullable(df.schema)).load(path)
+
+
+def nullable(schema: T.StructType) -> T.StructType:
+    """The schema as files return it (every top-level field nullable)."""
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
