@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from demandlake.llm import exact_dedup, mixing, quality_rules
+from demandlake.llm import exact_dedup, lm_scoring, mixing, quality_rules, url_filter
 from demandlake.llm.tables import read
 
 
+def op2_url_filter(spark, sf_dir):
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
+def op6_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(read(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -18,7 +26,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_quality_rules, op9_source_mixing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op6_lm_scoring, op7_quality_rules, op9_source_mixing, op10_exact_dedup)}
 
 ORACLES = {
     "op10_exact_dedup": """
