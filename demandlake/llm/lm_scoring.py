@@ -9,12 +9,12 @@ predicts a bit by mixing the KT estimates of all depths along its context
 path, and the code length of a text is the sum over its bits.
 
 All counts cover every training text.  The tree's deepest level keeps the
-``DEEP_CONTEXTS`` most frequent contexts (a documented memory bound); the
+most frequent contexts, ``DEEP_CONTEXTS`` at most (a memory bound); the
 rest of a context's bytes share one "other" leaf, so no byte goes uncounted.
 Prediction tables per context row are computed once and broadcast.
 
 The base score is an add-one word unigram.  The most frequent
-``COMMON_WORDS`` words are looked up in a broadcast table of that fixed
+words, ``COMMON_WORDS`` at most, are looked up in a broadcast table of that fixed
 size; all other (text, word) pairs are joined to the full counts.
 
 Defined results: null text counts as empty (one end token, code length 0);
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.llm import textops as T
-from demandlake.llm.tables import keep
+from demandlake.llm.tables import keep, most_frequent
 
 DEPTH = 3
 DEEP_CONTEXTS = 1 << 15
@@ -234,10 +234,10 @@ def score(docs: DataFrame) -> DataFrame:
     words = counts.where("kind = 0").select("key", "n")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_train, denominator = int(total["n"]), int(total["n"]) + int(total["v"]) + 1
-    common = words.orderBy(F.desc("n"), "key").limit(COMMON_WORDS).toPandas().sort_values("key")
+    common = most_frequent(words, COMMON_WORDS).toPandas().sort_values("key")
     # all grams of the kept deep contexts, and the rest summed per two-byte context
     grams = counts.where("kind = 1").select((F.shiftright("key", 8)).alias("ctx"), F.col("key").bitwiseAND(0xFF).alias("sym"), "n")
-    deep = grams.groupBy("ctx").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "ctx").limit(DEEP_CONTEXTS).select("ctx", F.lit(True).alias("deep"))
+    deep = most_frequent(grams.groupBy("ctx").agg(F.sum("n").alias("n")), DEEP_CONTEXTS).select("ctx", F.lit(True).alias("deep"))
     # a context below the bound folds into its two-byte context's "other" leaf (marked by a top byte out of range)
     folded = grams.join(F.broadcast(deep), "ctx", "left").select(
         F.when(F.col("deep"), F.col("ctx")).otherwise(F.col("ctx").bitwiseAND(0xFFFF).bitwiseOR(1 << 24)).alias("ctx"), "sym", "n"

@@ -59,3 +59,17 @@ def text_or_empty(name: str = "text") -> Column:
 
 def n_words(c: Column) -> Column:
     return F.regexp_count(c, F.lit(WORD)).cast("long")
+
+
+def most_frequent(counted: DataFrame, limit: int) -> DataFrame:
+    """The rows of largest ``n``, whole classes of counts, ``limit`` at most.
+    The cut comes from a histogram of log-spaced classes (under 600), so no
+    task sends its own top rows to the driver."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
+    seen, cut = 0, None
+    for r in sorted(counted.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        seen += r["count"]
+        if seen > limit:
+            break
+        cut = r["step"]
+    return counted.where(step >= cut) if cut is not None else counted.limit(0)
