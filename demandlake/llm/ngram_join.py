@@ -4,8 +4,8 @@ Texts become sets of word 5-grams (64-bit hashes).  Under one global token
 order, two sets of Jaccard similarity t or more share at least l tokens
 within their l-prefixes, the first ``n - ceil(t n) + l`` tokens, for every l.
 Each set picks its own l: a longer prefix costs more index entries, but asks
-for l matches before a pair is verified; the costs are estimated from the
-frequencies of common tokens.  A pair is a candidate if it shares
+for l matches before a pair is verified; both costs are estimated from the
+lengths of the set's own index lists.  A pair is a candidate if it shares
 ``min(l_x, l_y)`` tokens that belong to both prefixes of that level.
 
 The order puts common tokens last (found chunk by chunk over the whole
@@ -38,13 +38,14 @@ from demandlake.llm.tables import keep, most_frequent
 
 SHINGLE = 5
 SIM = (75, 100)  # 100 * intersection >= 75 * union
-MAX_LEVEL = 8
+MAX_LEVEL = 16
 HEAVY = 1 << 16
 HEAVY_LEAST = 8
 CENTRES = 2
-ROUNDS = 4
-VERIFY_COST = 1 / 16
+ROUNDS = 2
 CHUNK = 4 << 20
+#: Bits of the filter that spares the texts of unneeded sets a shuffle.
+FILTER_BITS = 1 << 23
 
 
 def shingles(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,15 +71,25 @@ def shingles(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return h, np.searchsorted(doc, np.arange(len(off)))
 
 
-def _common(batches):
-    """(token, n): tokens that several texts of a chunk share."""
-    for _, data, off in T.chunks(batches, limit=CHUNK):
-        h, _ = shingles(data, off)
+def _survey(batches):
+    """Two kinds of rows: a text's set size and digest (token null), and the
+    tokens that several texts of a chunk share, with their number of texts."""
+    for rows, data, off in T.chunks(batches, limit=CHUNK):
+        h, soff = shingles(data, off)
+        d1, d2 = _digests(h, soff)
         h.sort()
         first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][: len(h)])
         n = np.diff(np.r_[first, len(h)])
         many = n > 1
-        yield pa.RecordBatch.from_arrays([pa.array(h[first][many].view(np.int64)), pa.array(n[many].astype(np.int64))], ["token", "n"])
+        ids, none = rows.column("doc_id"), np.ones(int(many.sum()), bool)
+        yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(soff).astype(np.int64)), pa.array(d1), pa.array(d2), pa.nulls(len(ids), pa.int64())], _SURVEY)
+        zero = pa.array(np.zeros(len(none), np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(none), ids.type), pa.array(n[many].astype(np.int64)), zero, zero, pa.array(h[first][many].view(np.int64))], _SURVEY
+        )
+
+
+_SURVEY = ["doc_id", "n", "d1", "d2", "token"]
 
 
 def needed(n):
@@ -86,66 +97,53 @@ def needed(n):
     return -(-SIM[0] * n // SIM[1])
 
 
-def choose_level(cost: np.ndarray, n: int) -> int:
-    """The l of least estimated cost; ``cost`` is the expected list length of
-    each token in prefix order."""
-    base, most = n - needed(n), min(MAX_LEVEL, needed(n))
-    total = np.cumsum(cost[: base + most])[base:]
-    level = np.arange(1, most + 1)
-    return int(np.argmin(total * (1 + VERIFY_COST * n / level)[: len(total)])) + 1
-
-
 def _digests(h: np.ndarray, soff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits of each set, whatever the order of its tokens."""
     return T.totals(T.mix(h), soff).view(np.int64), T.totals(T.mix(h ^ T.U(0xA5A5A5A5A5A5A5A5)), soff).view(np.int64)
 
 
 def _prefixes(heavy_tokens: np.ndarray, heavy_n: np.ndarray):
-    """Batches of (doc_id, row) and text -> one row per text with its prefix."""
+    """Texts -> size, digest and the longest prefix that any level may need."""
     by_token = np.argsort(heavy_tokens)
     sorted_tokens, sorted_n = heavy_tokens[by_token], heavy_n[by_token]
     rank = np.empty(len(heavy_tokens), np.uint64)
     rank[np.lexsort((sorted_tokens, sorted_n))] = np.arange(len(heavy_tokens), dtype=np.uint64)
 
     def run(batches):
-        for rows, data, off in T.chunks(batches, limit=CHUNK):
+        for _, data, off in T.chunks(batches, limit=CHUNK):
             h, soff = shingles(data, off)
-            order, cost = h >> T.U(1), np.zeros(len(h))
+            order = h >> T.U(1)
             if len(sorted_tokens):
                 at = np.minimum(np.searchsorted(sorted_tokens, h), len(sorted_tokens) - 1)
                 hit = sorted_tokens[at] == h
                 order[hit] = T.U(1 << 63) + rank[at[hit]]
-                cost[hit] = sorted_n[at[hit]]
             d1, d2 = _digests(h, soff)
-            size, level, parts = np.diff(soff), np.zeros(len(off) - 1, np.int32), []
-            signed = h.view(np.int64)
-            lens = np.zeros(len(size), np.int32)
-            for i in range(len(size)):
-                n = int(size[i])
-                if not n:
-                    continue
-                seg = slice(soff[i], soff[i + 1])
-                o = np.argsort(order[seg])
-                level[i] = choose_level(cost[seg][o], n)
-                p = signed[seg][o[: n - needed(n) + level[i]]]
-                parts.append(p)
-                lens[i] = len(p)
+            size, signed = np.diff(soff), h.view(np.int64)
+            lens = np.where(size > 0, size - needed(size) + np.minimum(MAX_LEVEL, needed(size)), 0)
+            parts = [signed[a:z][np.argsort(order[a:z])[:k]] for a, z, k in zip(soff[:-1], soff[1:], lens, strict=True) if k]
             tokens = np.concatenate(parts) if parts else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lens)].astype(np.int32)), pa.array(tokens))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(d1), pa.array(d2), pa.array(level), lists],
-                ["doc_id", "n", "d1", "d2", "level", "prefix"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(size.astype(np.int64)), pa.array(d1), pa.array(d2), lists], ["n", "d1", "d2", "prefix"])
 
     return run
 
 
-def _sets(batches):
-    for rows, data, off in T.chunks(batches, limit=CHUNK):
-        h, soff = shingles(data, off)
-        d1, d2 = _digests(h, soff)
-        lists = pa.ListArray.from_arrays(pa.array(soff.astype(np.int32)), pa.array(h.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([pa.array(np.diff(soff).astype(np.int64)), pa.array(d1), pa.array(d2), lists], ["n", "d1", "d2", "tokens"])
+def _sets(wanted: np.ndarray):
+    """Texts whose digest may be wanted (a bit array; false hits only cost
+    work) -> their whole sets."""
+    bits = np.unpackbits(wanted.view(np.uint8), bitorder="little")
+
+    def run(batches):
+        for _, data, off in T.chunks(batches, limit=CHUNK):
+            h, soff = shingles(data, off)
+            d1, d2 = _digests(h, soff)
+            pick = np.flatnonzero(bits[(d1 & (FILTER_BITS - 1))] & bits[(d2 & (FILTER_BITS - 1))] & (np.diff(soff) > 0))
+            sizes = np.diff(soff)[pick]
+            tokens = np.concatenate([h[soff[i] : soff[i + 1]] for i in pick]) if len(pick) else np.zeros(0, np.uint64)
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(tokens.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(sizes.astype(np.int64)), pa.array(d1[pick]), pa.array(d2[pick]), lists], ["n", "d1", "d2", "tokens"])
+
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -177,29 +175,40 @@ class _Join:
     """The state of one join: classes, token lists, verified links."""
 
     def __init__(self, docs: DataFrame):
-        self.docs = docs
         self.texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        common = self.texts.select("text").mapInArrow(_common, "token long, n long")
-        counted = keep(common.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= HEAVY_LEAST), "common-tokens")
+        kind = dict(docs.dtypes)["doc_id"]
+        seen = keep(self.texts.mapInArrow(_survey, f"doc_id {kind}, n long, d1 long, d2 long, token long").withColumn("row", F.monotonically_increasing_id()), "survey")
+        self.rows = seen.where("token IS NULL").drop("token")
+        counted = keep(seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= HEAVY_LEAST), "common-tokens")
         heavy = most_frequent(counted, HEAVY).toPandas()
         run = _prefixes(heavy["token"].to_numpy(np.int64).view(np.uint64), heavy["n"].to_numpy(float))
-        kind = dict(docs.dtypes)["doc_id"]
-        schema = f"doc_id {kind}, n long, d1 long, d2 long, level int, prefix array<long>"
-        self.rows = keep(self.texts.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "prefixes")
-        self.classes = keep(
-            self.rows.where("n > 0").groupBy("n", "d1", "d2")
-            .agg(F.min("row").alias("cid"), F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.min_by(F.struct("level", "prefix"), "row").alias("p"))
-            .select("cid", "doc_id", "n", "d1", "d2", "copies", "p.level", "p.prefix"),
-            "classes",
-        )
-        entry = self.classes.select("cid", "n", "level", F.posexplode("prefix").alias("pos", "token"))
-        at = F.greatest(F.lit(1), F.col("pos") + 1 - F.col("n") + F.ceil(F.col("n") * SIM[0] / SIM[1])).cast("int")
-        entry = entry.select("token", "cid", F.col("n").cast("int").alias("n"), F.col("level"), at.alias("at"))
-        several = entry.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
-        self.lists = keep(entry.join(several, "token"), "lists")
+        key = ["n", "d1", "d2"]
+        cls = self.rows.where("n > 0").groupBy(*key).agg(F.min("row").alias("cid"), F.count(F.lit(1)).alias("copies"))
+        self.classes = keep(cls, "classes")
+        prefix = self.texts.select("text").mapInArrow(run, "n long, d1 long, d2 long, prefix array<long>").where("n > 0")
+        prefix = keep(prefix.groupBy(*key).agg(F.first("prefix").alias("prefix")).join(self.classes, key).select("cid", "n", "prefix"), "prefixes")
+        first = F.col("n") - F.ceil(F.col("n") * SIM[0] / SIM[1])  # tokens of level 0
+        entry = prefix.select("cid", "n", first.alias("first"), F.posexplode("prefix").alias("pos", "token"))
+        entry = entry.select("token", "cid", (F.col("n") * 64 + F.greatest(F.lit(1), F.col("pos") + 1 - F.col("first"))).alias("pack"))
+        several = entry.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+        lists = keep(entry.join(several, "token").select("token", "cid", F.floor(F.col("pack") / 64).cast("int").alias("n"), (F.col("pack") % 64).cast("int").alias("at"), "m"), "all-lists")
+        self.lists = keep(self.with_level(lists), "lists")
         self.links = None
         self.label = None
 
+    @staticmethod
+    def with_level(lists: DataFrame) -> DataFrame:
+        """Each set's level of least estimated cost, and its entries up to that
+        level.  The entries of level l name ``probes`` partners; a pair needs l
+        of them, so about ``probes / l`` pairs are verified, each at n tokens."""
+        probes = [F.sum(F.when(F.col("at") <= i, F.col("m") - 1).otherwise(0)) for i in range(1, MAX_LEVEL + 1)]
+        level = range(1, MAX_LEVEL + 1)
+        own = lists.groupBy("cid").agg(F.first("n").alias("n"), F.array(*probes).alias("p"))
+        least = F.ceil(F.col("n") * SIM[0] / SIM[1])
+        cost = F.array(*[F.when(least >= i, F.col("p")[i - 1] * (1 + F.col("n") / i)).otherwise(F.lit(float("inf"))) for i in level])
+        best = own.select("cid", cost.alias("cost")).select("cid", F.array_position("cost", F.array_min("cost")).cast("int").alias("level"))
+        return lists.drop("m").join(best, "cid").where("at <= level")
+
     def labelled(self) -> DataFrame:
         """The lists that hold several components, each member with its component."""
         if self.label is None:
@@ -242,10 +251,13 @@ class _Join:
         """The pairs whose whole sets are similar enough."""
         pairs = keep(pairs, "pairs")
         wanted = pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct()
-        cls = self.classes.join(wanted, "cid").select("cid", F.col("doc_id").alias("id"), "n", "d1", "d2")
-        ids = cls.select("id").distinct()
-        texts = self.texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
-        sets = texts.mapInArrow(_sets, "n long, d1 long, d2 long, tokens array<long>")
+        cls = keep(self.classes.join(wanted, "cid").select("cid", "n", "d1", "d2"), "wanted")
+        bit = cls.select(F.explode(F.array("d1", "d2")).alias("d")).select(F.col("d").bitwiseAND(FILTER_BITS - 1).alias("bit"))
+        one = F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")
+        got = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(one).alias("w")).toPandas()  # FILTER_BITS / 64 rows at most
+        words = np.zeros(FILTER_BITS // 64, np.int64)
+        words[got["at"].to_numpy(np.int64)] = got["w"].to_numpy(np.int64)
+        sets = self.texts.select("text").mapInArrow(_sets(words), "n long, d1 long, d2 long, tokens array<long>")
         sets = keep(sets.join(cls, ["n", "d1", "d2"]).dropDuplicates(["cid"]).select("cid", "n", "tokens"), "sets")
         left = pairs.join(sets.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("sx")), "x")
         both = left.join(sets.select(F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("tokens").alias("sy")), "y")
