@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from demandlake.llm import exact_dedup, lm_scoring, mixing, ngram_join, quality_rules, suffix_dedup, url_filter
+from demandlake.llm import exact_dedup, license_scan, lm_scoring, mixing, ngram_join, pii, quality_rules, suffix_dedup, url_filter
 from demandlake.llm.tables import read
 
 
@@ -14,10 +14,18 @@ def op2_url_filter(spark, sf_dir):
     return url_filter.judge(read(spark, sf_dir, "pages"))
 
 
+def op3_license_scan(spark, sf_dir):
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark, sf_dir):
     return suffix_dedup.dedup(read(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark, sf_dir):
+    return pii.find(read(spark, sf_dir, "documents"))
+
+
 def op6_lm_scoring(spark, sf_dir):
     return lm_scoring.score(read(spark, sf_dir, "documents"))
 
@@ -34,7 +42,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_url_filter, op4_suffix_dedup, op6_lm_scoring, op7_quality_rules, op9_source_mixing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_license_scan, op4_suffix_dedup, op5_pii, op6_lm_scoring, op7_quality_rules, op9_source_mixing, op10_exact_dedup)}
 
 ORACLES = {
     "op10_exact_dedup": """

@@ -42,7 +42,8 @@ MAX_LEVEL = 16
 HEAVY = 1 << 16
 HEAVY_LEAST = 8
 CENTRES = 2
-ROUNDS = 2
+ROUNDS = 4
+PEEL = 3
 CHUNK = 4 << 20
 #: Bits of the filter that spares the texts of unneeded sets a shuffle.
 FILTER_BITS = 1 << 23
@@ -209,21 +210,35 @@ class _Join:
         best = own.select("cid", cost.alias("cost")).select("cid", F.array_position("cost", F.array_min("cost")).cast("int").alias("level"))
         return lists.drop("m").join(best, "cid").where("at <= level")
 
-    def labelled(self) -> DataFrame:
-        """The lists that hold several components, each member with its component."""
+    def open_lists(self) -> DataFrame:
+        """The entries that can still matter, each with its set's component: in
+        lists that hold several components, and of sets with as many such
+        entries as a pair needs."""
+        own = self.lists
         if self.label is None:
-            return self.lists.withColumn("comp", F.col("cid"))
-        own = self.lists.join(self.label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        open_ = own.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a != b").select("token")
-        return own.join(open_, "token")
+            own = own.withColumn("comp", F.col("cid"))
+        else:
+            own = own.join(self.label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+        for _ in range(PEEL):  # dropping entries closes lists, closed lists drop entries
+            lists = own.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("level").alias("least")).where("a != b")
+            own = own.join(lists.select("token", "least"), "token")
+            have = own.groupBy("cid").agg(F.count(F.lit(1)).alias("have"))
+            own = keep(own.join(have, "cid").where("have >= least(level, least)").drop("have", "least"), "open-lists")
+        return own
 
     @staticmethod
     def enough(pairs: DataFrame) -> DataFrame:
-        """(x, y, shared) of pairs that share min(level) tokens of that level,
-        from a row per shared token (cid/n/level/at of both sides)."""
+        """(x, y, shared) of pairs that share enough prefix tokens, from a row
+        per shared token (cid/n/level/at of both sides).  With l the smaller
+        level, at least l tokens of level l; and as many as are missing if
+        all tokens behind one of the prefixes were shared too."""
         fits = (F.least("n", "n2") * SIM[1] >= F.greatest("n", "n2") * SIM[0]) & (F.greatest("at", "at2") <= F.least("level", "level2"))
-        key = [F.least("cid", "cid2").alias("x"), F.greatest("cid", "cid2").alias("y"), F.least("level", "level2").alias("l")]
-        return pairs.where(fits).groupBy(*key).agg(F.count(F.lit(1)).alias("shared")).where("shared >= l").select("x", "y", "shared")
+        sizes = [F.least("n", "n2").alias("small"), F.greatest("n", "n2").alias("large"), F.least("level", "level2").alias("l")]
+        key = [F.least("cid", "cid2").alias("x"), F.greatest("cid", "cid2").alias("y"), *sizes]
+        overlap = F.ceil((F.col("small") + F.col("large")) * SIM[0] / (SIM[0] + SIM[1]))
+        behind = F.ceil(F.col("large") * SIM[0] / SIM[1]) - F.col("l")
+        most = F.greatest(F.col("l"), overlap - behind)
+        return pairs.where(fits).groupBy(*key).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= most).select("x", "y", "shared")
 
     def star_pairs(self, lists: DataFrame, seed: int) -> DataFrame:
         """Each member against its best-sharing centre: linear in the lists."""
@@ -275,10 +290,9 @@ class _Join:
     def run(self) -> DataFrame:
         """(row, doc_id, n, comp): comp names the component by a row of it."""
         for r in range(ROUNDS):
-            lists = keep(self.labelled(), "open-lists")
-            if not self.add(self.verify(self.star_pairs(lists, 1 + r * CENTRES))):
+            if not self.add(self.verify(self.star_pairs(self.open_lists(), 1 + r * CENTRES))):
                 break
-        self.add(self.verify(self.all_pairs(keep(self.labelled(), "open-lists"))))
+        self.add(self.verify(self.all_pairs(self.open_lists())))
         cls = self.classes.select("cid", "n", "d1", "d2", "copies")
         if self.label is None:
             cls = cls.withColumn("comp", F.col("cid"))

@@ -199,9 +199,9 @@ def _valid(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (ok.astype(np.uint32) << c.astype(np.uint32)).sum(1).astype(np.uint32)
 
 
-def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """Places sorted by their next ``depth`` bytes at least (Larsson-Sadakane:
-    a place's rank is its group's last index; only unsorted groups go on)."""
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """All places sorted by their suffixes (Larsson-Sadakane: a place's rank
+    is its group's last index; only unsorted groups go on, by doubled steps)."""
     n = len(text)
     padded = np.r_[text, np.zeros(8, np.uint8)]
     key = np.zeros(n, np.uint64)
@@ -209,7 +209,7 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
         key |= padded[j : j + n].astype(np.uint64) << T.U(56 - 8 * j)
     sa = np.argsort(key, kind="stable")
     s = key[sa]
-    rank = np.zeros(n + 2 * depth + 16, np.int64)
+    rank = np.zeros(n, np.int64)
 
     def groups(edge, order, base):
         start = np.flatnonzero(edge)
@@ -220,9 +220,9 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     edge = np.r_[True, s[1:] != s[:-1]] if n else np.zeros(0, bool)
     open_ = np.flatnonzero(groups(edge, sa, np.arange(n)))
     h = 8
-    while h < depth and len(open_):
+    while len(open_):
         order = sa[open_]
-        a, b = rank[order], rank[order + h]
+        a, b = rank[order], np.where(order + h < n, rank[np.minimum(order + h, n - 1)], n - h - order)  # past the end: the shorter first
         o = np.lexsort((b, a))
         order, a, b = order[o], a[o], b[o]
         sa[open_] = order
