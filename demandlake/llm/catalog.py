@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from demandlake.llm import exact_dedup, license_scan, lm_scoring, mixing, ngram_join, pii, quality_rules, suffix_dedup, url_filter
+from demandlake.llm import exact_dedup, license_scan, lm_scoring, mixing, ngram_join, packing, pii, quality_rules, suffix_dedup, url_filter
 from demandlake.llm.tables import read
 
 
@@ -34,6 +34,10 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_best_fit_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op9_source_mixing(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -42,7 +46,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_license_scan, op4_suffix_dedup, op5_pii, op6_lm_scoring, op7_quality_rules, op9_source_mixing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_url_filter, op3_license_scan, op4_suffix_dedup, op5_pii, op6_lm_scoring, op7_quality_rules, op8_best_fit_packing, op9_source_mixing, op10_exact_dedup)}
 
 ORACLES = {
     "op10_exact_dedup": """

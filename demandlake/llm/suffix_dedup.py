@@ -7,7 +7,8 @@ also starts in a document with a smaller doc_id.
 2. Contexts.  Around each anchor left, all strings that may select it lie in
    one context of ``GRAM + 2 * REACH`` bytes.  Contexts equal within a batch
    of documents are sent once.
-3. Shards.  Each part's contexts form a text; its suffix array is built by
+3. Shards.  A part's contexts form texts, all contexts of a gram in one; a
+   text's suffix array is built by
    Larsson-Sadakane refinement (groups sorted by their first 8 bytes, then
    doubled within unsorted groups), common prefixes by Kasai's walk, all
    contexts in step.  Runs of common prefix LENGTH are equal strings; the
@@ -43,10 +44,12 @@ LENGTH = 50
 GRAM = 24
 REACH = LENGTH - GRAM  # bytes that a string may reach before its anchor
 WIDTH = LENGTH + REACH
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Text bytes whose anchors one part takes, and contexts that one shard takes.
 PART_BYTES = 16 << 20
-SHARD_CONTEXTS = 150_000
+SHARD_CONTEXTS = 60_000
+#: Contexts of one suffix array, but for one gram's.
+ARRAY_CONTEXTS = 15_000
 MERGE_BUCKETS = 64
 
 
@@ -92,8 +95,8 @@ def _per_doc(doc: np.ndarray, *arrays: np.ndarray):
 
 
 def _gather_anchors(parts: int):
-    """Per chunk: anchors by part, and (part -1) those that several texts of
-    the chunk share, which are known to be shared without being sent."""
+    """Per chunk: anchors by part (each once, flagged if several texts of the
+    chunk have it), and per document those that the chunk knows to be shared."""
 
     def run(batches):
         for rows, data, off in T.chunks(batches, limit=CHUNK):
@@ -112,7 +115,7 @@ def _gather_anchors(parts: int):
                 o = np.argsort(docs, kind="stable")
                 out.append((p, None, lows[o].tobytes(), docs[o].tobytes(), np.packbits(flags[o]).tobytes()))
             for d, ps, lows in _per_doc(ids[doc[shared]], part[shared], low[shared]):
-                out.append((-1, d, lows.tobytes(), None, ps.tobytes()))
+                out.append((int(ps[0]), d, lows.tobytes(), None, ps.tobytes()))
             yield _rows(out)
 
     return run
@@ -130,6 +133,8 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
 def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
     """One part: the anchors that two texts have, per document."""
     part = int(pdf["part"].iloc[0])
+    local = pdf["b"].isna()
+    known_rows, pdf = pdf[local], pdf[~local]
     low = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["a"]])
     doc = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["b"]])
     flag = np.concatenate([np.unpackbits(np.frombuffer(c, np.uint8))[: len(a) // 4] for a, c in zip(pdf["a"], pdf["c"], strict=True)]).astype(bool)
@@ -142,7 +147,8 @@ def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
     both[o] = np.repeat((size > 1) | known, size)
     take = both & ~flag  # flagged ones are kept where they come from
     out = [(d, lows.tobytes(), np.full(len(lows), part, np.int32).tobytes()) for d, lows in _per_doc(doc[take], low[take])]
-    return pd.DataFrame(out, columns=["doc_id", "a", "c"])
+    out += list(zip(known_rows["doc_id"], known_rows["a"], known_rows["c"], strict=True))
+    return pd.DataFrame(out, columns=["doc_id", "a", "c"]).astype({"doc_id": "int64"})
 
 
 def _contexts(parts: int):
@@ -165,7 +171,7 @@ def _contexts(parts: int):
                 continue
             at, part, doc = at[hit], part[hit], doc[hit]
             lo, hi = np.maximum(off[doc], at - REACH), np.minimum(off[doc + 1], at + LENGTH)
-            cols = at[:, None] + np.arange(-REACH, LENGTH)[None, :]
+            cols = at[:, None].astype(np.int32) + np.arange(-REACH, LENGTH, dtype=np.int32)[None, :]
             inside = (cols >= lo[:, None]) & (cols < hi[:, None])
             ctx = np.where(inside, data[np.clip(cols, 0, len(data) - 1)], 0).astype(np.uint8)
             left, right = (at - lo).astype(np.uint8), (hi - at).astype(np.uint8)
@@ -261,12 +267,22 @@ _SHARD = "kind int, doc_id long, a binary, b binary, c binary, d binary"
 
 
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One shard: (kind 0) the repeated strings per document; (kind 1, if its
-    part is split) its distinct strings, sorted, with smallest document."""
+    """One task: (kind 0) the repeated strings per document; (kind 1, if its
+    part is split) its distinct strings with smallest document.  Contexts of
+    one gram meet in one array; the arrays are kept small, for memory."""
     whole = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["a"]]).reshape(-1, WIDTH + 2)
     own = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["b"]])
     pos = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["c"]])
-    split = int(pdf["shards"].iloc[0]) > 1
+    base = int(pdf["part"].iloc[0]) * MERGE_BUCKETS if int(pdf["shards"].iloc[0]) > 1 else None
+    gram = np.ascontiguousarray(whole[:, REACH : REACH + GRAM])
+    h = T.span_hash(T.prefix_hash(gram.ravel()), np.arange(len(gram)) * GRAM, np.arange(1, len(gram) + 1) * GRAM)
+    out = []
+    for _, idx in _per_doc((h % T.U(max(1, len(whole) // ARRAY_CONTEXTS))).astype(np.int64), np.arange(len(whole))):
+        out += _array(whole[idx], own[idx], pos[idx], base)
+    return pd.DataFrame(out, columns=["kind", "doc_id", "a", "b", "c", "d"])
+
+
+def _array(whole: np.ndarray, own: np.ndarray, pos: np.ndarray, base: int | None) -> list[tuple]:
     mask = _valid(whole[:, WIDTH], whole[:, WIDTH + 1])
     text = np.ascontiguousarray(whole[:, :WIDTH]).ravel()
     sa = suffix_array(text)
@@ -277,30 +293,30 @@ def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     row, col, place = row[ok], col[ok], sa[ok]
     cut = np.flatnonzero(np.r_[True, run[1:] != run[:-1]][: len(run)])
     if not len(cut):
-        return pd.DataFrame([], columns=["kind", "doc_id", "a", "b", "c", "d"])
+        return []
     least = np.repeat(np.minimum.reduceat(own[row], cut), np.diff(np.r_[cut, len(run)]))
     bits = np.zeros(len(whole), np.uint32)
     dup = own[row] > least
     np.bitwise_or.at(bits, row[dup], np.uint32(1) << col[dup].astype(np.uint32))
     some = np.flatnonzero(bits)
     out = [(0, d, p.tobytes(), m.tobytes(), None, None) for d, p, m in _per_doc(own[some], pos[some], bits[some])]
-    if split:
+    if base is not None:  # in suffix order, so every bucket's strings are sorted
         mine = np.flatnonzero(~dup)
-        strings = text[place[mine][:, None] + np.arange(LENGTH)[None, :]]
-        flat = np.ascontiguousarray(strings)
+        flat = np.ascontiguousarray(text[place[mine][:, None] + np.arange(LENGTH)[None, :]])
         h = T.span_hash(T.prefix_hash(flat.ravel()), np.arange(len(flat)) * LENGTH, np.arange(1, len(flat) + 1) * LENGTH)
-        bucket = (h % T.U(MERGE_BUCKETS)).astype(np.int64)
-        for k, s, d, p, c in _per_doc(bucket, flat, own[row[mine]], pos[row[mine]], col[mine]):
-            out.append((1, int(pdf["part"].iloc[0]) * MERGE_BUCKETS + k, s.tobytes(), d.tobytes(), p.tobytes(), c.astype(np.int64).tobytes()))
-    return pd.DataFrame(out, columns=["kind", "doc_id", "a", "b", "c", "d"])
+        for k, s, d, p, c in _per_doc((h % T.U(MERGE_BUCKETS)).astype(np.int64), flat, own[row[mine]], pos[row[mine]], col[mine]):
+            out.append((1, base + k, s.tobytes(), d.tobytes(), p.tobytes(), c.astype(np.int64).tobytes()))
+    return out
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     """Sorted strings of several shards: each is looked up in the union by
     binary search; a smaller document in another shard marks it repeated."""
     runs = [(np.frombuffer(r.a, f"S{LENGTH}"), np.frombuffer(r.b, np.int64), np.frombuffer(r.c, np.int64), np.frombuffer(r.d, np.int64)) for r in pdf.itertuples()]
-    union = runs[0][0]
-    for s, *_ in runs[1:]:
+    # one document may hold a string several times
+    distinct = [s[np.r_[True, s[1:] != s[:-1]]] for s, *_ in runs]
+    union = distinct[0]
+    for s in distinct[1:]:
         at = np.searchsorted(union, s)
         new = (at == len(union)) | (union[np.minimum(at, len(union) - 1)] != s)
         union = np.insert(union, at[new], s[new])
@@ -349,15 +365,12 @@ def dedup(docs: DataFrame, part_bytes: int = PART_BYTES, shard_contexts: int = S
     copies = keep(judged.join(first, "digest").where("doc_id > least").select("doc_id", "digest"), "sa-copies")
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where("doc_id IS NOT NULL")
-    sent = keep(texts.mapInArrow(_gather_anchors(parts), _BLOBS), "sa-anchors")
-    apart = sent.where("part >= 0").groupBy("part").applyInPandas(_shared_anchors, "doc_id long, a binary, c binary")
-    found = sent.where("part < 0").select("doc_id", "a", "c").unionByName(apart)
-    found = found.join(copies.select("doc_id"), "doc_id", "left_anti")
-    found = keep(found.groupBy("doc_id").agg(F.collect_list(F.struct("a", "c")).alias("found")), "sa-found")
-    candidates = texts.join(found, "doc_id").withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    candidates = keep(candidates.join(judged, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"]), "sa-texts")
-
-    ctx = keep(candidates.mapInArrow(_contexts(parts), _BLOBS), "sa-contexts")
+    sent = texts.mapInArrow(_gather_anchors(parts), _BLOBS)
+    found = sent.groupBy("part").applyInPandas(_shared_anchors, "doc_id long, a binary, c binary")
+    alive = judged.join(copies.select("doc_id"), "doc_id", "left_anti")
+    found = found.groupBy("doc_id").agg(F.collect_list(F.struct("a", "c")).alias("found")).join(alive, "doc_id")
+    texts = texts.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+    ctx = keep(texts.join(found, ["doc_id", "digest"]).mapInArrow(_contexts(parts), _BLOBS), "sa-contexts")
     weight = ctx.where("part >= 0").groupBy("part").agg(F.ceil(F.sum(F.length("b")) / (8 * shard_contexts)).alias("shards"))
     dealt = ctx.where("part >= 0").join(weight, "part").withColumn("shard", F.pmod(F.xxhash64("b"), F.col("shards")))
     shards = keep(dealt.groupBy("part", "shard").applyInPandas(_shard, _SHARD), "sa-shards")
@@ -365,8 +378,8 @@ def dedup(docs: DataFrame, part_bytes: int = PART_BYTES, shard_contexts: int = S
     masks = ctx.where("part < 0").select("doc_id", "a", "b")
     masks = masks.unionByName(shards.where("kind = 0").select("doc_id", "a", "b")).unionByName(merged)
     masks = masks.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("found"))
-    cut = candidates.select("doc_id", "digest", "text").join(masks, "doc_id")
-    cut = cut.mapInArrow(_cut, "doc_id long, digest string, gone long, spans long, rest string")
+    cut = texts.join(masks.join(judged, "doc_id"), ["doc_id", "digest"]).mapInArrow(_cut, "doc_id long, digest string, gone long, spans long, rest string")
+    cut = cut.dropDuplicates(["doc_id", "digest"])
     whole = copies.join(named.select("doc_id", "digest", "n_bytes").distinct(), ["doc_id", "digest"])
     whole = whole.select("doc_id", "digest", F.col("n_bytes").alias("gone"), F.lit(1).cast("long").alias("spans"), F.lit(hashlib.sha256().hexdigest()).alias("rest"))
     out = base.join(cut.unionByName(whole), ["doc_id", "digest"], "left")
