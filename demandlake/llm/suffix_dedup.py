@@ -87,9 +87,11 @@ def _split(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _per_doc(doc: np.ndarray, *arrays: np.ndarray):
     """(doc, slices) of arrays sorted by doc."""
+    if not len(doc):
+        return
     o = np.argsort(doc, kind="stable")
     doc = doc[o]
-    cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, int)
+    cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     for a, b in zip(cut, np.r_[cut[1:], len(doc)], strict=True):
         yield int(doc[a]), *[x[o[a:b]] for x in arrays]
 
