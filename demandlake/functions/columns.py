@@ -21,8 +21,11 @@ def lenient_date(c: str | Column) -> Column:
 
 
 def lenient_int(c: str | Column) -> Column:
-    """String -> INT, malformed (including '13.7') -> NULL."""
-    return col_(c).try_cast("int")
+    """String -> INT; decimal text is cut toward zero ('13.7' -> 13, '-2.5'
+    -> -2); malformed or out of range -> NULL."""
+    text = F.trim(col_(c).cast("string"))
+    whole = F.when(text.rlike(r"^[+-]?[0-9]*\.[0-9]*$"), text.try_cast("decimal(38,10)").try_cast("int"))
+    return F.coalesce(col_(c).try_cast("int"), whole)
 
 
 def hash_bucket(keys: Sequence[str | Column], buckets: int = config.PROMO_BUCKETS) -> Column:
@@ -73,8 +76,3 @@ def linear_score(coefficients: Mapping[str, float], intercept: float) -> Column:
     for name, coef in coefficients.items():
         expr = expr + F.lit(float(coef)) * F.col(name).cast("double")
     return expr
-
-
-def relative_day(anchor: Column, days: int) -> Column:
-    """anchor - days, as a DATE."""
-    return F.date_sub(anchor, days)

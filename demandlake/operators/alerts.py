@@ -14,6 +14,12 @@ from demandlake import config
 from demandlake.sources import io, schemas
 
 
+def above(threshold: float) -> Column:
+    """psi over the threshold.  Spark orders NaN above every number, so an
+    undefined psi is excluded by name."""
+    return (F.col("psi") > threshold) & ~F.isnan("psi")
+
+
 def drift_alerts(
     drift: DataFrame,
     ts: Column | None = None,
@@ -21,8 +27,8 @@ def drift_alerts(
     critical: Sequence[str] = config.CRITICAL_FEATURES,
 ) -> DataFrame:
     """One DRIFT alert per feature with psi > threshold (strict): HIGH for a
-    business-critical feature, else MEDIUM.  NULL psi never alerts."""
-    return drift.filter(F.col("psi") > threshold).select(
+    business-critical feature, else MEDIUM.  NULL and NaN psi never alert."""
+    return drift.filter(above(threshold)).select(
         F.col("feature"),
         F.col("psi").cast("double").alias("metric_value"),
         F.when(F.col("feature").isin(*critical), "HIGH").otherwise("MEDIUM").alias("severity"),
@@ -37,7 +43,7 @@ def severe_flag(
 ) -> Column:
     """Aggregate: any critical feature above the threshold (false when empty)."""
     return F.coalesce(
-        F.bool_or((F.col("psi") > threshold) & F.col("feature").isin(*critical)), F.lit(False)
+        F.bool_or(above(threshold) & F.col("feature").isin(*critical)), F.lit(False)
     )
 
 

@@ -29,22 +29,16 @@ def stamp(df: DataFrame, ts: Column | None = None, name: str = "ingestion_timest
     return df.withColumn(name, ts if ts is not None else F.current_timestamp())
 
 
-def promo_bucket(df: DataFrame, keys: Sequence[str] = ("store", "item", "date"), name: str = "_promo_hash") -> DataFrame:
+def promo_bucket(df: DataFrame, keys: Sequence[str] = ("store", "item", "date"), name: str = "bucket") -> DataFrame:
     return df.withColumn(name, C.hash_bucket(keys))
 
 
 def assign_promo(df: DataFrame, keys: Sequence[str] = ("store", "item", "date")) -> DataFrame:
-    """Deterministic promo flag and discount from a hash bucket of the keys.
-
-    The helper bucket is computed once and dropped; the optimizer collapses
-    the three projections into one."""
-    b = "_promo_hash"
-    return (
-        promo_bucket(df, keys, b)
-        .withColumn("is_promo", C.promo_flag(b))
-        .withColumn("discount_pct", C.promo_discount(b, "is_promo"))
-        .drop(b)
-    )
+    """Deterministic promo flag and discount from a hash bucket of the keys,
+    in one projection."""
+    bucket = C.hash_bucket(keys)
+    flag = C.promo_flag(bucket)
+    return df.withColumns({"is_promo": flag, "discount_pct": C.promo_discount(bucket, flag)})
 
 
 def evolve_union(older: DataFrame, newer: DataFrame) -> DataFrame:

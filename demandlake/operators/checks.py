@@ -11,10 +11,6 @@ def date_bounds(df: DataFrame, c: str = "date") -> DataFrame:
     return df.agg(F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))
 
 
-def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
 def promo_summary(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_rows"), F.sum("is_promo").alias("promo_rows"))
 

@@ -36,15 +36,15 @@ def feature_matrix(
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(complete)
 
 
-def spread(matrix: DataFrame) -> DataFrame:
-    """At least one partition per core for iterative training.
+def settled(matrix: DataFrame, partitions: int) -> DataFrame:
+    """The rows in a layout that depends on their values alone.
 
-    A training set read from a few small files arrives as one or two
-    partitions; the forest's level-by-level passes would then run on one
-    core.  Large inputs already have more partitions than cores and are
-    left as they are (no extra shuffle)."""
-    cores = matrix.sparkSession.sparkContext.defaultParallelism
-    return matrix.repartition(cores) if matrix.rdd.getNumPartitions() < cores else matrix
+    The forest draws its bootstrap partition by partition, so the layout is
+    part of the model: rows are dealt by a hash of all scalar columns into a
+    given number of partitions and ordered inside them.  The same rows and
+    seed then give the same forest on any cluster and from any files."""
+    cols = [c for c in matrix.columns if c != "features"]
+    return matrix.repartition(partitions, *cols).sortWithinPartitions(*cols)
 
 
 def fit_baseline(matrix: DataFrame, label: str = config.TARGET) -> LinearRegressionModel:
@@ -67,10 +67,15 @@ def fit_challenger(
     seed: int = 42,
     max_bins: int = 32,
     max_memory_mb: int = 512,
+    partitions: int = 32,
 ) -> RandomForestRegressionModel:
     """Bagged regression forest; every feature is a split candidate at every
     node, bootstrap samples of full size (the usual forest defaults).
 
+    ``partitions`` is part of the model, like ``seed`` (see ``settled``); set
+    it to the training set's size in partitions, not to the cluster's cores.
+    The cache made here belongs to this function alone.
+
     Execution knobs only (the model is the same): each row's node ids are
     cached between levels instead of re-walking every tree, with that
     cache checkpointed to the shared checkpoint folder every 10 levels, and
@@ -82,7 +87,7 @@ def fit_challenger(
         featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
         cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=max_memory_mb,
     )
-    data = spread(matrix).persist()
+    data = settled(matrix, partitions).persist()
     try:
         return rf.fit(data)
     finally:

@@ -165,4 +165,6 @@ def restamp(pointer: DataFrame, ts: Column | None = None) -> DataFrame:
 
 
 def ordered_history(df: DataFrame, ts_col: str) -> DataFrame:
-    return df.orderBy(F.col(ts_col).desc())
+    """Newest first; the run id orders the rows of one stamp, so they spread
+    over the sort's ranges."""
+    return df.orderBy(F.col(ts_col).desc(), F.col("model_run_id"))

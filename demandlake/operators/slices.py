@@ -60,8 +60,8 @@ def complete_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).dropna(how="any")
 
 
-def require_rows(df: DataFrame, what: str = "evaluation data") -> DataFrame:
+def require_rows(df: DataFrame, what: str = "this step") -> DataFrame:
     """Fail at the job boundary when a slice is empty (one tiny job)."""
     if df.isEmpty():
-        raise RuntimeError(f"No {what} available.")
+        raise RuntimeError(f"{what}: the selected window has no rows")
     return df

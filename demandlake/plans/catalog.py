@@ -19,9 +19,12 @@ from demandlake import config
 from demandlake.functions import columns as C
 from demandlake.operators import alerts, bronze, checks, gold, models, monitoring, registry, silver, slices
 from demandlake.plans import fixtures as fx
+from demandlake.plans import flows
 from demandlake.plans import params as P
 from demandlake.sources import io, schemas, storage
 
+_GOLD_ROOTS: dict[tuple[str, str], str] = {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -49,10 +52,15 @@ def _gold(spark, sf) -> DataFrame:
 
 
 def _gold_table(spark, sf) -> DataFrame:
-    """The gold layer written once to the shared folder and read back: the
-    downstream steps (slices, models, drift) scan the table, as they would
-    in production, instead of re-running the bronze -> gold lineage."""
-    return io.materialize(_gold(spark, sf), storage.scratch_path(spark, "gold_sales_features"))
+    """The gold layer, written once per application and input path (by month,
+    like the flows' lake) and read by all later queries: the downstream
+    steps (slices, models, drift) scan the table, as in production."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _GOLD_ROOTS:
+        root = storage.scratch_path(spark, "gold")
+        flows.Lake(spark, root).write_layer(_gold(spark, sf), "gold_sales_features")
+        _GOLD_ROOTS[key] = root
+    return flows.Lake(spark, _GOLD_ROOTS[key]).layer("gold_sales_features").select(*config.GOLD_COLUMNS)
 
 
 def _int_keys(spark, sf) -> DataFrame:
@@ -320,13 +328,13 @@ def feature_matrix_stats(spark, sf):
 
 
 def ols_normal_equations(spark, sf):
-    m = models.spread(_train_matrix(spark, sf)).persist()
+    m = _train_matrix(spark, sf)
     model = models.fit_baseline(m)
     return models.normal_equation_check(model, m)
 
 
 def forest_invariants(spark, sf):
-    m = models.spread(_train_matrix(spark, sf)).persist()
+    m = _train_matrix(spark, sf)
     model = models.fit_challenger(m, num_trees=100, max_depth=10, seed=42)
     return models.forest_check(model, m)
 
@@ -388,12 +396,12 @@ def alerts_published(spark, sf):
 def run_roundtrip(spark, sf):
     train, test = slices.split_holdout(_gold_table(spark, sf))
     model = models.fit_baseline(models.feature_matrix(train))
-    test_m = models.feature_matrix(test).persist()
+    test_m = models.feature_matrix(test)
     metrics = models.error_metrics(models.score(model, test_m)).first()
     runs_path = storage.scratch_path(spark, "model_runs")
     run_id = registry.record_run(
         spark, runs_path, model, config.BASELINE, P.ENV, metrics["mae"], metrics["rmse"],
-        params={"train_window_days": "all_before_last_90_days"},
+        params={"holdout_days": str(config.HOLDOUT_DAYS)},
     )
     runs = io.read_back(spark, runs_path)
     loaded = registry.load_run_model(runs.filter(F.col("run_id") == run_id))

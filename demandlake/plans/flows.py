@@ -14,8 +14,10 @@ and the empty-evaluation guard.
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ TABLES = (
     "bronze_sales", "silver_sales", "gold_sales_features", "gold_sales_forecast", "model_runs",
     "model_decisions", "model_performance_metrics", "feature_drift_metrics", "ml_alerts",
 )
+STORAGE_MONTH = "storage_month"
+MONTH_FILES = 8
 
 
 @dataclass
@@ -45,9 +49,28 @@ class Lake:
         return io.read_back(self.spark, self.path(name), self.fmt, merge_schema)
 
     def exists(self, name: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        try:
+            self.read(name)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
+        return True
+
+    def layer(self, name: str) -> DataFrame:
+        """A dated layer as its own columns; the storage month stays behind."""
+        return self.read(name).drop(STORAGE_MONTH)
+
+    def write_layer(self, df: DataFrame, name: str, months_only: bool = False) -> None:
+        """Overwrite a dated layer, or only the months that ``df`` holds.
+
+        Full and incremental refreshes share this one layout: folders by
+        month, a month's rows dealt to at most ``MONTH_FILES`` files by
+        series, so files follow the months and not the shuffle partitions."""
+        w = df.withColumn(STORAGE_MONTH, F.date_format("date", "yyyy-MM"))
+        w = w.repartition(F.col(STORAGE_MONTH), F.pmod(F.xxhash64(*config.SERIES), F.lit(MONTH_FILES)))
+        out = w.write.format(self.fmt).mode("overwrite").partitionBy(STORAGE_MONTH)
+        out.option("partitionOverwriteMode", "dynamic" if months_only else "static").save(self.path(name))
 
 
 # ------------------------------------------------------------- training
@@ -57,69 +80,78 @@ def ingest_raw(lake: Lake, raw_path: str, ts: Column | None = None) -> None:
     io.write_table(bronze.ingest(raw, ts), lake.path("bronze_sales"), "append", lake.fmt, evolve=True)
 
 
-def refresh_silver(lake: Lake, as_of: Column | None = None) -> None:
+def refresh_silver(lake: Lake, as_of: Column | None = None, tie_breakers=()) -> None:
+    """Rebuild silver from the whole of bronze."""
     b = lake.read("bronze_sales", merge_schema=True)
-    io.write_table(silver.build_silver(b, as_of), lake.path("silver_sales"), "overwrite", lake.fmt)
+    day = lake.spark.range(1).select((as_of if as_of is not None else F.current_date()).cast("date")).first()[0]
+    order = [F.col("ingestion_timestamp").desc(), *tie_breakers]
+    lake.write_layer(silver.latest_per_key(silver.clean(b, F.lit(day)), config.KEYS, order), "silver_sales")
+    _note_silver(lake, b, silver.clean(b, F.lit(day)), day)
+
+
+def _silver_state(lake: Lake):
+    """The newest state row; None before the first refresh."""
+    if not lake.exists("silver_state"):
+        return None
+    return lake.read("silver_state").orderBy(F.col("refresh_id").desc()).first()
+
+
+def _note_silver(lake: Lake, new: DataFrame, cand: DataFrame, as_of: datetime.date) -> None:
+    """Append what a refresh merged: the series it may have changed with
+    their first date, and the newest load stamp.  Both kinds of refresh note
+    it, so they can follow each other in any order."""
+    st = _silver_state(lake)
+    refresh_id = st["refresh_id"] + 1 if st else 1
+    changes = cand.groupBy(*config.SERIES).agg(F.min("date").alias("from_date"))
+    io.write_table(changes.withColumn("refresh_id", F.lit(refresh_id).cast("long")), lake.path("silver_changes"), "append", lake.fmt)
+    wm = new.agg(F.max("ingestion_timestamp").cast("timestamp").alias("m")).first()["m"]
+    if st and st["bronze_watermark"] is not None and (wm is None or wm < st["bronze_watermark"]):
+        wm = st["bronze_watermark"]
+    row = lake.spark.createDataFrame([(refresh_id, wm, as_of)], "refresh_id long, bronze_watermark timestamp, as_of date")
+    io.write_table(row, lake.path("silver_state"), "append", lake.fmt)
 
 
 def refresh_silver_incremental(
     lake: Lake,
-    as_of: "datetime.date | None" = None,
+    as_of: datetime.date | None = None,
     tie_breakers=(),
 ) -> None:
     """Incremental silver maintenance with the same result as a full rebuild.
 
-    Silver is partitioned by ``date``; a small ``silver_state`` table keeps
-    the newest load already merged (``bronze_watermark``) and the previous
-    ``as_of``.  A run reads only bronze rows loaded after the watermark,
-    plus rows whose date has entered the future-tolerance window since the
-    previous run (both are scan filters, so old row groups are skipped),
-    cleans them, merges them with the current winners of the dates they
-    touch (a semi-join that prunes silver partitions), stages the merged
-    partitions in the shared folder and overwrites only those partitions.
-    Requirements: load stamps increase and ``as_of`` never moves back.
+    Silver is stored by month; a small ``silver_state`` table keeps the
+    newest load already merged (``bronze_watermark``) and the previous
+    ``as_of``.  A run reads the bronze rows loaded at or after the watermark
+    (a later load may carry the same stamp; merging a row again changes
+    nothing), those without a stamp, and those whose date has entered the
+    future-tolerance window since.  They are cleaned, merged with the
+    current winners of the months they touch, staged in the shared folder,
+    and only those months are overwritten.  ``as_of`` never moves back.
     """
-    import datetime
-
     spark = lake.spark
     as_of = as_of or datetime.date.today()
+    st = _silver_state(lake)
+    if st is None:
+        refresh_silver(lake, F.lit(as_of), tie_breakers)
+        return
+    if as_of < st["as_of"]:
+        raise ValueError(f"as_of {as_of} is before the previous refresh's {st['as_of']}")
     as_of_col = F.lit(as_of)
     order = [F.col("ingestion_timestamp").desc(), *tie_breakers]
     bronze_df = lake.read("bronze_sales", merge_schema=True)
-    silver_path, state_path = lake.path("silver_sales"), lake.path("silver_state")
-    if not lake.exists("silver_state"):
-        cand = silver.clean(bronze_df, as_of_col)
-        merged, new = silver.latest_per_key(cand, config.KEYS, order), bronze_df
-        merged.write.format(lake.fmt).mode("overwrite").partitionBy("date").save(silver_path)
-        prev_wm, refresh_id = None, 1
-    else:
-        st = io.read_back(spark, state_path).orderBy(F.col("refresh_id").desc()).first()
-        prev_wm, prev_as_of, refresh_id = st["bronze_watermark"], st["as_of"], st["refresh_id"] + 1
-        if as_of < prev_as_of:
-            raise ValueError(f"as_of {as_of} is before the previous refresh's {prev_as_of}")
-        entering = (F.col("date") > F.date_add(F.lit(prev_as_of), config.FUTURE_TOLERANCE_DAYS)) & (
-            F.col("date") <= F.date_add(as_of_col, config.FUTURE_TOLERANCE_DAYS)
-        )
-        loaded = F.col("ingestion_timestamp") > F.lit(prev_wm) if prev_wm is not None else F.lit(True)
-        new = bronze_df.filter(loaded | entering)
-        cand = silver.clean(new, as_of_col)
-        current = lake.read("silver_sales")
-        old = current.join(cand.select("date").distinct(), "date", "left_semi")
-        merged = silver.latest_per_key(old.unionByName(cand, allowMissingColumns=True), config.KEYS, order)
-        staged = io.materialize(merged.select(*current.columns), storage.scratch_path(spark, "silver_staged"))
-        (
-            staged.write.format(lake.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date").save(silver_path)
-        )
-    # Changed series and their first changed date (<= one row per series),
-    # consumed by refresh_gold_incremental.
-    changes = cand.groupBy(*config.SERIES).agg(F.min("date").alias("from_date"))
-    io.write_table(changes.withColumn("refresh_id", F.lit(refresh_id)), lake.path("silver_changes"), "append", lake.fmt)
-    wm = new.agg(F.max("ingestion_timestamp").alias("m")).first()["m"]
-    if prev_wm is not None and (wm is None or wm < prev_wm):
-        wm = prev_wm
-    state = spark.createDataFrame([(refresh_id, wm, as_of)], "refresh_id long, bronze_watermark timestamp, as_of date")
-    io.write_table(state, state_path, "append", lake.fmt)
+    stamp = F.col("ingestion_timestamp")
+    entering = (F.col("date") > F.date_add(F.lit(st["as_of"]), config.FUTURE_TOLERANCE_DAYS)) & (
+        F.col("date") <= F.date_add(as_of_col, config.FUTURE_TOLERANCE_DAYS)
+    )
+    loaded = stamp.isNull() | (stamp >= F.lit(st["bronze_watermark"])) if st["bronze_watermark"] is not None else F.lit(True)
+    new = bronze_df.filter(loaded | F.coalesce(entering, F.lit(False)))
+    cand = silver.clean(new, as_of_col)
+    current = lake.read("silver_sales")
+    touched = cand.select(F.date_format("date", "yyyy-MM").alias(STORAGE_MONTH)).distinct()
+    old = current.join(touched, STORAGE_MONTH, "left_semi").drop(STORAGE_MONTH)
+    merged = silver.latest_per_key(old.unionByName(cand, allowMissingColumns=True), config.KEYS, order)
+    staged = io.materialize(merged, storage.scratch_path(spark, "silver_staged"))
+    lake.write_layer(staged, "silver_sales", months_only=True)
+    _note_silver(lake, new, cand, as_of)
 
 
 def refresh_gold_incremental(lake: Lake) -> None:
@@ -129,70 +161,75 @@ def refresh_gold_incremental(lake: Lake) -> None:
     For each changed series, rows from its first changed date onward are
     recomputed together with a halo of the 28 rows before it (lags and
     trailing means look back at most 28 rows); the halo is a top-28 per
-    series, so Spark limits it per task before the shuffle.  Touched date
-    partitions are rewritten with the recomputed rows plus the unchanged
-    rows of other series, staged in the shared folder first.  Keys never
-    leave silver, so no partition ever needs deleting.
+    series, so Spark limits it per task before the shuffle.  Touched months
+    are rewritten with the recomputed rows plus the unchanged rows of other
+    series and days, staged in the shared folder first.  Keys never leave
+    silver, so no month ever needs deleting.
     """
     spark = lake.spark
-    gold_path, state_path = lake.path("gold_sales_features"), lake.path("gold_state")
-    sil = lake.read("silver_sales")
-    changes_all = lake.read("silver_changes")
-    last = changes_all.agg(F.max("refresh_id").alias("m")).first()["m"]
     if not lake.exists("gold_state"):
-        gold.build_features(sil).write.format(lake.fmt).mode("overwrite").partitionBy("date").save(gold_path)
-    else:
-        done = io.read_back(spark, state_path).agg(F.max("refresh_id").alias("m")).first()["m"]
-        ch = (
-            changes_all.filter(F.col("refresh_id") > F.lit(done))
-            .groupBy(*config.SERIES).agg(F.min("from_date").alias("from_date"))
-        )
-        if ch.isEmpty():
-            return
-        halo_n = max(config.LAGS + config.ROLLING)
-        sj = sil.join(ch, list(config.SERIES))
-        w_back = Window.partitionBy(*config.SERIES).orderBy(F.col("date").desc())
-        halo = (
-            sj.filter(F.col("date") < F.col("from_date"))
-            .withColumn("_rn", F.row_number().over(w_back))
-            .filter(F.col("_rn") <= halo_n)
-            .drop("_rn")
-        )
-        tail = sj.filter(F.col("date") >= F.col("from_date"))
-        rows = halo.unionByName(tail)  # keeps each series' from_date
-        fresh = (
-            gold.rolling_means(gold.lag_features(gold.calendar_features(rows)))
-            .filter(F.col("date") >= F.col("from_date"))
-            .select(*config.GOLD_COLUMNS)
-        )
-        lo = ch.agg(F.min("from_date")).scalar()
-        old = lake.read("gold_sales_features").filter(F.col("date") >= lo)
-        kept = (
-            old.join(ch, list(config.SERIES), "left")
-            .filter(F.col("from_date").isNull() | (F.col("date") < F.col("from_date")))
-            .select(*config.GOLD_COLUMNS)
-        )
-        staged = io.materialize(kept.unionByName(fresh), storage.scratch_path(spark, "gold_staged"))
-        (
-            staged.write.format(lake.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date").save(gold_path)
-        )
-    io.write_table(spark.createDataFrame([(last,)], "refresh_id long"), state_path, "append", lake.fmt)
+        refresh_gold(lake)
+        return
+    sil = lake.layer("silver_sales")
+    last = _silver_state(lake)["refresh_id"]
+    changes_all = lake.read("silver_changes")
+    done = lake.read("gold_state").agg(F.max("refresh_id").alias("m")).first()["m"]
+    ch = (
+        changes_all.filter(F.col("refresh_id") > F.lit(done))
+        .groupBy(*config.SERIES).agg(F.min("from_date").alias("from_date"))
+    )
+    if ch.isEmpty():
+        return
+    halo_n = max(config.LAGS + config.ROLLING)
+    sj = sil.join(ch, list(config.SERIES))
+    w_back = Window.partitionBy(*config.SERIES).orderBy(F.col("date").desc())
+    halo = (
+        sj.filter(F.col("date") < F.col("from_date"))
+        .withColumn("_rn", F.row_number().over(w_back))
+        .filter(F.col("_rn") <= halo_n)
+        .drop("_rn")
+    )
+    tail = sj.filter(F.col("date") >= F.col("from_date"))
+    rows = halo.unionByName(tail)  # keeps each series' from_date
+    fresh = (
+        gold.rolling_means(gold.lag_features(gold.calendar_features(rows)))
+        .filter(F.col("date") >= F.col("from_date"))
+        .select(*config.GOLD_COLUMNS)
+    )
+    lo = ch.agg(F.date_format(F.min("from_date"), "yyyy-MM")).scalar()
+    old = lake.read("gold_sales_features").filter(F.col(STORAGE_MONTH) >= lo)
+    kept = (
+        old.join(ch, list(config.SERIES), "left")
+        .filter(F.col("from_date").isNull() | (F.col("date") < F.col("from_date")))
+        .select(*config.GOLD_COLUMNS)
+    )
+    staged = io.materialize(kept.unionByName(fresh), storage.scratch_path(spark, "gold_staged"))
+    lake.write_layer(staged, "gold_sales_features", months_only=True)
+    _note_gold(lake, last)
+
+
+def _note_gold(lake: Lake, refresh_id: int) -> None:
+    io.write_table(lake.spark.createDataFrame([(refresh_id,)], "refresh_id long"), lake.path("gold_state"), "append", lake.fmt)
 
 
 def refresh_gold(lake: Lake) -> None:
-    io.write_table(gold.build_features(lake.read("silver_sales")), lake.path("gold_sales_features"), "overwrite", lake.fmt)
+    """Rebuild gold from the whole of silver; notes the silver refresh it
+    has seen, so an incremental run can follow."""
+    st = _silver_state(lake)
+    lake.write_layer(gold.build_features(lake.layer("silver_sales")), "gold_sales_features")
+    if st:
+        _note_gold(lake, st["refresh_id"])
 
 
 def train(lake: Lake, role: str, env: str = "DEV", forest: dict | None = None) -> str:
     """Fit on the holdout's train side, evaluate on its test side, record."""
-    g = lake.read("gold_sales_features")
+    g = lake.layer("gold_sales_features")
     train_df, test_df = slices.split_holdout(g)
     matrix = models.feature_matrix(train_df).persist()
     try:
         if role == config.BASELINE:
             model = models.fit_baseline(matrix)
-            params = {"model_type": models.LINEAR, "train_window_days": "all_before_last_90_days"}
+            params = {"model_type": models.LINEAR, "holdout_days": str(config.HOLDOUT_DAYS)}
         else:
             fp = {"num_trees": 100, "max_depth": 10, "seed": 42, **(forest or {})}
             model = models.fit_challenger(matrix, **fp)
@@ -200,9 +237,9 @@ def train(lake: Lake, role: str, env: str = "DEV", forest: dict | None = None) -
     finally:
         matrix.unpersist()
     m = models.error_metrics(models.score(model, models.feature_matrix(test_df))).first()
-    return registry.record_run(
-        lake.spark, lake.path("model_runs"), model, role, env, m["mae"] or 0.0, m["rmse"] or 0.0, params=params
-    )
+    if not m["n_rows"]:
+        raise RuntimeError(f"the holdout of the {role} run has no complete row; no metrics to record")
+    return registry.record_run(lake.spark, lake.path("model_runs"), model, role, env, m["mae"], m["rmse"], params=params)
 
 
 def forecast(lake: Lake, env: str = "DEV", selector: str = "latest", ts: Column | None = None,
@@ -219,7 +256,7 @@ def forecast(lake: Lake, env: str = "DEV", selector: str = "latest", ts: Column
     if info is None:
         raise RuntimeError("no model run to forecast with")
     model = models.load_model(info["model_type"], info["model_path"])
-    latest = slices.latest_slice(lake.read("gold_sales_features"))
+    latest = slices.latest_slice(lake.layer("gold_sales_features"))
     scored = models.score(model, models.feature_matrix(latest, keep=("date", "store", "item"), label=None))
     out = scored.select(
         "date", "store", "item", *config.FEATURES, "predicted_sales",
@@ -265,7 +302,7 @@ def select_champion(lake: Lake, env: str = "DEV", ts: Column | None = None) -> D
     piv = registry.role_pivot(per_role, "mae").first()
     b_model = _load(lake, F.lit(piv["baseline_run_id"]))
     c_model = _load(lake, F.lit(piv["challenger_run_id"]))
-    ev = slices.complete_rows(slices.since(lake.read("gold_sales_features"), config.EVAL_DAYS),
+    ev = slices.complete_rows(slices.since(lake.layer("gold_sales_features"), config.EVAL_DAYS),
                               ["date", "store", "item", config.TARGET, *config.FEATURES])
     scored = models.score_side_by_side(ev, {"pred_b": b_model, "pred_c": c_model})
     maes = models.mae_by(scored, {"baseline_mae": "pred_b", "challenger_mae": "pred_c"})
@@ -275,9 +312,9 @@ def select_champion(lake: Lake, env: str = "DEV", ts: Column | None = None) -> D
 
 def monitor_performance(lake: Lake, env: str = "DEV", ts: Column | None = None, rollback: float | None = None) -> DataFrame:
     th = config.Thresholds.for_env(env)
-    ev = slices.complete_rows(slices.since(lake.read("gold_sales_features"), config.EVAL_DAYS),
+    ev = slices.complete_rows(slices.since(lake.layer("gold_sales_features"), config.EVAL_DAYS),
                               ["date", "store", "item", config.TARGET, *config.FEATURES])
-    slices.require_rows(ev, "evaluation data available for performance monitoring")
+    slices.require_rows(ev, "performance monitoring")
     ptr = registry.active_decision(lake.read("model_decisions")).first()
     per_role = registry.latest_per_role(registry.runs_for_env(lake.read("model_runs"), env))
     base_id = registry.role_pivot(per_role, "mae").first()["baseline_run_id"]
@@ -294,7 +331,7 @@ def monitor_performance(lake: Lake, env: str = "DEV", ts: Column | None = None,
 
 
 def monitor_drift(lake: Lake, ts: Column | None = None) -> DataFrame:
-    d = monitoring.drift_metrics(lake.read("gold_sales_features"), ts)
+    d = monitoring.drift_metrics(lake.layer("gold_sales_features"), ts)
     io.write_table(schemas.conform(d, schemas.DRIFT), lake.path("feature_drift_metrics"), "append", lake.fmt)
     return lake.read("feature_drift_metrics")
 

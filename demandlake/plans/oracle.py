@@ -15,18 +15,17 @@ M32 = "4294967295"
 
 SALES_FACTS = """
   SELECT CAST(l_shipdate AS DATE) AS date,
-         CAST(n_regionkey AS VARCHAR) AS store,
+         CAST(l_suppkey AS VARCHAR) AS store,
          p_type AS item,
          CAST(SUM(l_quantity) AS INTEGER) AS sales
   FROM lineitem
   JOIN supplier ON l_suppkey = s_suppkey
-  JOIN nation ON s_nationkey = n_nationkey
   JOIN part ON l_partkey = p_partkey
-  GROUP BY CAST(l_shipdate AS DATE), CAST(n_regionkey AS VARCHAR), p_type"""
+  GROUP BY CAST(l_shipdate AS DATE), CAST(l_suppkey AS VARCHAR), p_type"""
 
 BRONZE_DIRTY = """
   SELECT CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS date,
-         CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE CAST(n_regionkey AS VARCHAR) END AS store,
+         CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE CAST(l_suppkey AS VARCHAR) END AS store,
          CASE WHEN l_orderkey % 83 = 0 THEN NULL ELSE p_type END AS item,
          CASE WHEN l_orderkey % 71 = 0 THEN NULL
               WHEN l_returnflag = 'R' AND l_linenumber % 2 = 0 THEN -CAST(l_quantity AS INTEGER)
@@ -40,7 +39,6 @@ BRONZE_DIRTY = """
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN supplier ON l_suppkey = s_suppkey
-  JOIN nation ON s_nationkey = n_nationkey
   JOIN part ON l_partkey = p_partkey"""
 
 RAW_STRINGS = """

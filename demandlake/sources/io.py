@@ -18,10 +18,12 @@ from demandlake.sources.schemas import RAW_REQUIRED, conform
 def read_raw_sales(spark: SparkSession, path: str, required: Sequence[str] = RAW_REQUIRED) -> DataFrame:
     """CSV with a header, no inference: every column arrives as STRING.
 
-    Columns are resolved by header name, so extra columns pass through and
-    column order does not matter; the required ones must be present.
+    Columns are named by the header, so extra columns pass through; the
+    required ones must be present.  Every file's header is checked against
+    the table's: a folder whose files order their columns differently fails
+    instead of being read by position.
     """
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    df = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"raw file {path} lacks required columns {missing}")
@@ -85,10 +87,14 @@ def reset_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 def control_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
     """A few driver-made control rows (a run record, a decision) under a
     declared contract; never used for facts."""
-    rows = list(rows)
-    if len(rows) > 1000:
-        raise ValueError("control_rows is for a handful of control records, not facts")
-    return conform(spark.createDataFrame(rows, schema), schema)
+    return conform(spark.createDataFrame(list(rows), schema), schema)
+
+
+def save_named(df: DataFrame, name: str, path: str | None = None, mode: str = "append", fmt: str = "parquet") -> None:
+    """Write a catalog table by name; ``path`` keeps its files in a shared
+    folder instead of the warehouse.  ``read_table(root=None)`` reads it."""
+    w = df.write.format(fmt).mode(mode)
+    (w.option("path", path) if path else w).saveAsTable(name)
 
 
 def append_if_any(df: DataFrame, path: str, fmt: str = "parquet") -> None:

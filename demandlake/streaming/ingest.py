@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from demandlake.operators import bronze
-from demandlake.sources import schemas, storage
+from demandlake.sources import schemas
 
 
 def raw_schema(spark: SparkSession, raw_dir: str) -> T.StructType:
@@ -36,14 +36,16 @@ def start_bronze_stream(
     with_promo: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    reader = spark.readStream.option("header", True).schema(raw_schema(spark, raw_dir))
+    """``checkpoint`` defaults to a folder beside the target, so a restart of
+    the same ingestion finds it."""
+    reader = spark.readStream.option("header", True).option("enforceSchema", False).schema(raw_schema(spark, raw_dir))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     out = bronze.ingest(reader.csv(raw_dir), with_promo=with_promo)
     w = (
         out.writeStream.format("parquet")
         .outputMode("append")
-        .option("checkpointLocation", checkpoint or storage.scratch_path(spark, "bronze_stream_checkpoint"))
+        .option("checkpointLocation", checkpoint or f"{bronze_path.rstrip('/')}.checkpoint")
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(bronze_path)
