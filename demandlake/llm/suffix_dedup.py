@@ -46,13 +46,23 @@ REACH = LENGTH - GRAM  # bytes that a string may reach before its anchor
 WIDTH = LENGTH + REACH
 CHUNK = 1 << 20
 #: Text bytes whose anchors one part takes, and contexts that one shard takes.
-PART_BYTES = 16 << 20
+PART_BYTES = 4 << 20
 SHARD_CONTEXTS = 60_000
 #: Contexts of one suffix array, but for one gram's.
 ARRAY_CONTEXTS = 15_000
 MERGE_BUCKETS = 64
 
 
+def _row_hash(rows: np.ndarray) -> np.ndarray:
+    """64-bit hash of each row of a byte matrix."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    out = np.zeros(len(rows), np.uint64)
+    for w in wide.view(np.uint64).T:
+        out = T.mix(out * T.U(0x9E3779B97F4A7C15) + w + T.U(1))
+    return out
+
+
 def _slide(x: np.ndarray, width: int, best) -> np.ndarray:
     """``best`` over each run of ``width`` entries (shorter result)."""
     out, have = x, 1
@@ -173,12 +183,13 @@ def _contexts(parts: int):
                 continue
             at, part, doc = at[hit], part[hit], doc[hit]
             lo, hi = np.maximum(off[doc], at - REACH), np.minimum(off[doc + 1], at + LENGTH)
-            cols = at[:, None].astype(np.int32) + np.arange(-REACH, LENGTH, dtype=np.int32)[None, :]
-            inside = (cols >= lo[:, None]) & (cols < hi[:, None])
-            ctx = np.where(inside, data[np.clip(cols, 0, len(data) - 1)], 0).astype(np.uint8)
             left, right = (at - lo).astype(np.uint8), (hi - at).astype(np.uint8)
+            padded = np.r_[np.zeros(REACH, np.uint8), data, np.zeros(LENGTH, np.uint8)]
+            ctx = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[at]
+            column = np.arange(WIDTH, dtype=np.uint8)
+            ctx[(column < (REACH - left)[:, None]) | (column >= (REACH + right)[:, None])] = 0  # other texts
             whole = np.ascontiguousarray(np.column_stack([ctx, left, right]))
-            key = T.span_hash(T.prefix_hash(whole.ravel()), np.arange(len(whole)) * (WIDTH + 2), np.arange(1, len(whole) + 1) * (WIDTH + 2))
+            key = _row_hash(whole)
             own = ids[doc]
             o = np.lexsort((own, key))
             head = np.r_[True, key[o][1:] != key[o][:-1]]
@@ -276,8 +287,7 @@ def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     own = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["b"]])
     pos = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["c"]])
     base = int(pdf["part"].iloc[0]) * MERGE_BUCKETS if int(pdf["shards"].iloc[0]) > 1 else None
-    gram = np.ascontiguousarray(whole[:, REACH : REACH + GRAM])
-    h = T.span_hash(T.prefix_hash(gram.ravel()), np.arange(len(gram)) * GRAM, np.arange(1, len(gram) + 1) * GRAM)
+    h = _row_hash(whole[:, REACH : REACH + GRAM])
     out = []
     for _, idx in _per_doc((h % T.U(max(1, len(whole) // ARRAY_CONTEXTS))).astype(np.int64), np.arange(len(whole))):
         out += _array(whole[idx], own[idx], pos[idx], base)
@@ -304,8 +314,8 @@ def _array(whole: np.ndarray, own: np.ndarray, pos: np.ndarray, base: int | None
     out = [(0, d, p.tobytes(), m.tobytes(), None, None) for d, p, m in _per_doc(own[some], pos[some], bits[some])]
     if base is not None:  # in suffix order, so every bucket's strings are sorted
         mine = np.flatnonzero(~dup)
-        flat = np.ascontiguousarray(text[place[mine][:, None] + np.arange(LENGTH)[None, :]])
-        h = T.span_hash(T.prefix_hash(flat.ravel()), np.arange(len(flat)) * LENGTH, np.arange(1, len(flat) + 1) * LENGTH)
+        flat = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[place[mine]]
+        h = _row_hash(flat)
         for k, s, d, p, c in _per_doc((h % T.U(MERGE_BUCKETS)).astype(np.int64), flat, own[row[mine]], pos[row[mine]], col[mine]):
             out.append((1, base + k, s.tobytes(), d.tobytes(), p.tobytes(), c.astype(np.int64).tobytes()))
     return out
