@@ -46,10 +46,10 @@ REACH = LENGTH - GRAM  # bytes that a string may reach before its anchor
 WIDTH = LENGTH + REACH
 CHUNK = 1 << 20
 #: Text bytes whose anchors one part takes, and contexts that one shard takes.
-PART_BYTES = 4 << 20
-SHARD_CONTEXTS = 60_000
+PART_BYTES = 2 << 20
+SHARD_CONTEXTS = 20_000
 #: Contexts of one suffix array, but for one gram's.
-ARRAY_CONTEXTS = 15_000
+ARRAY_CONTEXTS = 4_000
 MERGE_BUCKETS = 64
 
 
@@ -226,9 +226,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key |= padded[j : j + n].astype(np.uint64) << T.U(56 - 8 * j)
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key, kind="stable").astype(np.int32)
     s = key[sa]
-    rank = np.zeros(n, np.int64)
+    rank = np.zeros(n, np.int32)
 
     def groups(edge, order, base):
         start = np.flatnonzero(edge)
@@ -237,7 +237,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         return np.repeat(size > 1, size)
 
     edge = np.r_[True, s[1:] != s[:-1]] if n else np.zeros(0, bool)
-    open_ = np.flatnonzero(groups(edge, sa, np.arange(n)))
+    del key, s
+    open_ = np.flatnonzero(groups(edge, sa, np.arange(n, dtype=np.int32))).astype(np.int32)
     h = 8
     while len(open_):
         order = sa[open_]
@@ -256,7 +257,7 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, width: int, cap: int = LEN
     entry before.  Kasai's walk: one place further to the right at most one
     byte is lost.  ``text`` is rows of ``width``; all rows walk in step."""
     n = len(text)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
     padded = np.r_[text, np.zeros(cap + 1, np.uint8)]
     lcp = np.zeros(n, np.uint8)
