@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake.llm import textops as T
@@ -210,20 +210,22 @@ class _Join:
         best = own.select("cid", cost.alias("cost")).select("cid", F.array_position("cost", F.array_min("cost")).cast("int").alias("level"))
         return lists.drop("m").join(best, "cid").where("at <= level")
 
-    def open_lists(self) -> DataFrame:
+    def open_lists(self, turns: int = 1) -> DataFrame:
         """The entries that can still matter, each with its set's component: in
         lists that hold several components, and of sets with as many such
         entries as a pair needs."""
+        # what one call drops, merged components leave dropped: the next call goes on from here
         own = self.lists
         if self.label is None:
             own = own.withColumn("comp", F.col("cid"))
         else:
             own = own.join(self.label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        for _ in range(PEEL):  # dropping entries closes lists, closed lists drop entries
-            lists = own.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("level").alias("least")).where("a != b")
-            own = own.join(lists.select("token", "least"), "token")
-            have = own.groupBy("cid").agg(F.count(F.lit(1)).alias("have"))
-            own = keep(own.join(have, "cid").where("have >= least(level, least)").drop("have", "least"), "open-lists")
+        by_token, by_set = Window.partitionBy("token"), Window.partitionBy("cid")
+        for _ in range(turns):  # dropping entries closes lists, closed lists drop entries
+            held = own.select("*", F.min("comp").over(by_token).alias("a"), F.max("comp").over(by_token).alias("b"), F.min("level").over(by_token).alias("least"))
+            have = held.where("a != b").drop("a", "b").withColumn("have", F.count(F.lit(1)).over(by_set))
+            own = keep(have.where("have >= least(level, least)").drop("have", "least"), "open-lists")
+        self.lists = own.drop("comp")
         return own
 
     @staticmethod
@@ -292,7 +294,7 @@ class _Join:
         for r in range(ROUNDS):
             if not self.add(self.verify(self.star_pairs(self.open_lists(), 1 + r * CENTRES))):
                 break
-        self.add(self.verify(self.all_pairs(self.open_lists())))
+        self.add(self.verify(self.all_pairs(self.open_lists(PEEL))))
         cls = self.classes.select("cid", "n", "d1", "d2", "copies")
         if self.label is None:
             cls = cls.withColumn("comp", F.col("cid"))
