@@ -191,8 +191,8 @@ class _Join:
         first = F.col("n") - F.ceil(F.col("n") * SIM[0] / SIM[1])  # tokens of level 0
         entry = prefix.select("cid", "n", first.alias("first"), F.posexplode("prefix").alias("pos", "token"))
         entry = entry.select("token", "cid", (F.col("n") * 64 + F.greatest(F.lit(1), F.col("pos") + 1 - F.col("first"))).alias("pack"))
-        several = entry.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        lists = keep(entry.join(several, "token").select("token", "cid", F.floor(F.col("pack") / 64).cast("int").alias("n"), (F.col("pack") % 64).cast("int").alias("at"), "m"), "all-lists")
+        entry = entry.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
+        lists = keep(entry.select("token", "cid", F.floor(F.col("pack") / 64).cast("int").alias("n"), (F.col("pack") % 64).cast("int").alias("at"), "m"), "all-lists")
         self.lists = keep(self.with_level(lists), "lists")
         self.links = None
         self.label = None
