@@ -8,10 +8,11 @@ for l matches before a pair is verified; both costs are estimated from the
 lengths of the set's own index lists.  A pair is a candidate if it shares
 ``min(l_x, l_y)`` tokens that belong to both prefixes of that level.
 
-The order puts common tokens last (found chunk by chunk over the whole
-corpus, at most ``HEAVY`` of them), everything else by hash.  Any order
-gives the same result; this one keeps a passage that many documents share
-out of the prefixes.
+The order puts common tokens last: tokens that texts of a chunk share are
+counted over the whole corpus, and a table of ``CELLS`` cells holds the
+largest count class of the tokens that fall into each; equal classes go by
+hash.  Any order gives the same result; this one keeps a passage that many
+documents share out of the prefixes.
 
 Sets that are equal form one class, indexed once.  A token's members are not
 paired with each other: in each round a member is compared with the token's
@@ -34,13 +35,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake.llm import textops as T
-from demandlake.llm.tables import keep, most_frequent
+from demandlake.llm.tables import keep
 
 SHINGLE = 5
 SIM = (75, 100)  # 100 * intersection >= 75 * union
 MAX_LEVEL = 16
-HEAVY = 1 << 16
-HEAVY_LEAST = 8
+#: Cells of the table of count classes, a byte each.
+CELLS = 1 << 21
 CENTRES = 2
 ROUNDS = 4
 PEEL = 3
@@ -103,21 +104,25 @@ def _digests(h: np.ndarray, soff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return T.totals(T.mix(h), soff).view(np.int64), T.totals(T.mix(h ^ T.U(0xA5A5A5A5A5A5A5A5)), soff).view(np.int64)
 
 
-def _prefixes(heavy_tokens: np.ndarray, heavy_n: np.ndarray):
+def _count_classes(counted: DataFrame) -> np.ndarray:
+    """The largest class of ``n`` (quarters of powers of two) among the tokens
+    of each cell; CELLS / 8 rows come to the driver at most."""
+    cls = F.least(F.lit(127), F.floor(F.log2(F.col("n").cast("double")) * 4)).cast("long")
+    cell = counted.groupBy(F.col("token").bitwiseAND(CELLS - 1).alias("cell")).agg(F.max(cls).alias("c"))
+    eight = F.bit_or(F.expr("shiftleft(c, CAST((cell & 7) * 8 AS INT))"))
+    got = cell.groupBy(F.shiftright("cell", 3).alias("at")).agg(eight.alias("w")).toPandas()
+    words = np.zeros(CELLS // 8, np.int64)
+    words[got["at"].to_numpy(np.int64)] = got["w"].to_numpy(np.int64)
+    return words.view(np.uint8)
+
+
+def _prefixes(classes: np.ndarray):
     """Texts -> size, digest and the longest prefix that any level may need."""
-    by_token = np.argsort(heavy_tokens)
-    sorted_tokens, sorted_n = heavy_tokens[by_token], heavy_n[by_token]
-    rank = np.empty(len(heavy_tokens), np.uint64)
-    rank[np.lexsort((sorted_tokens, sorted_n))] = np.arange(len(heavy_tokens), dtype=np.uint64)
 
     def run(batches):
         for _, data, off in T.chunks(batches, limit=CHUNK):
             h, soff = shingles(data, off)
-            order = h >> T.U(1)
-            if len(sorted_tokens):
-                at = np.minimum(np.searchsorted(sorted_tokens, h), len(sorted_tokens) - 1)
-                hit = sorted_tokens[at] == h
-                order[hit] = T.U(1 << 63) + rank[at[hit]]
+            order = classes[h & T.U(CELLS - 1)].astype(np.uint64) << T.U(56) | h >> T.U(8)
             d1, d2 = _digests(h, soff)
             size, signed = np.diff(soff), h.view(np.int64)
             lens = np.where(size > 0, size - needed(size) + np.minimum(MAX_LEVEL, needed(size)), 0)
@@ -180,9 +185,7 @@ class _Join:
         kind = dict(docs.dtypes)["doc_id"]
         seen = keep(self.texts.mapInArrow(_survey, f"doc_id {kind}, n long, d1 long, d2 long, token long").withColumn("row", F.monotonically_increasing_id()), "survey")
         self.rows = seen.where("token IS NULL").drop("token")
-        counted = keep(seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= HEAVY_LEAST), "common-tokens")
-        heavy = most_frequent(counted, HEAVY).toPandas()
-        run = _prefixes(heavy["token"].to_numpy(np.int64).view(np.uint64), heavy["n"].to_numpy(float))
+        run = _prefixes(_count_classes(seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))))
         key = ["n", "d1", "d2"]
         cls = self.rows.where("n > 0").groupBy(*key).agg(F.min("row").alias("cid"), F.count(F.lit(1)).alias("copies"))
         self.classes = keep(cls, "classes")
