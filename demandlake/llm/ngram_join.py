@@ -84,14 +84,16 @@ def _survey(batches):
         n = np.diff(np.r_[first, len(h)])
         many = n > 1
         ids, none = rows.column("doc_id"), np.ones(int(many.sum()), bool)
-        yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(soff).astype(np.int64)), pa.array(d1), pa.array(d2), pa.nulls(len(ids), pa.int64())], _SURVEY)
+        yield pa.RecordBatch.from_arrays(
+            [ids, pa.array(np.diff(soff).astype(np.int64)), pa.array(d1), pa.array(d2), rows.column("th"), pa.nulls(len(ids), pa.int64())], _SURVEY
+        )
         zero = pa.array(np.zeros(len(none), np.int64))
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(none), ids.type), pa.array(n[many].astype(np.int64)), zero, zero, pa.array(h[first][many].view(np.int64))], _SURVEY
+            [pa.nulls(len(none), ids.type), pa.array(n[many].astype(np.int64)), zero, zero, zero, pa.array(h[first][many].view(np.int64))], _SURVEY
         )
 
 
-_SURVEY = ["doc_id", "n", "d1", "d2", "token"]
+_SURVEY = ["doc_id", "n", "d1", "d2", "th", "token"]
 
 
 def needed(n):
@@ -135,19 +137,21 @@ def _prefixes(classes: np.ndarray):
 
 
 def _sets(wanted: np.ndarray):
-    """Texts whose digest may be wanted (a bit array; false hits only cost
-    work) -> their whole sets."""
-    bits = np.unpackbits(wanted.view(np.uint8), bitorder="little")
+    """Texts whose hash may be wanted (a bit array; false hits only cost
+    work) -> their whole sets.  Other texts are left out unread."""
+    bits = np.unpackbits(wanted.view(np.uint8), bitorder="little").astype(bool)
+
+    def picked(batches):
+        for b in batches:
+            th = b.column("th").to_numpy(zero_copy_only=False)
+            yield b.filter(pa.array(bits[th & (FILTER_BITS - 1)] & bits[(th >> 32) & (FILTER_BITS - 1)]))
 
     def run(batches):
-        for _, data, off in T.chunks(batches, limit=CHUNK):
+        for _, data, off in T.chunks(picked(batches), limit=CHUNK):
             h, soff = shingles(data, off)
             d1, d2 = _digests(h, soff)
-            pick = np.flatnonzero(bits[(d1 & (FILTER_BITS - 1))] & bits[(d2 & (FILTER_BITS - 1))] & (np.diff(soff) > 0))
-            sizes = np.diff(soff)[pick]
-            tokens = np.concatenate([h[soff[i] : soff[i + 1]] for i in pick]) if len(pick) else np.zeros(0, np.uint64)
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(tokens.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(sizes.astype(np.int64)), pa.array(d1[pick]), pa.array(d2[pick]), lists], ["n", "d1", "d2", "tokens"])
+            lists = pa.ListArray.from_arrays(pa.array(soff.astype(np.int32)), pa.array(h.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.diff(soff).astype(np.int64)), pa.array(d1), pa.array(d2), lists], ["n", "d1", "d2", "tokens"])
 
     return run
 
@@ -181,13 +185,14 @@ class _Join:
     """The state of one join: classes, token lists, verified links."""
 
     def __init__(self, docs: DataFrame):
-        self.texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        text = F.col("text").cast("string")
+        self.texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("th"))
         kind = dict(docs.dtypes)["doc_id"]
-        seen = keep(self.texts.mapInArrow(_survey, f"doc_id {kind}, n long, d1 long, d2 long, token long").withColumn("row", F.monotonically_increasing_id()), "survey")
+        seen = keep(self.texts.mapInArrow(_survey, f"doc_id {kind}, n long, d1 long, d2 long, th long, token long").withColumn("row", F.monotonically_increasing_id()), "survey")
         self.rows = seen.where("token IS NULL").drop("token")
         run = _prefixes(_count_classes(seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))))
         key = ["n", "d1", "d2"]
-        cls = self.rows.where("n > 0").groupBy(*key).agg(F.min("row").alias("cid"), F.count(F.lit(1)).alias("copies"))
+        cls = self.rows.where("n > 0").groupBy(*key).agg(F.min("row").alias("cid"), F.min("th").alias("th"), F.count(F.lit(1)).alias("copies"))
         self.classes = keep(cls, "classes")
         prefix = self.texts.select("text").mapInArrow(run, "n long, d1 long, d2 long, prefix array<long>").where("n > 0")
         prefix = keep(prefix.groupBy(*key).agg(F.first("prefix").alias("prefix")).join(self.classes, key).select("cid", "n", "prefix"), "prefixes")
@@ -271,14 +276,14 @@ class _Join:
         """The pairs whose whole sets are similar enough."""
         pairs = keep(pairs, "pairs")
         wanted = pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct()
-        cls = keep(self.classes.join(wanted, "cid").select("cid", "n", "d1", "d2"), "wanted")
-        bit = cls.select(F.explode(F.array("d1", "d2")).alias("d")).select(F.col("d").bitwiseAND(FILTER_BITS - 1).alias("bit"))
+        cls = keep(self.classes.join(wanted, "cid").select("cid", "n", "d1", "d2", "th"), "wanted")
+        bit = cls.select(F.explode(F.array("th", F.shiftright("th", 32))).alias("d")).select(F.col("d").bitwiseAND(FILTER_BITS - 1).alias("bit"))
         one = F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")
         got = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(one).alias("w")).toPandas()  # FILTER_BITS / 64 rows at most
         words = np.zeros(FILTER_BITS // 64, np.int64)
         words[got["at"].to_numpy(np.int64)] = got["w"].to_numpy(np.int64)
-        sets = self.texts.select("text").mapInArrow(_sets(words), "n long, d1 long, d2 long, tokens array<long>")
-        sets = keep(sets.join(cls, ["n", "d1", "d2"]).dropDuplicates(["cid"]).select("cid", "n", "tokens"), "sets")
+        sets = self.texts.select("text", "th").mapInArrow(_sets(words), "n long, d1 long, d2 long, tokens array<long>")
+        sets = keep(sets.join(cls.drop("th"), ["n", "d1", "d2"]).dropDuplicates(["cid"]).select("cid", "n", "tokens"), "sets")
         left = pairs.join(sets.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("sx")), "x")
         both = left.join(sets.select(F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("tokens").alias("sy")), "y")
         inter = F.size(F.array_intersect("sx", "sy"))
