@@ -18,7 +18,8 @@ Sets that are equal form one class, indexed once.  A token's members are not
 paired with each other: in each round a member is compared with the token's
 hash-chosen centres, verified links are contracted to components, and only
 lists that still hold several components go on.  What remains is compared
-exactly: all pairs of different components with enough shared tokens.
+exactly, in blocks: the sets outside a list's largest component against every
+set of another component that shares enough tokens with their block.
 No partner or candidate is dropped, so the components are those of all links.
 
 Defined results: null or empty text has no set and is linked with nothing;
@@ -46,6 +47,11 @@ CENTRES = 2
 ROUNDS = 4
 PEEL = 3
 CHUNK = 4 << 20
+#: Tokens of the queries of one block, and of the sets of one shard that it meets.
+BLOCK_TOKENS = 1 << 17
+SHARD_TOKENS = 1 << 18
+#: Shared tokens, and pairs, that a block counts in one step.
+STEP = 4 << 20
 #: Bits of the filter that spares the texts of unneeded sets a shuffle.
 FILTER_BITS = 1 << 23
 
@@ -156,6 +162,45 @@ def _sets(wanted: np.ndarray):
     return run
 
 
+def _compare(table: pa.Table) -> pa.Table:
+    """A block's queries against one shard: (x, y) of the links between
+    different components, one for each query and component."""
+    query, cid, comp = (table.column(c).to_numpy() for c in ("query", "cid", "comp"))
+    lists = table.column("tokens").combine_chunks()
+    size, flat = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy()
+    owner = np.repeat(np.arange(len(size)), size)
+    asks = query[owner]
+    xs, ys = np.flatnonzero(query), np.flatnonzero(~query)
+    number = np.cumsum(query) - 1  # of a query among the queries
+    o = np.argsort(flat[asks], kind="stable")
+    token, holder = flat[asks][o], number[owner[asks][o]]
+    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
+    held, vocab = np.diff(np.r_[first, len(token)]), token[first]
+    at = np.searchsorted(vocab, flat[~asks])
+    at[at == len(vocab)] = 0
+    hit = vocab[at] == flat[~asks] if len(vocab) else np.zeros(len(at), bool)
+    at, row = at[hit], (np.cumsum(~query) - 1)[owner[~asks][hit]]
+    start = np.searchsorted(row, np.arange(len(ys) + 1))
+    cost = np.r_[0, np.cumsum(held[at])][start]
+    most, a, links = max(1, STEP // max(1, len(xs))), 0, []
+    while a < len(ys):
+        z = int(np.searchsorted(cost, cost[a] + STEP, "right")) - 1
+        z = min(max(z, a + 1), a + most, len(ys))
+        part = at[start[a] : start[z]]
+        k = held[part]
+        inner = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        x = holder[np.repeat(first[part], k) + inner]
+        shared = np.bincount(np.repeat(row[start[a] : start[z]] - a, k) * len(xs) + x, minlength=1)
+        pair = np.flatnonzero(shared)
+        i, x, y = shared[pair], xs[pair % len(xs)], ys[a + pair // len(xs)]
+        similar = (SIM[1] * i >= SIM[0] * (size[x] + size[y] - i)) & (comp[x] != comp[y])
+        links.append(np.column_stack([x[similar], y[similar]]))
+        a = z
+    links = np.concatenate(links) if links else np.zeros((0, 2), np.int64)
+    _, one = np.unique(np.column_stack([links[:, 0], comp[links[:, 1]]]), axis=0, return_index=True)
+    return pa.table({"x": pa.array(cid[links[one, 0]]), "y": pa.array(cid[links[one, 1]])})
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of all nodes of ``edges(x, y)``; comp is the smallest node.
     Roots hook to smaller roots, chains are halved, edges are contracted:
@@ -262,33 +307,59 @@ class _Join:
         best = one.groupBy("m").agg(F.max(F.struct("shared", "x", "y")).alias("b"))
         return best.select("b.x", "b.y").distinct()
 
-    def all_pairs(self, lists: DataFrame) -> DataFrame:
-        """Every pair of different components that shares enough tokens: the
-        members outside a list's largest component against its others."""
-        size = lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
-        main = size.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("m")).select("token", F.col("m.comp").alias("main"))
-        a = lists.join(main, "token").where("comp != main")
-        b = lists.select("token", *[F.col(x).alias(f"{x}2") for x in ("cid", "n", "level", "at", "comp")])
-        pairs = a.join(b, "token").where("comp != comp2 AND (comp2 = main OR comp < comp2)")
-        return self.enough(pairs).select("x", "y")
-
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose whole sets are similar enough."""
-        pairs = keep(pairs, "pairs")
-        wanted = pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct()
-        cls = keep(self.classes.join(wanted, "cid").select("cid", "n", "d1", "d2", "th"), "wanted")
+    def sets_of(self, wanted: DataFrame) -> DataFrame:
+        """(cid, n, tokens) of the wanted classes, from one more pass over the texts."""
+        cls = keep(self.classes.join(wanted.select("cid").distinct(), "cid").select("cid", "n", "d1", "d2", "th"), "wanted")
         bit = cls.select(F.explode(F.array("th", F.shiftright("th", 32))).alias("d")).select(F.col("d").bitwiseAND(FILTER_BITS - 1).alias("bit"))
         one = F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")
         got = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(one).alias("w")).toPandas()  # FILTER_BITS / 64 rows at most
         words = np.zeros(FILTER_BITS // 64, np.int64)
         words[got["at"].to_numpy(np.int64)] = got["w"].to_numpy(np.int64)
         sets = self.texts.select("text", "th").mapInArrow(_sets(words), "n long, d1 long, d2 long, tokens array<long>")
-        sets = keep(sets.join(cls.drop("th"), ["n", "d1", "d2"]).dropDuplicates(["cid"]).select("cid", "n", "tokens"), "sets")
+        return keep(sets.join(cls.drop("th"), ["n", "d1", "d2"]).dropDuplicates(["cid"]).select("cid", "n", "tokens"), "sets")
+
+    def verify(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose whole sets are similar enough."""
+        pairs = keep(pairs, "pairs")
+        sets = self.sets_of(pairs.select(F.explode(F.array("x", "y")).alias("cid")))
         left = pairs.join(sets.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("sx")), "x")
         both = left.join(sets.select(F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("tokens").alias("sy")), "y")
         inter = F.size(F.array_intersect("sx", "sy"))
         return keep(both.select("x", "y", "nx", "ny", inter.alias("i")).where(f"{SIM[1]} * i >= {SIM[0]} * (nx + ny - i)").select("x", "y"), "links")
 
+    def block_links(self, lists: DataFrame) -> DataFrame:
+        """The links left between different components, one at least for each
+        set and component that it is linked with.
+
+        The queries are the sets outside the largest component of one of their
+        lists: every open pair has one.  Queries that share their longest list
+        are dealt to blocks of bounded size; a block meets once each set that
+        shares as many listed tokens with all its queries as a pair needs, and
+        those sets are dealt to shards of bounded size."""
+        size = lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
+        main = size.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("held")).select("token", F.col("m.comp").alias("main"), "held")
+        out = lists.join(main, "token").where("comp != main")
+        query = out.groupBy("cid").agg(F.first("n").alias("n"), F.first("level").alias("level"), F.first("comp").alias("comp"), F.max(F.struct("held", "token")).alias("h"))
+        query = keep(query.select("cid", "n", "level", "comp", F.col("h.token").alias("home")), "queries")
+        total = query.agg(F.sum("n")).first()[0] or 0
+        home = query.groupBy("home").agg(F.sum("n").alias("tokens"))
+        own = F.xxhash64("home", F.pmod(F.xxhash64("cid"), F.ceil(F.col("tokens") / BLOCK_TOKENS)))
+        small = F.pmod(F.xxhash64("home"), F.lit(1 + total // BLOCK_TOKENS))
+        query = keep(query.join(home, "home").withColumn("block", F.when(F.col("tokens") > BLOCK_TOKENS, own).otherwise(small)).drop("home", "tokens"), "blocks")
+
+        asked = lists.select("token", "cid").join(query.select("cid", "block"), "cid").select("token", "block").distinct()
+        met = lists.join(asked, "token").groupBy("block", "cid").agg(F.first("n").alias("n"), F.first("level").alias("level"), F.first("comp").alias("comp"), F.count(F.lit(1)).alias("k"))
+        bound = query.groupBy("block").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"), F.min("level").alias("l_least"))
+        fits = (F.col("k") >= F.least("level", "l_least")) & (F.col("n") * SIM[1] >= F.col("n_least") * SIM[0]) & (F.col("n_most") * SIM[1] >= F.col("n") * SIM[0])
+        met = keep(met.join(bound, "block").where(fits).select("block", "cid", "n", "comp"), "met")
+        shards = keep(met.groupBy("block").agg(F.ceil(F.sum("n") / SHARD_TOKENS).cast("int").alias("shards")), "shards")
+
+        sets = self.sets_of(met.select("cid").unionByName(query.select("cid"))).select("cid", "tokens")
+        left = query.select("block", "cid", "comp").join(shards, "block").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+        right = met.select("block", "cid", "comp").join(shards, "block").withColumn("shard", F.pmod(F.xxhash64("cid"), F.col("shards")).cast("int"))
+        both = left.withColumn("query", F.lit(True)).unionByName(right.withColumn("query", F.lit(False))).drop("shards").join(sets, "cid")
+        return keep(both.groupBy("block", "shard").applyInArrow(_compare, "x long, y long"), "links")
+
     def add(self, links: DataFrame) -> bool:
         """Contract new links; false if there are none."""
         if links.isEmpty():
@@ -302,7 +373,7 @@ class _Join:
         for r in range(ROUNDS):
             if not self.add(self.verify(self.star_pairs(self.open_lists(), 1 + r * CENTRES))):
                 break
-        self.add(self.verify(self.all_pairs(self.open_lists(PEEL))))
+        self.add(self.block_links(self.open_lists(PEEL)))
         cls = self.classes.select("cid", "n", "d1", "d2", "copies")
         if self.label is None:
             cls = cls.withColumn("comp", F.col("cid"))

@@ -11,6 +11,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from demandlake.llm import exact_dedup, license_scan, lm_scoring, mixing, ngram_join, packing, pii, quality_rules, suffix_dedup, textops, url_filter
@@ -96,6 +97,32 @@ def test_op1_components_equal_brute_force(docs, rows, empty):
     assert ngram_join.join(empty).count() == 0
 
 
+def test_op1_blocks_alone_find_every_component(docs, rows, monkeypatch):
+    """Without star rounds, and with blocks and shards of a few sets each."""
+    for name, value in (("ROUNDS", 0), ("BLOCK_TOKENS", 300), ("SHARD_TOKENS", 500)):
+        monkeypatch.setattr(ngram_join, name, value)
+    want = components_of({i: shingle_set(t) for i, t, *_ in rows})
+    assert {i: r["component_id"] for i, r in by_id(ngram_join.join(docs)).items()} == want
+
+
+def test_op1_block_compare_equals_sets(monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(ngram_join, "STEP", 50)  # many steps
+    sets = [set(rng.sample(range(40), 12)) for _ in range(3)]
+    sets += [set(list(rng.choice(sets))[:11]) | {rng.randrange(40)} for _ in range(40)]
+    asks = [i % 4 == 0 for i in range(len(sets))]
+    comp = [rng.randrange(6) for _ in sets]
+    table = pa.table({"query": asks, "cid": list(range(len(sets))), "comp": comp, "tokens": pa.array([list(s) for s in sets], pa.list_(pa.int64()))})
+    linked = {
+        (x, y) for x in range(len(sets)) for y in range(len(sets))
+        if asks[x] and not asks[y] and comp[x] != comp[y] and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])
+    }
+    got = {(r["x"], r["y"]) for r in ngram_join._compare(table).to_pylist()}
+    assert got <= linked and linked
+    assert {(x, comp[y]) for x, y in got} == {(x, comp[y]) for x, y in linked}
+    assert ngram_join._compare(table.filter(pa.array(asks))).num_rows == 0
+
+
 def test_op1_stage_keeps_one_of_each_component(docs, rows):
     want = components_of({i: shingle_set(t) for i, t, *_ in rows})
     out = ngram_join.keep_one(docs)
