@@ -44,8 +44,7 @@ MAX_LEVEL = 16
 #: Cells of the table of count classes, a byte each.
 CELLS = 1 << 21
 CENTRES = 2
-ROUNDS = 4
-PEEL = 3
+ROUNDS = 2
 CHUNK = 4 << 20
 #: Tokens of the queries of one block, and of the sets of one shard that it meets.
 BLOCK_TOKENS = 1 << 17
@@ -263,7 +262,7 @@ class _Join:
         best = own.select("cid", cost.alias("cost")).select("cid", F.array_position("cost", F.array_min("cost")).cast("int").alias("level"))
         return lists.drop("m").join(best, "cid").where("at <= level")
 
-    def open_lists(self, turns: int = 1) -> DataFrame:
+    def open_lists(self) -> DataFrame:
         """The entries that can still matter, each with its set's component: in
         lists that hold several components, and of sets with as many such
         entries as a pair needs."""
@@ -274,10 +273,9 @@ class _Join:
         else:
             own = own.join(self.label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
         by_token, by_set = Window.partitionBy("token"), Window.partitionBy("cid")
-        for _ in range(turns):  # dropping entries closes lists, closed lists drop entries
-            held = own.select("*", F.min("comp").over(by_token).alias("a"), F.max("comp").over(by_token).alias("b"), F.min("level").over(by_token).alias("least"))
-            have = held.where("a != b").drop("a", "b").withColumn("have", F.count(F.lit(1)).over(by_set))
-            own = keep(have.where("have >= least(level, least)").drop("have", "least"), "open-lists")
+        held = own.select("*", F.min("comp").over(by_token).alias("a"), F.max("comp").over(by_token).alias("b"), F.min("level").over(by_token).alias("least"))
+        have = held.where("a != b").drop("a", "b").withColumn("have", F.count(F.lit(1)).over(by_set))
+        own = keep(have.where("have >= least(level, least)").drop("have", "least"), "open-lists")
         self.lists = own.drop("comp")
         return own
 
@@ -373,7 +371,7 @@ class _Join:
         for r in range(ROUNDS):
             if not self.add(self.verify(self.star_pairs(self.open_lists(), 1 + r * CENTRES))):
                 break
-        self.add(self.block_links(self.open_lists(PEEL)))
+        self.add(self.block_links(self.open_lists()))
         cls = self.classes.select("cid", "n", "d1", "d2", "copies")
         if self.label is None:
             cls = cls.withColumn("comp", F.col("cid"))
