@@ -161,43 +161,92 @@ def _sets(wanted: np.ndarray):
     return run
 
 
+def _shared(ask: np.ndarray, asker: np.ndarray, askers: int, met: np.ndarray, row: np.ndarray, rows: int, valid=None):
+    """(query, met set, shared tokens) of the pairs that share some, in steps
+    of bounded size.  ``row`` ascends; ``valid`` tells of (index in ``ask``,
+    index in ``met``) whether a shared token counts."""
+    if not len(ask):
+        return
+    o = np.argsort(ask, kind="stable")
+    token = ask[o]
+    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    held, vocab = np.diff(np.r_[first, len(token)]), token[first]
+    at = np.searchsorted(vocab, met)
+    at[at == len(vocab)] = 0
+    hit = np.flatnonzero(vocab[at] == met)
+    at, row = at[hit], row[hit]
+    start = np.searchsorted(row, np.arange(rows + 1))
+    cost = np.r_[0, np.cumsum(held[at])][start]
+    a, most = 0, max(1, STEP // askers)
+    while a < rows:
+        z = int(np.searchsorted(cost, cost[a] + STEP, "right")) - 1
+        z = min(max(z, a + 1), a + most, rows)
+        part = slice(start[a], start[z])
+        k = held[at[part]]
+        entry = o[np.repeat(first[at[part]], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)]
+        pair = np.repeat(row[part] - a, k) * askers + asker[entry]
+        if valid is not None:
+            pair = pair[valid(entry, np.repeat(hit[part], k))]
+        count = np.bincount(pair, minlength=1)
+        pair = np.flatnonzero(count)
+        yield pair % askers, a + pair // askers, count[pair]
+        a = z
+
+
+def _candidates(table: pa.Table) -> pa.Table:
+    """The listed tokens of a block's queries and of one shard -> the queries
+    and sets that share enough with one another, by ``_Join.enough``."""
+    block = table.column("block")[0].as_py()
+    col = {c: table.column(c).to_numpy() for c in ("query", "cid", "comp", "n", "level", "token", "at")}
+    side = []
+    for mine in (col["query"], ~col["query"]):
+        at = np.flatnonzero(mine)
+        at = at[np.argsort(col["cid"][at], kind="stable")]
+        cid, first, row = np.unique(col["cid"][at], return_index=True, return_inverse=True)
+        side.append((at, cid, row, *[col[c][at][first].astype(np.int64) for c in ("comp", "n", "level")]))
+    (qa, qid, qrow, qcomp, qn, qlevel), (ma, mid, mrow, mcomp, mn, mlevel) = side
+    place = col["at"].astype(np.int64)
+
+    def valid(i, j):
+        return np.maximum(place[qa[i]], place[ma[j]]) <= np.minimum(qlevel[qrow[i]], mlevel[mrow[j]])
+
+    some_q, some_m = np.zeros(len(qid), bool), np.zeros(len(mid), bool)
+    for x, y, shared in _shared(col["token"][qa], qrow, len(qid), col["token"][ma], mrow, len(mid), valid):
+        small, large, level = np.minimum(qn[x], mn[y]), np.maximum(qn[x], mn[y]), np.minimum(qlevel[x], mlevel[y])
+        overlap = -(-(small + large) * SIM[0] // (SIM[0] + SIM[1]))
+        behind = needed(large) - level
+        ok = (qcomp[x] != mcomp[y]) & (small * SIM[1] >= large * SIM[0]) & (shared >= np.maximum(level, overlap - behind))
+        some_q[x[ok]] = True
+        some_m[y[ok]] = True
+    cid, comp = np.r_[qid[some_q], mid[some_m]], np.r_[qcomp[some_q], mcomp[some_m]]
+    n = np.r_[qn[some_q], mn[some_m]]
+    query = np.arange(len(cid)) < some_q.sum()
+    return pa.table({"block": pa.array(np.full(len(cid), block, np.int64)), "cid": cid, "comp": comp, "n": n, "query": query})
+
+
 def _compare(table: pa.Table) -> pa.Table:
-    """A block's queries against one shard: (x, y) of the links between
-    different components, one for each query and component."""
+    """A block's queries against one shard: (x, y) of components that links
+    join, in stars: fewer rows than components, whatever the number of links."""
     query, cid, comp = (table.column(c).to_numpy() for c in ("query", "cid", "comp"))
     lists = table.column("tokens").combine_chunks()
     size, flat = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy()
     owner = np.repeat(np.arange(len(size)), size)
     asks = query[owner]
     xs, ys = np.flatnonzero(query), np.flatnonzero(~query)
-    number = np.cumsum(query) - 1  # of a query among the queries
-    o = np.argsort(flat[asks], kind="stable")
-    token, holder = flat[asks][o], number[owner[asks][o]]
-    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
-    held, vocab = np.diff(np.r_[first, len(token)]), token[first]
-    at = np.searchsorted(vocab, flat[~asks])
-    at[at == len(vocab)] = 0
-    hit = vocab[at] == flat[~asks] if len(vocab) else np.zeros(len(at), bool)
-    at, row = at[hit], (np.cumsum(~query) - 1)[owner[~asks][hit]]
-    start = np.searchsorted(row, np.arange(len(ys) + 1))
-    cost = np.r_[0, np.cumsum(held[at])][start]
-    most, a, links = max(1, STEP // max(1, len(xs))), 0, []
-    while a < len(ys):
-        z = int(np.searchsorted(cost, cost[a] + STEP, "right")) - 1
-        z = min(max(z, a + 1), a + most, len(ys))
-        part = at[start[a] : start[z]]
-        k = held[part]
-        inner = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        x = holder[np.repeat(first[part], k) + inner]
-        shared = np.bincount(np.repeat(row[start[a] : start[z]] - a, k) * len(xs) + x, minlength=1)
-        pair = np.flatnonzero(shared)
-        i, x, y = shared[pair], xs[pair % len(xs)], ys[a + pair // len(xs)]
+    joined = [np.zeros((0, 2), np.int64)]
+    for x, y, i in _shared(flat[asks], (np.cumsum(query) - 1)[owner[asks]], len(xs), flat[~asks], (np.cumsum(~query) - 1)[owner[~asks]], len(ys)):
+        x, y = xs[x], ys[y]
         similar = (SIM[1] * i >= SIM[0] * (size[x] + size[y] - i)) & (comp[x] != comp[y])
-        links.append(np.column_stack([x[similar], y[similar]]))
-        a = z
-    links = np.concatenate(links) if links else np.zeros((0, 2), np.int64)
-    _, one = np.unique(np.column_stack([links[:, 0], comp[links[:, 1]]]), axis=0, return_index=True)
-    return pa.table({"x": pa.array(cid[links[one, 0]]), "y": pa.array(cid[links[one, 1]])})
+        joined.append(np.unique(np.column_stack([comp[x[similar]], comp[y[similar]]]), axis=0))
+    node, at = np.unique(np.concatenate(joined), return_inverse=True)
+    x, y = at.reshape(-1, 2).T
+    root = np.arange(len(node))
+    while (root[x] != root[y]).any():
+        np.minimum.at(root, np.maximum(root[x], root[y]), np.minimum(root[x], root[y]))
+        while (root[root] != root).any():
+            root = root[root]
+    far = np.flatnonzero(root != np.arange(len(node)))
+    return pa.table({"x": pa.array(node[far]), "y": pa.array(node[root[far]])})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -326,38 +375,45 @@ class _Join:
         return keep(both.select("x", "y", "nx", "ny", inter.alias("i")).where(f"{SIM[1]} * i >= {SIM[0]} * (nx + ny - i)").select("x", "y"), "links")
 
     def block_links(self, lists: DataFrame) -> DataFrame:
-        """The links left between different components, one at least for each
-        set and component that it is linked with.
+        """(x, y) of components that links left open join, as nodes of
+        ``components``: enough of them to join all that are linked.
 
         The queries are the sets outside the largest component of one of their
         lists: every open pair has one.  Queries that share their longest list
-        are dealt to blocks of bounded size; a block meets once each set that
-        shares as many listed tokens with all its queries as a pair needs, and
-        those sets are dealt to shards of bounded size."""
+        are dealt to blocks of bounded size, the sets that a block meets to
+        shards of bounded size.  First the listed tokens meet, then the whole
+        sets of those that share enough of them with one of the other side."""
         size = lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
         main = size.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("held")).select("token", F.col("m.comp").alias("main"), "held")
         out = lists.join(main, "token").where("comp != main")
-        query = out.groupBy("cid").agg(F.first("n").alias("n"), F.first("level").alias("level"), F.first("comp").alias("comp"), F.max(F.struct("held", "token")).alias("h"))
-        query = keep(query.select("cid", "n", "level", "comp", F.col("h.token").alias("home")), "queries")
+        query = out.groupBy("cid").agg(F.first("n").alias("n"), F.max(F.struct("held", "token")).alias("h"))
+        query = keep(query.select("cid", "n", F.col("h.token").alias("home")), "queries")
         total = query.agg(F.sum("n")).first()[0] or 0
         home = query.groupBy("home").agg(F.sum("n").alias("tokens"))
         own = F.xxhash64("home", F.pmod(F.xxhash64("cid"), F.ceil(F.col("tokens") / BLOCK_TOKENS)))
         small = F.pmod(F.xxhash64("home"), F.lit(1 + total // BLOCK_TOKENS))
         query = keep(query.join(home, "home").withColumn("block", F.when(F.col("tokens") > BLOCK_TOKENS, own).otherwise(small)).drop("home", "tokens"), "blocks")
 
-        asked = lists.select("token", "cid").join(query.select("cid", "block"), "cid").select("token", "block").distinct()
-        met = lists.join(asked, "token").groupBy("block", "cid").agg(F.first("n").alias("n"), F.first("level").alias("level"), F.first("comp").alias("comp"), F.count(F.lit(1)).alias("k"))
-        bound = query.groupBy("block").agg(F.min("n").alias("n_least"), F.max("n").alias("n_most"), F.min("level").alias("l_least"))
-        fits = (F.col("k") >= F.least("level", "l_least")) & (F.col("n") * SIM[1] >= F.col("n_least") * SIM[0]) & (F.col("n_most") * SIM[1] >= F.col("n") * SIM[0])
-        met = keep(met.join(bound, "block").where(fits).select("block", "cid", "n", "comp"), "met")
-        shards = keep(met.groupBy("block").agg(F.ceil(F.sum("n") / SHARD_TOKENS).cast("int").alias("shards")), "shards")
-
-        sets = self.sets_of(met.select("cid").unionByName(query.select("cid"))).select("cid", "tokens")
-        left = query.select("block", "cid", "comp").join(shards, "block").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-        right = met.select("block", "cid", "comp").join(shards, "block").withColumn("shard", F.pmod(F.xxhash64("cid"), F.col("shards")).cast("int"))
-        both = left.withColumn("query", F.lit(True)).unionByName(right.withColumn("query", F.lit(False))).drop("shards").join(sets, "cid")
+        entry = ["cid", "comp", "n", "level", "token", "at"]
+        own = lists.join(query.select("cid", "block"), "cid")
+        met = lists.join(own.select("token", "block").distinct(), "token").select("block", *entry)
+        dealt = met.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / SHARD_TOKENS).cast("int").alias("shards"))
+        found = keep(self.in_shards(own.select("block", *entry), met, keep(dealt, "shards")).groupBy("block", "shard").applyInArrow(_candidates, "block long, cid long, comp long, n long, query boolean"), "met")
+        found = found.distinct()
+
+        asks, met = found.where("query"), found.where("NOT query")
+        dealt = met.groupBy("block").agg(F.ceil(F.sum("n") / SHARD_TOKENS).cast("int").alias("shards"))
+        sets = self.sets_of(found).select("cid", "tokens")
+        both = self.in_shards(asks.drop("query", "n"), met.drop("query", "n"), keep(dealt, "shards")).join(sets, "cid")
         return keep(both.groupBy("block", "shard").applyInArrow(_compare, "x long, y long"), "links")
 
+    @staticmethod
+    def in_shards(queries: DataFrame, met: DataFrame, shards: DataFrame) -> DataFrame:
+        """The queries of a block in all its shards, each met set in one."""
+        left = queries.join(shards, "block").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+        right = met.join(shards, "block").withColumn("shard", F.pmod(F.xxhash64("cid"), F.col("shards")).cast("int"))
+        return left.withColumn("query", F.lit(True)).unionByName(right.withColumn("query", F.lit(False))).drop("shards")
+
     def add(self, links: DataFrame) -> bool:
         """Contract new links; false if there are none."""
         if links.isEmpty():
