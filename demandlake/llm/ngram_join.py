@@ -288,13 +288,13 @@ class _Join:
         cls = self.rows.where("n > 0").groupBy(*key).agg(F.min("row").alias("cid"), F.min("th").alias("th"), F.count(F.lit(1)).alias("copies"))
         self.classes = keep(cls, "classes")
         prefix = self.texts.select("text").mapInArrow(run, "n long, d1 long, d2 long, prefix array<long>").where("n > 0")
-        prefix = keep(prefix.groupBy(*key).agg(F.first("prefix").alias("prefix")).join(self.classes, key).select("cid", "n", "prefix"), "prefixes")
+        prefix = prefix.groupBy(*key).agg(F.first("prefix").alias("prefix")).join(self.classes, key).select("cid", "n", "prefix")
         first = F.col("n") - F.ceil(F.col("n") * SIM[0] / SIM[1])  # tokens of level 0
         entry = prefix.select("cid", "n", first.alias("first"), F.posexplode("prefix").alias("pos", "token"))
         entry = entry.select("token", "cid", (F.col("n") * 64 + F.greatest(F.lit(1), F.col("pos") + 1 - F.col("first"))).alias("pack"))
         entry = entry.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
         lists = keep(entry.select("token", "cid", F.floor(F.col("pack") / 64).cast("int").alias("n"), (F.col("pack") % 64).cast("int").alias("at"), "m"), "all-lists")
-        self.lists = keep(self.with_level(lists), "lists")
+        self.lists = self.with_level(lists)
         self.links = None
         self.label = None
 
