@@ -305,6 +305,7 @@ class _Join:
         of them, so about ``probes / l`` pairs are verified, each at n tokens."""
         probes = [F.sum(F.when(F.col("at") <= i, F.col("m") - 1).otherwise(0)) for i in range(1, MAX_LEVEL + 1)]
         level = range(1, MAX_LEVEL + 1)
+        lists = lists.repartition("cid")  # one exchange for the sums and the join; a set's entries are bounded by its text
         own = lists.groupBy("cid").agg(F.first("n").alias("n"), F.array(*probes).alias("p"))
         least = F.ceil(F.col("n") * SIM[0] / SIM[1])
         cost = F.array(*[F.when(least >= i, F.col("p")[i - 1] * (1 + F.col("n") / i)).otherwise(F.lit(float("inf"))) for i in level])
