@@ -1,20 +1,22 @@
 """License scan by a positional rare-token index, in DataFrame functions only.
 
 Licence templates form an index: word -> (template, position).  Word weights
-(IDF) come from document frequencies over the whole corpus.  A file's rarest
-licence words, at most FILE_WORDS of them, are looked up with all their
-places; postings whose relative position (place in the file minus place in
-the template) agrees vote for one alignment.  An alignment with enough of
-its template's indexed words counts if the template's mandatory key phrase
-really stands there, word by word.
+(IDF) come from document frequencies over the whole corpus.  Each template
+is indexed by its rarest places, so many that an alignment that misses them
+all misses too many words (see ``index_places``); which words these are
+decides only how much is looked up, never what is found.  A posting gives a
+relative position (place in the file minus place in the template), and each
+such alignment is verified on all words of the template.  One with MIN_TENTHS
+of them in place counts if the template's mandatory key phrase really stands
+there, word by word.
 
 Independently of the index, three base phrases are found everywhere.
 
 Defined results: null text counts as empty; without words first_word,
 last_word are null, labels empty, score 0; repeated rows get equal results;
 an empty table gives an empty result.  ``score`` is the share of the
-template's indexed words that the best confirmed alignment holds (a base
-label alone scores BASE_SCORE).
+template's words that the best confirmed alignment holds (a base label alone
+scores BASE_SCORE).  A file's result depends on its own text only.
 """
 
 from __future__ import annotations
@@ -51,11 +53,11 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
 
-FILE_WORDS = 32
-MIN_SHARE = 0.6
+#: Tenths of a template's words that an alignment must hold.
+MIN_TENTHS = 6
 BASE_SCORE = 0.5
-#: A word in more than this share of the documents is no index word.
-MAX_DF_SHARE = 0.1
+#: Alignments are numbers: template * SHIFT_BASE + relative position + SHIFT_ZERO.
+SHIFT_BASE, SHIFT_ZERO = 1 << 40, 1 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -86,54 +88,66 @@ def _array(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def _postings(spark) -> DataFrame:
-    rows = [(t, label, w, i, len(text.split()), key) for t, (label, text, key) in enumerate(TEMPLATES) for i, w in enumerate(text.split())]
-    return spark.createDataFrame(rows, "template int, label string, word string, at int, template_words int, key string")
+def index_places(df: dict[str, int]) -> dict[str, list[tuple[int, int]]]:
+    """word -> (template, place) of the rarest places of each template.  An
+    alignment holds at least ``need`` of a template's n words, so it misses at
+    most n - need places and meets one of any n - need + 1."""
+    post: dict[str, list[tuple[int, int]]] = {}
+    for t, (_, text, _) in enumerate(TEMPLATES):
+        w = text.split()
+        need = -(-len(w) * MIN_TENTHS // 10)
+        for at in sorted(range(len(w)), key=lambda i: (df.get(w[i], 0), w[i], i))[: len(w) - need + 1]:
+            post.setdefault(w[at], []).append((t, at))
+    return post
+
+
+def _confirmed(df: dict[str, int]) -> Column:
+    """Array of (label, share): the confirmed alignments of ``words``, a file
+    whose templates with a key phrase in it are ``keyed``."""
+    post = index_places(df)
+    lookup = F.create_map(*[c for w, at in sorted(post.items()) for c in (F.lit(w), F.array(*[F.lit(t * SHIFT_BASE - i + SHIFT_ZERO) for t, i in at]))])
+    hits = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(sorted(post)))
+    found = F.flatten(F.transform(hits, lambda x: F.transform(F.element_at(lookup, x["w"]), lambda c: c + x["i"])))
+    template = lambda c: F.floor(c / SHIFT_BASE).cast("int")
+    found = F.array_distinct(F.filter(found, lambda c: F.array_contains("keyed", template(c))))
+    keys, labels = _array([f" {key} " for _, _, key in TEMPLATES]), _array([label for label, _, _ in TEMPLATES])
+    texts = F.array(*[_array(text.split()) for _, text, _ in TEMPLATES])
+
+    def verify(c):
+        t = template(c) + 1
+        shift = (F.pmod(c, F.lit(SHIFT_BASE)) - SHIFT_ZERO).cast("int")
+        text = F.element_at(texts, t)
+        cut = F.greatest(F.lit(0), -shift)  # template words before the file's start
+        around = F.slice("words", F.greatest(F.lit(0), shift) + 1, F.size(text) - cut)
+        votes = F.size(F.filter(F.zip_with(around, F.slice(text, cut + 1, F.size(text) - cut), lambda a, b: a == b), lambda x: x))
+        good = (votes * 10 >= F.size(text) * MIN_TENTHS) & F.contains(_spaced(around), F.element_at(keys, t))
+        return F.when(good, F.struct(F.element_at(labels, t).alias("label"), (votes / F.size(text)).alias("share")))
+
+    return F.filter(F.transform(found, verify), lambda x: x.isNotNull())
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    spark = docs.sparkSession
     vocabulary = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words_of(text_or_empty()).alias("words"))
-    rows = rows.select("doc_id", "row", "words", F.size("words").cast("long").alias("n_words"), F.array_intersect(_array(vocabulary), "words").alias("known"))
-    # one pass over the texts: base places, and the words of files that hold licence words beyond the common ones
+    rows = docs.select("doc_id", words_of(text_or_empty()).alias("words"))
+    rows = rows.select("doc_id", "words", F.size("words").cast("long").alias("n_words"), F.array_intersect(_array(vocabulary), "words").alias("known"))
+    # one pass over the texts: base places, the licence words, and the words of files that hold a mandatory phrase
     rows = rows.withColumn("spaced", _spaced(F.col("words")))
     rows = rows.withColumn("base", F.array(*[_places(p) for p in BASE]))
-    keys = sorted({k for _, _, k in TEMPLATES})
-    some_key = F.lit(False)
-    for k in keys:  # a file without any mandatory phrase can confirm nothing
-        some_key = some_key | F.contains("spaced", F.lit(f" {k} "))
-    seen = keep(rows.select("doc_id", "row", "n_words", "known", "base", F.when(some_key, F.col("words")).alias("words")), "license-files")
+    keyed = F.array(*[F.when(F.contains("spaced", F.lit(f" {key} ")), F.lit(t)) for t, (_, _, key) in enumerate(TEMPLATES)])
+    rows = rows.withColumn("keyed", F.array_compact(keyed))
+    seen = keep(rows.select("doc_id", "n_words", "known", "base", "keyed", F.when(F.size("keyed") > 0, F.col("words")).alias("words")), "license-files")
 
-    total = seen.count()
     df = seen.select(F.explode("known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df")).collect()  # the templates' vocabulary at most
-    idf = {r["word"]: float(total) / r["df"] for r in df}
-    rare = [w for w in sorted(idf, key=lambda w: (-idf[w], w)) if total == 1 or idf[w] * MAX_DF_SHARE >= 1] or sorted(idf)
-    if not rare:
-        rare = [""]
-    top = F.slice(F.array_intersect(_array(rare), "known"), 1, FILE_WORDS)
-    post = _postings(spark).where(F.col("word").isin(rare))
-    indexed = post.groupBy("template").agg(F.count(F.lit(1)).alias("indexed"))
-    post = F.broadcast(post.join(indexed, "template"))  # the templates, a few hundred rows
-    files = seen.where("words IS NOT NULL").select("row", "words", top.alias("top"), F.posexplode("words").alias("place", "word"))
-    votes = files.where(F.array_contains("top", F.col("word"))).select("row", "place", "word").join(post, "word")
-    aligned = votes.groupBy("row", "template", (F.col("place") - F.col("at")).alias("shift")).agg(
-        F.count(F.lit(1)).alias("votes"), F.first("indexed").alias("indexed"), F.first("label").alias("label"), F.first("key").alias("key"), F.first("template_words").alias("span")
-    )
-    aligned = aligned.where(F.col("votes") >= F.col("indexed") * MIN_SHARE)
-    around = F.slice(F.col("words"), F.greatest(F.lit(1), F.col("shift") + 1), F.greatest(F.lit(0), F.col("span") + F.least(F.lit(0), F.col("shift"))))
-    checked = aligned.join(seen.where("words IS NOT NULL").select("row", "words"), "row").where(F.contains(_spaced(around), F.concat(F.lit(" "), "key", F.lit(" "))))
-    best = checked.groupBy("row").agg(F.collect_set("label").alias("found"), F.max(F.col("votes") / F.col("indexed")).alias("share"))
-
+    confirmed = F.when(F.col("words").isNotNull(), _confirmed({r["word"]: r["df"] for r in df}))
     places = F.flatten("base")
     base_labels = F.array_sort(F.filter(F.transform(F.arrays_zip("base", _array(BASE.values()).alias("label")), lambda x: F.when(F.size(x["base"]) > 0, x["label"])), lambda x: x.isNotNull()))
-    out = seen.select("doc_id", "row", "n_words", places.alias("places"), base_labels.alias("base_labels")).join(best, "row", "left")
-    labels = F.array_sort(F.array_union("base_labels", F.coalesce("found", F.array().cast("array<string>"))))
+    out = seen.select("doc_id", "n_words", places.alias("places"), base_labels.alias("base_labels"), confirmed.alias("confirmed"))
+    labels = F.array_sort(F.array_union("base_labels", F.coalesce(F.col("confirmed")["label"], F.array().cast("array<string>"))))
     base_score = F.when(F.size("base_labels") > 0, F.lit(BASE_SCORE)).otherwise(0.0)
     return out.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
         F.array_join("base_labels", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
-        F.greatest(F.coalesce("share", F.lit(0.0)), base_score).cast("double").alias("score"),
+        F.greatest(F.coalesce(F.array_max(F.col("confirmed")["share"]), F.lit(0.0)), base_score).cast("double").alias("score"),
     )

@@ -228,6 +228,51 @@ def test_op3_base_places_and_labels(spark, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def licenses_by_hand(t):
+    """All alignments of all templates, tried one by one."""
+    w = [x for x in re.split(license_scan.SEPARATOR, (t or "").translate(LOWER)) if x]
+    found, best = {label for phrase, label in license_scan.BASE.items() if f" {phrase} " in f" {' '.join(w)} "}, 0.0
+    best = license_scan.BASE_SCORE if found else best
+    for label, text, key in license_scan.TEMPLATES:
+        q = text.split()
+        for shift in range(-len(q) + 1, len(w)):
+            votes = sum(0 <= shift + i < len(w) and w[shift + i] == x for i, x in enumerate(q))
+            if 10 * votes >= 6 * len(q) and f" {key} " in f" {' '.join(w[max(shift, 0) : max(shift + len(q), 0)])} ":
+                found.add(label)
+                best = max(best, votes / len(q))
+    return ",".join(sorted(found)), best
+
+
+@pytest.fixture(scope="module")
+def notices():
+    """A third carries one notice beside rarer ones; one file carries all."""
+    rng = random.Random(5)
+    texts = ["filler words here released under the MIT license and more"] * 10 + ["Dedicated to the public domain under CC0 1.0 Universal"] + ["nothing of the kind"] * 19
+    texts += [" ".join(text for _, text, _ in license_scan.TEMPLATES), "under the MIT license", "the mit license", "mit license", "domain under cc0 1 0 universal", None, ""]
+    for _, text, _ in license_scan.TEMPLATES * 3:
+        w = text.split()
+        for _ in range(rng.randint(0, len(w) // 2)):
+            w[rng.randrange(len(w))] = rng.choice(["x", "license", "the"])
+        texts.append(" ".join(rng.choices(["the", "license", "y"], k=3) + w[rng.randint(0, 2) :]))
+    return texts
+
+
+def test_op3_common_and_many_notices_are_found(spark, notices):
+    df = spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string")
+    got = by_id(license_scan.scan(df))
+    for i, t in enumerate(notices):
+        labels, best = licenses_by_hand(t)
+        assert (got[i]["labels"], got[i]["score"]) == (labels, pytest.approx(best)), t
+    assert got[0]["labels"] == "mit" and got[10]["labels"] == "cc0"
+    assert set(got[30]["labels"].split(",")) >= {label for label, _, _ in license_scan.TEMPLATES}
+
+
+def test_op3_labels_do_not_depend_on_other_rows(spark, notices):
+    few = spark.createDataFrame(list(enumerate(notices))[::7], "doc_id long, text string")
+    alone = by_id(license_scan.scan(few))
+    assert {i: tuple(r) for i, r in alone.items()} == {i: tuple(r) for i, r in by_id(license_scan.scan(spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string"))).items() if i % 7 == 0}
+
+
 def removed_by_hand(rows, length=50):
     seen, out = {}, {}
     for i, t in sorted((r[0], r[1]) for r in rows):
