@@ -273,6 +273,15 @@ def test_op3_labels_do_not_depend_on_other_rows(spark, notices):
     assert {i: tuple(r) for i, r in alone.items()} == {i: tuple(r) for i, r in by_id(license_scan.scan(spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string"))).items() if i % 7 == 0}
 
 
+def test_op3_every_notice_of_a_long_file_is_found(spark):
+    """More licence words in one file than any fixed number of rare ones."""
+    every = " ".join(text for _, text, _ in license_scan.TEMPLATES)
+    rare = [" ".join(text.split()[:k]) for _, text, _ in license_scan.TEMPLATES for k in (3, 5)]
+    df = spark.createDataFrame([(0, every), (1, every + " y" * 500 + " " + every)] + [(i + 2, t) for i, t in enumerate(rare * 3 + ["z"] * 2000)], "doc_id long, text string")
+    got = by_id(license_scan.scan(df))
+    assert (got[0]["labels"], got[0]["score"]) == licenses_by_hand(every) == (got[1]["labels"], got[1]["score"])
+
+
 def removed_by_hand(rows, length=50):
     seen, out = {}, {}
     for i, t in sorted((r[0], r[1]) for r in rows):
