@@ -364,6 +364,25 @@ def test_op6_base_score_and_tree(docs, rows, empty):
     assert lm_scoring.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("common", [0, 5, lm_scoring.DEEP_CONTEXTS])
+def test_op6_score_is_the_whole_tree_whatever_is_broadcast(docs, rows, monkeypatch, common):
+    monkeypatch.setattr(lm_scoring, "DEEP_CONTEXTS", common)
+    texts = {i: (t or "").translate(LOWER).encode() for i, t, *_ in rows}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    cells = collections.Counter()
+    grams = {i: [(int.from_bytes(b"\0" * max(0, 3 - k) + t[max(0, k - 3) : k], "big"), t[k]) for k in range(len(t))] for i, t in texts.items()}
+    for i, g in grams.items():
+        if not held[i]:
+            cells.update(g)
+    ctx, sym = (np.array([k[j] for k in cells]) for j in (0, 1))
+    two, three, table = lm_scoring.build_tree(ctx, sym, np.array(list(cells.values()), float))
+    row = {("3", c): len(two) + j for j, c in enumerate(three.tolist())} | {("2", c): j for j, c in enumerate(two.tolist())}
+    at = lambda c: row.get(("3", c), row.get(("2", c & 0xFFFF), len(two) + len(three) + (c & 0xFF)))
+    got = by_id(lm_scoring.score(docs))
+    for i, g in grams.items():
+        assert got[i]["score"] == pytest.approx(sum(float(table[at(c), s]) for c, s in g), rel=1e-6, abs=1e-6)
+
+
 def test_op6_predictions_are_the_weighted_tree():
     """Against the recursion written out for one decision node."""
     data = np.frombuffer(b"abacabadabacabae" * 3, np.uint8)
