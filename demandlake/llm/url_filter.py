@@ -7,9 +7,12 @@ longer context are mixed with the shorter context's probability, by as much
 as the longer context has been seen.  The score is the log-likelihood
 difference per byte; its threshold is calibrated on held-out ruled URLs.
 
-Counts live in hashed tables of a fixed, documented size (``SLOTS`` per
-class and order), summed by Spark over all ruled URLs, so the model that is
-broadcast is bounded whatever the corpus holds.
+Counts are exact, by (order, context, byte), and the model grows with the
+ruled URLs.  A byte's log ratio depends on its last five bytes and itself
+only (its gram), so Spark computes it once for each gram of any URL.  The
+most frequent grams, ``COMMON_GRAMS`` at most, are looked up in a broadcast table;
+all other (URL, gram) are joined to the same numbers.  Log ratios are whole
+numbers of 1 / ``UNIT``, so sums do not depend on their order.
 
 Defined results: a null url or one without ``://`` has an empty host and
 path and no rule; it is judged by the model over its bytes (null: none,
@@ -22,11 +25,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake.llm import textops as T
-from demandlake.llm.tables import keep, lower_ascii
+from demandlake.llm.tables import keep, lower_ascii, most_frequent
 
 #: (verdict, rule): the rule's host fits itself and its subdomains, its path
 #: is a prefix; the longest rule that fits wins.
@@ -38,7 +41,9 @@ RULES = (
     ("block", "net/fr/"),
 )
 ORDERS = 6  # contexts of 0 to 5 bytes
-SLOTS = 1 << 16
+SLOTS = 1 << 16  # of the one-process form, ``ratio``
+COMMON_GRAMS = 1 << 20
+UNIT = 1 << 32
 STRENGTH = 4.0
 HELD_OUT = 5  # one fold in five calibrates
 BINS = 100  # score bins per unit, for the threshold
@@ -62,64 +67,84 @@ def rule_of(host, path):
     return out
 
 
-def _contexts(data: np.ndarray, off: np.ndarray):
-    """(context key, context+byte key) per order, for all bytes of all texts;
-    a context never reaches over the start of its text."""
+def _grams(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Each byte with its five last ones (nine bits each, 0 before the start,
+    the nearest lowest) as one exact number; its order-k form is the low
+    9k + 8 bits."""
     place = np.arange(len(data)) - np.repeat(off[:-1], np.diff(off))
-    acc = np.zeros(len(data), np.uint64)
-    for k in range(ORDERS):
-        if k:
-            back = np.zeros(len(data), np.uint64)
-            back[k:] = data[:-k].astype(np.uint64) + T.U(1) if k else 0
-            back[place < k] = T.U(0)  # before the start
-            acc = acc * T.U(0x100000001B3) + back + T.U(k)
-        ctx = T.mix(acc + T.U(k * 7919))
-        sym = T.mix(ctx + (data.astype(np.uint64) + T.U(1)) * T.U(0x9E3779B97F4A7C15))
-        yield k, (ctx % T.U(SLOTS)).astype(np.int64), (sym % T.U(SLOTS)).astype(np.int64)
+    out = data.astype(np.int64)
+    for k in range(1, ORDERS):
+        back = np.zeros(len(data), np.int64)
+        back[k:] = data[:-k].astype(np.int64) + 1
+        back[place < k] = 0
+        out |= back << (9 * (k - 1) + 8)
+    return out
 
 
 def _count_batches(batches):
-    """Sparse table cells (key, n) of a batch: key = ((class, order, kind), slot)."""
+    """(kind, key, n): grams of a batch; 0 and 1 of accepted and rejected URLs that teach, 2 of others."""
     for rows, data, off in T.chunks(batches, "url"):
-        block = rows.column("block").to_numpy(zero_copy_only=False).astype(np.int64)
-        which = np.repeat(block, np.diff(off))
-        keys = []
-        for k, ctx, sym in _contexts(data, off):
-            head = (which * ORDERS + k) * 2
-            keys += [head * SLOTS + ctx, (head + 1) * SLOTS + sym]
-        cell, n = np.unique(np.concatenate(keys), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n.astype(np.int64))], ["cell", "n"])
-
-
-def fit(ruled: DataFrame) -> np.ndarray:
-    """Counts [class, order, kind, slot] over all rows of ``ruled(url, block)``."""
-    cells = ruled.select("url", F.col("block").cast("long").alias("block")).mapInArrow(_count_batches, "cell long, n long")
-    table = np.zeros(2 * ORDERS * 2 * SLOTS, np.float32)
-    got = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # at most as many rows as the table has cells
-    table[got["cell"].to_numpy()] = got["n"].to_numpy()
-    return table.reshape(2, ORDERS, 2, SLOTS)
-
-
-def ratio(table: np.ndarray, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Log-likelihood (block minus allow) per byte of each text."""
-    p = [np.full(len(data), 1 / 256), np.full(len(data), 1 / 256)]
-    for k, ctx, sym in _contexts(data, off):
-        for c in (0, 1):
-            p[c] = (np.minimum(table[c, k, 1][sym], table[c, k, 0][ctx]) + STRENGTH * p[c]) / (table[c, k, 0][ctx] + STRENGTH)
-    return T.totals(np.log(p[1]) - np.log(p[0]), off) / np.maximum(np.diff(off), 1)
-
-
-def score(urls: DataFrame, table: np.ndarray) -> DataFrame:
-    """``urls`` (long ``page_id``, string ``url``, ...) with ``score``."""
-    shared = urls.sparkSession.sparkContext.broadcast(table)  # 2 * ORDERS * 2 * SLOTS floats
+        kind = np.repeat(rows.column("kind").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(off))
+        key, n = np.unique(_grams(data, off) | kind << 60, return_counts=True)
+        cols = [pa.array((key >> 60).astype(np.int32)), pa.array(key & ((1 << 60) - 1)), pa.array(n.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(cols, ["kind", "key", "n"])
+
+
+def count(urls: DataFrame) -> DataFrame:
+    """(key, n0, n1, n) of every gram of ``urls(url, kind)``: in accepted and rejected teaching URLs, and in all."""
+    cells = urls.select("url", "kind").mapInArrow(_count_batches, "kind int, key long, n long")
+    of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0))
+    return cells.groupBy("key").agg(of(0).alias("n0"), of(1).alias("n1"), F.sum("n").alias("n"))
+
+
+def log_ratios(grams: DataFrame) -> DataFrame:
+    """(key, n, value) of every gram: its log-likelihood (block minus allow) in
+    units.  A context has 256 bytes and a gram 257 longer ones at most, so
+    no key of the windows and joins is hot."""
+    level = [grams]
+    for k in range(ORDERS - 2, -1, -1):
+        short = F.col("key").bitwiseAND((1 << 9 * k + 8) - 1)
+        level.insert(0, level[0].groupBy(short.alias("key")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    out = None
+    for k, cells in enumerate(level):
+        context = Window.partitionBy(F.shiftright("key", 8))
+        cells = cells.withColumns({f"c{c}": F.sum(f"n{c}").over(context) for c in (0, 1)})
+        if out is None:
+            cells = cells.withColumns({"q0": F.lit(1 / 256), "q1": F.lit(1 / 256)})
+        else:
+            cells = cells.withColumn("short", F.col("key").bitwiseAND((1 << 9 * (k - 1) + 8) - 1)).join(out, "short")
+        p = {f"p{c}": (F.col(f"n{c}") + F.lit(STRENGTH) * F.col(f"q{c}")) / (F.col(f"c{c}") + F.lit(STRENGTH)) for c in (0, 1)}
+        cells = cells.withColumns(p)
+        out = cells.select(F.col("key").alias("short"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
+    return cells.select("key", "n", F.round((F.log("p1") - F.log("p0")) * F.lit(float(UNIT))).cast("long").alias("value"))
+
+
+def score(urls: DataFrame, values: DataFrame) -> DataFrame:
+    """``urls`` (string ``url``, ...) without ``url``, with ``score``: the log
+    likelihood (block minus allow) per byte."""
+    common = most_frequent(values, COMMON_GRAMS).select("key", "value").toArrow().sort_by("key")
+    shared = urls.sparkSession.sparkContext.broadcast((common.column("key").to_numpy(), common.column("value").to_numpy()))
+    names = [c for c in urls.columns if c != "url"]
 
     def run(batches):
+        keys, value = shared.value
         for rows, data, off in T.chunks(batches, "url"):
-            got = pa.array(ratio(shared.value, data, off), pa.float64())
-            yield pa.RecordBatch.from_arrays([*rows.columns, got], [*rows.schema.names, "score"])
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in urls.dtypes)
-    return urls.mapInArrow(run, f"{schema}, score double")
+            gram = _grams(data, off)
+            at = np.minimum(np.searchsorted(keys, gram), max(len(keys) - 1, 0))
+            hit = keys[at] == gram if len(keys) else np.zeros(len(gram), bool)
+            found = np.zeros(len(gram), np.int64)
+            found[hit] = value[at[hit]]
+            rare = np.flatnonzero(~hit)
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, off).astype(np.int32)), pa.array(gram[rare]))
+            got = [pa.array(T.totals(found, off)), pa.array(np.diff(off).astype(np.int64)), lists]
+            yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in names], *got], [*names, "common_value", "n_bytes", "rare"])
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in urls.dtypes if n != "url") + ", common_value long, n_bytes long, rare array<long>"
+    pieces = keep(urls.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "url-pieces")
+    pairs = pieces.select("row", F.explode("rare").alias("key")).join(values.select("key", "value"), "key")
+    part = keep(pairs.groupBy("row").agg(F.sum("value").alias("rare_value")), "url-rare")
+    total = F.col("common_value") + F.coalesce("rare_value", F.lit(0))
+    return pieces.join(part, "row", "left").select(*names, (total / F.lit(float(UNIT)) / F.greatest("n_bytes", F.lit(1))).alias("score"))
 
 
 def calibrate(held: DataFrame) -> float:
@@ -149,11 +174,39 @@ def judge(pages: DataFrame) -> DataFrame:
         blocked = F.when(F.col("rule") == rule, F.lit(verdict == "block")).otherwise(blocked)
     rows = keep(rows.withColumn("block", F.when(F.col("rule").isNotNull(), blocked)), "urls")
     fold = F.pmod(F.crc32(F.coalesce("url", F.lit("")).cast("binary")), F.lit(HELD_OUT))
-    ruled = rows.where("rule IS NOT NULL")
-    table = fit(ruled.where(fold != 0))
-    both = bool(table[0, 0, 0].any() and table[1, 0, 0].any())
-    scored = keep(score(rows, table), "url-scores")
-    threshold = calibrate(scored.where("rule IS NOT NULL").where(fold == 0)) if both else 0.0
+    rows = rows.withColumn("held", fold == 0)
+    teaches = F.col("rule").isNotNull() & ~F.col("held")
+    grams = keep(count(rows.select("url", F.when(teaches, F.col("block").cast("int")).otherwise(2).alias("kind"))), "url-grams")
+    taught = grams.agg(F.coalesce(F.sum("n0"), F.lit(0)).alias("n0"), F.coalesce(F.sum("n1"), F.lit(0)).alias("n1")).first()
+    both = taught["n0"] > 0 and taught["n1"] > 0
+    scored = score(rows, keep(log_ratios(grams), "url-values"))
+    threshold = calibrate(scored.where("rule IS NOT NULL AND held")) if both else 0.0
     by_model = (F.col("score") > F.lit(threshold)) if both else F.lit(False)
     bad = F.coalesce(F.col("block"), by_model)
     return scored.select("page_id", "host", "path", "rule", F.when(bad, "block").otherwise("allow").alias("verdict"), "score")
+
+
+#: The same mixture in one process, over hashed cells instead of exact keys; no query uses it.
+def _contexts(data: np.ndarray, off: np.ndarray):
+    """(context key, context+byte key) per order, for all bytes of all texts;
+    a context never reaches over the start of its text."""
+    place = np.arange(len(data)) - np.repeat(off[:-1], np.diff(off))
+    acc = np.zeros(len(data), np.uint64)
+    for k in range(ORDERS):
+        if k:
+            back = np.zeros(len(data), np.uint64)
+            back[k:] = data[:-k].astype(np.uint64) + T.U(1) if k else 0
+            back[place < k] = T.U(0)  # before the start
+            acc = acc * T.U(0x100000001B3) + back + T.U(k)
+        ctx = T.mix(acc + T.U(k * 7919))
+        sym = T.mix(ctx + (data.astype(np.uint64) + T.U(1)) * T.U(0x9E3779B97F4A7C15))
+        yield k, (ctx % T.U(SLOTS)).astype(np.int64), (sym % T.U(SLOTS)).astype(np.int64)
+
+
+def ratio(table: np.ndarray, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Log-likelihood (block minus allow) per byte of each text."""
+    p = [np.full(len(data), 1 / 256), np.full(len(data), 1 / 256)]
+    for k, ctx, sym in _contexts(data, off):
+        for c in (0, 1):
+            p[c] = (np.minimum(table[c, k, 1][sym], table[c, k, 0][ctx]) + STRENGTH * p[c]) / (table[c, k, 0][ctx] + STRENGTH)
+    return T.totals(np.log(p[1]) - np.log(p[0]), off) / np.maximum(np.diff(off), 1)

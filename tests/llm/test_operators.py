@@ -202,6 +202,37 @@ def test_op2_model_ratio_by_hand():
     assert alone == pytest.approx(math.log(url_filter_uniform()) - math.log(p), rel=1e-5)
 
 
+@pytest.mark.parametrize("common", [0, 200, 1 << 20])
+def test_op2_scores_are_exact_whatever_is_broadcast(spark, monkeypatch, common):
+    """Against counts in a dictionary; so many contexts that hashed cells would collide."""
+    ship(spark)
+    monkeypatch.setattr(url_filter, "COMMON_GRAMS", common, raising=False)
+    rng = random.Random(11)
+    tail = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzé0123456789-_/", k=60))
+    urls = [f"http://{tail()[:8].replace('/', 'x')}.{d}{tail()}" for d in ("com/", "net/fr/", "org/") * 250] + [None, "", "x", "http://a.org/b", "http://a.org/b"]
+    got = by_id(url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")), "page_id")
+    n = collections.Counter()
+    contexts = lambda u, i: [tuple(u[i - j] if i >= j else None for j in range(1, k + 1)) for k in range(url_filter.ORDERS)]
+    for u in urls:
+        best, raw = rule_by_hand(u)[2], (u or "").encode()
+        if best and zlib.crc32(raw) % url_filter.HELD_OUT:
+            for i in range(len(raw)):
+                for ctx in contexts(raw, i):
+                    n[best[0], ctx] += 1
+                    n[best[0], ctx, raw[i]] += 1
+    for i, u in enumerate(urls):
+        raw, total = (u or "").encode(), 0.0
+        for j in range(len(raw)):
+            p = {}
+            for c in ("block", "allow"):
+                p[c] = 1 / 256
+                for ctx in contexts(raw, j):
+                    p[c] = (n[c, ctx, raw[j]] + url_filter.STRENGTH * p[c]) / (n[c, ctx] + url_filter.STRENGTH)
+            total += math.log(p["block"]) - math.log(p["allow"])
+        assert got[i]["score"] == pytest.approx(total / max(len(raw), 1), abs=1e-8), u
+    assert got[len(urls) - 1]["score"] == got[len(urls) - 2]["score"]
+
+
 def url_filter_uniform():
     return 1 / 256
 
