@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from demandlake.llm import exact_dedup, license_scan, lm_scoring, mixing, ngram_join, packing, pii, quality_rules, suffix_dedup, textops, url_filter
 from demandlake.llm.tables import ship
 
@@ -615,3 +616,65 @@ def test_words_and_windows_of_batches():
     assert woff.tolist() == [0, 3, 3, 4, 7]
     h, at, doc = textops.windows(textops.span_hash(textops.prefix_hash(data), start, end), woff, 3)
     assert h[0] == h[1] and at.tolist() == [0, 4] and doc.tolist() == [0, 3]
+
+
+def stored(spark, path, docs, labels):
+    docs.write.parquet(f"{path}/documents.parquet")
+    labels.write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def corpus_dir(spark, docs, rows, tmp_path_factory):
+    """Every second row twice; the columns ``row``, ``n`` and ``digest`` clash with the stages' own."""
+    labels = spark.createDataFrame([(i, 1, 0) for i, t, *_ in rows if len(words(t)) > 60], "doc_id long, quality int, toxic int")
+    return stored(spark, tmp_path_factory.mktemp("sf"), docs.unionByName(docs.where("doc_id % 2 = 0")), labels)
+
+
+def own(df):
+    return collections.Counter(tuple(r) for r in df.collect())
+
+
+def test_pipeline_stages_pass_whole_rows(spark, corpus_dir, docs, rows):
+    twice = spark.read.parquet(f"{corpus_dir}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = {r["doc_id"] for r in quality_rules.quality(docs, spark.read.parquet(f"{corpus_dir}/labels.parquet")).collect() if r["kept"]}
+    assert kept and all(len(words(t)) >= 50 for i, t, *_ in rows if i in kept)
+    all_rows = own(twice)
+    assert own(stages["quality_rules"](spark, twice, corpus_dir)) == collections.Counter({r: k for r, k in all_rows.items() if r[0] in kept})
+    last = {}
+    for r in sorted(all_rows):
+        last[r[1] or ""] = r
+    assert own(stages["exact_dedup"](spark, twice, corpus_dir)) == collections.Counter(last.values())
+    heads = set(components_of({i: shingle_set(t) for i, t, *_ in rows}).values())
+    assert own(stages["near_dedup"](spark, docs, corpus_dir)) == collections.Counter(r for r in rows if r[0] in heads)
+    taken = by_id(mixing.mix(docs))
+    want = {r: taken[r[0]]["taken"] // taken[r[0]]["size"] for r in rows if taken[r[0]]["size"]}
+    assert own(stages["mix"](spark, docs, corpus_dir)) == collections.Counter({r: k for r, k in want.items() if k})
+    for name in list(stages)[:-1]:
+        none = stages[name](spark, docs.limit(0), corpus_dir)
+        assert none.columns == docs.columns and none.count() == 0
+
+
+def test_pipeline_run_equals_its_stages_by_hand(spark, corpus_dir, docs, rows):
+    kept = {r["doc_id"] for r in quality_rules.quality(docs, spark.read.parquet(f"{corpus_dir}/labels.parquet")).collect() if r["kept"]}
+    last = {}
+    for r in sorted(rows):
+        if r[0] in kept:
+            last[r[1]] = r
+    heads = set(components_of({r[0]: shingle_set(r[1]) for r in last.values()}).values())
+    left = [r for r in last.values() if r[0] in heads]
+    taken = by_id(mixing.mix(spark.createDataFrame(left, SCHEMA)))
+    text = {r[0]: words(r[1]) for r in left}
+    got = corpus_pipeline.run(spark, corpus_dir).collect()
+    cover, bins = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        cover.update((r["doc_id"], k) for k in range(r["start_word"], r["start_word"] + r["n_words"]))
+        bins[r["bin_id"]].append(r)
+    assert cover == collections.Counter({(i, k): n for i, w in text.items() if (n := taken[i]["taken"] // len(w)) for k in range(len(w))})
+    assert all(sum(r["n_words"] for r in members) == members[0]["bin_fill"] <= packing.CAPACITY for members in bins.values())
+
+
+def test_pipeline_of_empty_table(spark, empty, tmp_path):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert corpus_pipeline.run(spark, stored(spark, tmp_path, empty, labels)).count() == 0
