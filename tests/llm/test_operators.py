@@ -483,6 +483,30 @@ def test_op7_forest_isolates_outliers():
     assert outer[0] > inner.max()
 
 
+def test_op7_threshold_is_best_for_both_classes():
+    rng = np.random.default_rng(2)
+    for k in range(20):
+        good, bad = rng.normal(0.45, 0.05, 1500).round(3), rng.normal(0.45 + 0.01 * k, 0.05, 200).round(3)
+        gain = {t: np.mean(good <= t) + np.mean(bad > t) for t in np.r_[good, bad] if t >= np.quantile(good, 1 - quality_rules.MAX_GOOD_LOST, method="higher")}
+        t = quality_rules.calibrate(good, bad)
+        assert gain[t] == pytest.approx(max(gain.values())) and t == min(x for x in gain if gain[x] > max(gain.values()) - 1e-9)
+    assert np.mean(good > quality_rules.calibrate(good, bad[:0])) <= quality_rules.MAX_GOOD_LOST
+
+
+def test_op7_bad_labels_have_a_part_in_the_threshold(spark, docs, rows):
+    """Good rows above the score that the bound allows come back if no bad row lies there."""
+    say = np.random.default_rng(9)
+    texts = [" ".join("".join(say.choice(list("abcdefgh"), say.integers(2, 9))) for _ in range(120)) for _ in range(1200)]
+    texts = [t.upper() if i % 400 == 7 else t for i, t in enumerate(texts)]
+    table = spark.createDataFrame(list(enumerate(texts)) + [(5000 + i, "#$ %& " * 5 + t) for i, t in enumerate(texts[:20])], "doc_id long, text string")
+    good = [(i, 1, 0) for i in range(1200)]
+    counted = quality_rules.counts(table, "doc_id").withColumnRenamed("key", "doc_id").cache()
+    schema = "doc_id long, quality int, toxic int"
+    one = quality_rules.fit(counted, spark.createDataFrame(good, schema))[1]
+    both = quality_rules.fit(counted, spark.createDataFrame(good + [(5000 + i, 0, 0) for i in range(20)], schema))[1]
+    assert both != one
+
+
 def test_op8_no_conflicts_and_every_word_once(docs, rows, empty):
     got = packing.pack(docs, capacity=300, per_source=2, shard_pieces=1000).collect()
     info = {r[0]: (words(r[1]), r[2]) for r in rows}
