@@ -1,5 +1,5 @@
-"""Models: feature matrix, OLS baseline, random-forest challenger, scoring
-and error metrics, all on Spark MLlib and DataFrame aggregates."""
+"""Models: feature matrix, OLS baseline (MLlib), forest challenger
+(``operators.forest``), scoring and error metrics as DataFrame aggregates."""
 
 from __future__ import annotations
 
@@ -7,16 +7,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    LinearRegression,
-    LinearRegressionModel,
-    RandomForestRegressionModel,
-    RandomForestRegressor,
-)
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlake import config
+from demandlake.operators import forest
+from demandlake.operators.forest import Forest
 
 LINEAR = "LinearRegression"
 FOREST = "RandomForestRegressor"
@@ -36,17 +33,6 @@ def feature_matrix(
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(complete)
 
 
-def settled(matrix: DataFrame, partitions: int) -> DataFrame:
-    """The rows in a layout that depends on their values alone.
-
-    The forest draws its bootstrap partition by partition, so the layout is
-    part of the model: rows are dealt by a hash of all scalar columns into a
-    given number of partitions and ordered inside them.  The same rows and
-    seed then give the same forest on any cluster and from any files."""
-    cols = [c for c in matrix.columns if c != "features"]
-    return matrix.repartition(partitions, *cols).sortWithinPartitions(*cols)
-
-
 def fit_baseline(matrix: DataFrame, label: str = config.TARGET) -> LinearRegressionModel:
     """Ordinary least squares with intercept and no penalty.
 
@@ -59,6 +45,24 @@ def fit_baseline(matrix: DataFrame, label: str = config.TARGET) -> LinearRegress
     return lr.fit(matrix)
 
 
+def gram_rows(matrix: DataFrame, features: Sequence[str] = config.FEATURES, label: str = config.TARGET) -> DataFrame:
+    """The Gram matrix and the moment vector as rows (term_i, term_j, n_rows,
+    total): sums of products over all rows, one aggregate pass.  Terms are the
+    intercept, the features and the label; each pair comes once."""
+    terms = {"intercept": F.lit(1.0), **{f: F.col(f).cast("double") for f in [*features, label]}}
+    names = list(terms)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    one = matrix.agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(terms[a] * terms[b]).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
+    cells = F.array(*[F.struct(F.lit(a).alias("term_i"), F.lit(b).alias("term_j"), F.col(f"p{k}").alias("total")) for k, (a, b) in enumerate(pairs)])
+    return one.select("n_rows", F.explode(cells).alias("c")).select("c.term_i", "c.term_j", "n_rows", "c.total")
+
+
+def coefficients(spark: SparkSession, model: LinearRegressionModel, features: Sequence[str] = config.FEATURES) -> DataFrame:
+    """A fitted linear model as rows (term, coefficient), intercept included."""
+    rows = [("intercept", float(model.intercept)), *zip(features, map(float, model.coefficients), strict=True)]
+    return spark.createDataFrame(rows, "term string, coefficient double")
+
+
 def fit_challenger(
     matrix: DataFrame,
     label: str = config.TARGET,
@@ -66,47 +70,45 @@ def fit_challenger(
     max_depth: int = 10,
     seed: int = 42,
     max_bins: int = 32,
-    max_memory_mb: int = 512,
-    partitions: int = 32,
-) -> RandomForestRegressionModel:
+    features: Sequence[str] | None = None,
+    row_key: Sequence[str] | None = None,
+    partitions: int | None = None,
+) -> Forest:
     """Bagged regression forest; every feature is a split candidate at every
     node, bootstrap samples of full size (the usual forest defaults).
 
-    ``partitions`` is part of the model, like ``seed`` (see ``settled``); set
-    it to the training set's size in partitions, not to the cluster's cores.
-    The cache made here belongs to this function alone.
+    A row's share in each tree comes from a hash of ``row_key`` (by default
+    all scalar columns), so rows, seed and settings alone make the model;
+    ``partitions`` only bounds the tasks of a pass.  ``features`` defaults to
+    the matrix's scalar columns in the order they were assembled."""
+    scalars = [c for c in matrix.columns if c != "features"]
+    if features is None:
+        meta = matrix.schema["features"].metadata["ml_attr"]["attrs"]
+        features = [a["name"] for a in sorted((a for kind in meta.values() for a in kind), key=lambda a: a["idx"])]
+    settings = forest.Settings(num_trees, max_depth, seed, max_bins)
+    return forest.grow(matrix, features, label, row_key or scalars, settings, partitions)
 
-    Execution knobs only (the model is the same): each row's node ids are
-    cached between levels instead of re-walking every tree, with that
-    cache checkpointed to the shared checkpoint folder every 10 levels, and
-    up to ``max_memory_mb`` of split statistics per pass, so deep levels
-    need fewer passes."""
-    rf = RandomForestRegressor(
-        featuresCol="features", labelCol=label, predictionCol="prediction",
-        numTrees=num_trees, maxDepth=max_depth, seed=seed, maxBins=max_bins,
-        featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
-        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=max_memory_mb,
-    )
-    data = settled(matrix, partitions).persist()
-    try:
-        return rf.fit(data)
-    finally:
-        data.unpersist()
+
+def save_model(spark: SparkSession, model: Model | Forest, path: str) -> None:
+    if isinstance(model, Forest):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def model_type(model: Model) -> str:
+def model_type(model: Model | Forest) -> str:
     return LINEAR if isinstance(model, LinearRegressionModel) else FOREST
 
 
-def load_model(kind: str, path: str) -> Model:
+def load_model(kind: str, path: str) -> Model | Forest:
     if kind == LINEAR:
         return LinearRegressionModel.load(path)
     if kind == FOREST:
-        return RandomForestRegressionModel.load(path)
+        return Forest.load(SparkSession.active(), path)
     raise ValueError(f"unknown model type {kind!r}")
 
 
-def score(model: Model, matrix: DataFrame, name: str = "predicted_sales") -> DataFrame:
+def score(model: Model | Forest, matrix: DataFrame, name: str = "predicted_sales") -> DataFrame:
     """Append a prediction column; the vector column is dropped."""
     return model.transform(matrix).withColumnRenamed("prediction", name).drop("features")
 
@@ -127,8 +129,8 @@ def mae_by(df: DataFrame, preds: Mapping[str, str], label: str = config.TARGET)
     return df.agg(*[F.avg(F.abs(y - F.col(p))).alias(name) for name, p in preds.items()])
 
 
-def score_side_by_side(df: DataFrame, scorers: Mapping[str, Model | Column], features=config.FEATURES) -> DataFrame:
-    """Score several models on the same rows: fitted models through
+def score_side_by_side(df: DataFrame, scorers: Mapping[str, Model | Forest | Column], features=config.FEATURES) -> DataFrame:
+    """Score several models on the same rows, one pass: fitted models through
     ``transform`` one after the other (no join), constant-coefficient
     scorers as column expressions."""
     out = df
@@ -136,7 +138,7 @@ def score_side_by_side(df: DataFrame, scorers: Mapping[str, Model | Column], fea
     if needs_vec:
         out = VectorAssembler(inputCols=list(features), outputCol="features").transform(out)
     for name, s in scorers.items():
-        if isinstance(s, Model):
+        if isinstance(s, Model | Forest):
             out = s.transform(out).withColumnRenamed("prediction", name)
         else:
             out = out.withColumn(name, s)
@@ -172,7 +174,7 @@ def normal_equation_check(
     )
 
 
-def forest_check(model: RandomForestRegressionModel, matrix: DataFrame, label: str = config.TARGET) -> DataFrame:
+def forest_check(model: Forest, matrix: DataFrame, label: str = config.TARGET) -> DataFrame:
     """Forest sanity on its training rows, one pass: predictions stay in
     the label range (averages of leaf means cannot leave it) and the forest
     beats the constant mean predictor in squared error."""

@@ -1,7 +1,8 @@
 """Run registry and the active-model pointer, as tables.
 
 * ``model_runs``: one row per training run (params, metrics, tags, model
-  path); models are saved with MLlib's writer into the shared folder.
+  path); linear models are saved with MLlib's writer, forests as their node
+  table, into the shared folder.
 * ``model_decisions``: an append-only log of pointer changes; the active
   model is the latest row (a view), so nothing is ever overwritten while
   it is being read.
@@ -23,13 +24,14 @@ from pyspark.sql import functions as F
 
 from demandlake import config
 from demandlake.operators import models
+from demandlake.operators.forest import Forest
 from demandlake.sources import io, schemas, storage
 
 
 def record_run(
     spark: SparkSession,
     runs_path: str,
-    model: Model,
+    model: Model | Forest,
     role: str,
     env: str,
     mae: float,
@@ -43,7 +45,7 @@ def record_run(
     run_id = uuid.uuid4().hex
     root = model_root or storage.shared_root(spark) + "/demandlake/models"
     path = f"{root}/{run_id}"
-    model.write().overwrite().save(path)
+    models.save_model(spark, model, path)
     row = (
         run_id,
         start_time or datetime.now(timezone.utc).replace(tzinfo=None),
@@ -60,7 +62,7 @@ def record_run(
     return run_id
 
 
-def load_run_model(run: DataFrame) -> Model:
+def load_run_model(run: DataFrame) -> Model | Forest:
     """Load the model of a one-row run frame (``model_type``, ``model_path``)."""
     r = run.select("model_type", "model_path").first()
     if r is None:

@@ -339,13 +339,6 @@ def forest_invariants(spark, sf):
     return models.forest_check(model, m)
 
 
-def holdout_metrics(spark, sf):
-    train, test = slices.split_holdout(_gold_table(spark, sf))
-    model = models.fit_baseline(models.feature_matrix(train))
-    scored = models.score(model, models.feature_matrix(test))
-    return models.error_metrics(scored).select(F.lit(config.BASELINE).alias("model_role"), "*")
-
-
 def model_comparison(spark, sf):
     m = _eval_maes(spark, sf)
     return m.select(_r("baseline_mae"), _r("challenger_mae"))
@@ -565,7 +558,6 @@ QUERIES: dict[str, Query] = {
     "feature_matrix_stats": feature_matrix_stats,
     "ols_normal_equations": ols_normal_equations,
     "forest_invariants": forest_invariants,
-    "holdout_metrics": holdout_metrics,
     "model_comparison": model_comparison,
     "feature_histogram": feature_histogram,
     "feature_psi": feature_psi,
