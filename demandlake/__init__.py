@@ -14,6 +14,6 @@ cluster.  Subpackages:
 * ``streaming`` – incremental bronze ingestion with Structured Streaming.
 """
 
-from demandlake.config import FEATURES, DRIFT_FEATURES, Thresholds
+from demandlake.config import DRIFT_FEATURES, FEATURES
 
-__all__ = ["FEATURES", "DRIFT_FEATURES", "Thresholds"]
+__all__ = ["DRIFT_FEATURES", "FEATURES"]

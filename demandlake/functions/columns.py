@@ -21,11 +21,14 @@ def lenient_date(c: str | Column) -> Column:
 
 
 def lenient_int(c: str | Column) -> Column:
-    """String -> INT; decimal text is cut toward zero ('13.7' -> 13, '-2.5'
-    -> -2); malformed or out of range -> NULL."""
-    text = F.trim(col_(c).cast("string"))
-    whole = F.when(text.rlike(r"^[+-]?[0-9]*\.[0-9]*$"), text.try_cast("decimal(38,10)").try_cast("int"))
-    return F.coalesce(col_(c).try_cast("int"), whole)
+    """String -> INT; decimal text is cut at the point, whatever follows it
+    ('13.7' -> 13, '-2.5' -> -2, '.9' -> 0); malformed or out of range ->
+    NULL.  Spaces and control characters around the number do not count."""
+    around = r"[\x00-\x20\x7F]*"
+    whole = F.regexp_extract(col_(c).cast("string"), rf"\A{around}([+-]?[0-9]*)\.[0-9]*{around}\z", 1)
+    cut = F.when(whole.isin("+", "-"), F.lit(0)).otherwise(whole.try_cast("int"))
+    only_fraction = col_(c).cast("string").rlike(rf"\A{around}\.[0-9]*{around}\z")
+    return F.coalesce(col_(c).try_cast("int"), F.when(only_fraction, F.lit(0)).otherwise(cut))
 
 
 def hash_bucket(keys: Sequence[str | Column], buckets: int = config.PROMO_BUCKETS) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlake import config
-from demandlake.sources import io, schemas
+from demandlake.sources import schemas
+from demandlake.sources.versioned import VersionedTable
 
 
 def above(threshold: float) -> Column:
@@ -69,8 +70,8 @@ def rollback_rule(severe: Column, baseline_mae: Column, challenger_mae: Column,
 def publish_alerts(spark: SparkSession, alerts: DataFrame, path: str, keep_history: bool = False) -> DataFrame:
     """Reset the alert table to its declared schema (unless history is
     kept), append this batch's alerts (an empty batch adds nothing) and
-    return the table as read back."""
-    if not keep_history:
-        io.reset_table(spark, path, schemas.ALERTS)
-    io.append_if_any(schemas.conform(alerts, schemas.ALERTS), path)
-    return io.read_back(spark, path)
+    return the table as read back.  Both take effect in one step: no reader
+    sees the emptied table before this batch is in it."""
+    table = VersionedTable(spark, path, schemas.ALERTS)
+    before = table.read() if keep_history else schemas.empty_frame(spark, schemas.ALERTS)
+    return table.replace(before.unionByName(schemas.conform(alerts, schemas.ALERTS)))

@@ -123,10 +123,12 @@ def error_metrics(df: DataFrame, label: str = config.TARGET, pred: str = "predic
     )
 
 
-def mae_by(df: DataFrame, preds: Mapping[str, str], label: str = config.TARGET) -> DataFrame:
-    """One MAE column per prediction column, one pass."""
+def mae_by(df: DataFrame, preds: Mapping[str, str], label: str = config.TARGET, count: str | None = None) -> DataFrame:
+    """One MAE column per prediction column, one pass; ``count`` names a
+    column with the number of rows (see ``slices.required``)."""
     y = F.col(label).cast("double")
-    return df.agg(*[F.avg(F.abs(y - F.col(p))).alias(name) for name, p in preds.items()])
+    rows = [F.count(F.lit(1)).alias(count)] if count else []
+    return df.agg(*rows, *[F.avg(F.abs(y - F.col(p))).alias(name) for name, p in preds.items()])
 
 
 def score_side_by_side(df: DataFrame, scorers: Mapping[str, Model | Forest | Column], features=config.FEATURES) -> DataFrame:

@@ -71,7 +71,7 @@ def bin_index(value: Column, lo: Column, hi: Column, width: Column, bins: int =
 
 
 def drift_sides(
-    gold: DataFrame,
+    gold: DataFrame | slices.Dated,
     features: Sequence[str] = config.DRIFT_FEATURES,
     reference_days: int = config.DRIFT_REFERENCE_DAYS,
     current_days: int = config.DRIFT_CURRENT_DAYS,
@@ -80,12 +80,13 @@ def drift_sides(
     mx = slices.max_of(gold)  # one scalar subquery serves both cutoffs
     ref_cut = F.date_sub(mx, reference_days)
     cur_cut = F.date_sub(mx, current_days)
-    side = F.when(F.col("date") < ref_cut, "ref").when(F.col("date") >= cur_cut, "cur")
-    return (
-        gold.select(side.alias("side"), *features)
-        .filter(F.col("side").isNotNull())
-        .dropna(how="any", subset=list(features))
-    )
+    day = F.col("date")
+    either = slices.window(
+        gold, (day < ref_cut) | (day >= cur_cut),
+        lambda month: (month <= slices.month_of(ref_cut)) | (month >= slices.month_of(cur_cut)),
+    )
+    side = F.when(day < ref_cut, "ref").otherwise("cur")
+    return either.select(side.alias("side"), *features).dropna(how="any", subset=list(features))
 
 
 def histogram(

@@ -26,6 +26,7 @@ from demandlake import config
 from demandlake.operators import models
 from demandlake.operators.forest import Forest
 from demandlake.sources import io, schemas, storage
+from demandlake.sources.versioned import VersionedTable
 
 
 def record_run(
@@ -166,6 +167,11 @@ def restamp(pointer: DataFrame, ts: Column | None = None) -> DataFrame:
     return pointer.withColumn("decision_timestamp", ts if ts is not None else F.current_timestamp())
 
 
+def restamp_table(table: VersionedTable, ts: Column | None = None) -> DataFrame:
+    """Overwrite the pointer table from itself, re-stamped; read back."""
+    return table.replace(schemas.conform(restamp(table.read(), ts), table.schema))
+
+
 def ordered_history(df: DataFrame, ts_col: str) -> DataFrame:
     """Newest first; the run id orders the rows of one stamp, so they spread
     over the sort's ranges."""

@@ -8,6 +8,7 @@ arithmetic is left exact.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.stat import Summarizer
@@ -22,8 +23,9 @@ from demandlake.plans import fixtures as fx
 from demandlake.plans import flows
 from demandlake.plans import params as P
 from demandlake.sources import io, schemas, storage
+from demandlake.sources.versioned import VersionedTable
 
-_GOLD_ROOTS: dict[tuple[str, str], str] = {}
+_GOLD_ROOTS: dict[tuple, str] = {}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,16 +53,16 @@ def _gold(spark, sf) -> DataFrame:
     return gold.build_features(_silver(spark, sf))
 
 
-def _gold_table(spark, sf) -> DataFrame:
-    """The gold layer, written once per application and input path (by month,
-    like the flows' lake) and read by all later queries: the downstream
-    steps (slices, models, drift) scan the table, as in production."""
-    key = (spark.sparkContext.applicationId, sf)
+def _gold_table(spark, sf) -> slices.Dated:
+    """The gold layer, written once per application and state of the input
+    files (by month, like the flows' lake) and read by all later queries: the
+    downstream steps (slices, models, drift) scan the table, as in production."""
+    key = (spark.sparkContext.applicationId, sf, *(storage.fingerprint(spark, f"{sf}/{t}.parquet") for t in fx.SALES_TABLES))
     if key not in _GOLD_ROOTS:
         root = storage.scratch_path(spark, "gold")
         flows.Lake(spark, root).write_layer(_gold(spark, sf), "gold_sales_features")
         _GOLD_ROOTS[key] = root
-    return flows.Lake(spark, _GOLD_ROOTS[key]).layer("gold_sales_features").select(*config.GOLD_COLUMNS)
+    return flows.Lake(spark, _GOLD_ROOTS[key]).dated("gold_sales_features")
 
 
 def _int_keys(spark, sf) -> DataFrame:
@@ -140,7 +142,7 @@ def bronze_evolved(spark, sf):
 
 
 def schema_description(spark, sf):
-    return schemas.describe(_bronze_two_loads(spark, sf))
+    return schemas.profile(_bronze_two_loads(spark, sf))
 
 
 # ------------------------------------------------- projections / filters
@@ -203,9 +205,9 @@ def train_test_counts(spark, sf):
 
 
 def eval_window(spark, sf):
-    g = _gold_table(spark, sf)
-    ev = slices.since(g, config.EVAL_DAYS).select(*config.GOLD_COLUMNS).dropna(how="any")
-    return slices.require_rows(ev)
+    """The slice is written once; the guard looks at what was written."""
+    ev = slices.since(_gold_table(spark, sf), config.EVAL_DAYS).select(*config.GOLD_COLUMNS).dropna(how="any")
+    return slices.require_rows(io.materialize(ev, storage.scratch_path(spark, "eval_window")), "evaluation")
 
 
 def latest_date_slice(spark, sf):
@@ -223,7 +225,7 @@ def complete_rows(spark, sf):
 # --------------------------------------------------------- aggregates
 
 def date_bounds(spark, sf):
-    return checks.date_bounds(_gold(spark, sf))
+    return checks.date_bounds(_gold_table(spark, sf).stats)
 
 
 def ts_bounds(spark, sf):
@@ -246,16 +248,42 @@ def model_versions(spark, sf):
 
 
 def null_lag_rows(spark, sf):
-    return checks.null_count(_gold(spark, sf), "sales_lag_7", "rows_with_null_lag")
+    return checks.null_count(_gold_table(spark, sf).stats, "sales_lag_7", "rows_with_null_lag")
 
 
 def max_date(spark, sf):
-    return _gold(spark, sf).agg(F.max("date").alias("max_date"))
+    return _gold_table(spark, sf).stats.agg(F.max("date").alias("max_date"))
 
 
 def layer_checks(spark, sf):
-    s = _silver(spark, sf)
-    return checks.layer_checks(fx.bronze_dirty(spark, sf), s, gold.build_features(s))
+    """Each layer is built and written once, and checked while written."""
+    lake = flows.Lake(spark, storage.scratch_path(spark, "checked_lake"))
+    rows, taken = checks.observed(fx.bronze_dirty(spark, sf), "bronze")
+    io.write_table(rows, lake.path("bronze_sales"), "overwrite")
+    lake.note_checks("bronze", taken.get)
+    s = silver.build_silver(lake.read("bronze_sales"), as_of=P.day(P.AS_OF), tie_breakers=fx.dirty_tie_breakers())
+    lake.write_layer(s, "silver_sales", check="silver")
+    lake.write_layer(gold.build_features(lake.layer("silver_sales")), "gold_sales_features", check="gold")
+    return lake.read("layer_checks")
+
+
+def tables_by_name(spark, sf):
+    """Two appends to a table by name and a dated layer, both reached by SQL
+    through the catalog: sales by month, with the rows of the named table."""
+    name = f"named_silver_{uuid.uuid4().hex}"
+    s = _silver(spark, sf).select("date", "store", "item", "sales", "is_promo")
+    path = storage.scratch_path(spark, "named_silver")
+    io.save_named(s.filter("is_promo = 1"), name, path)
+    io.save_named(s.filter("is_promo = 0"), name, path)
+    prefix = f"lake_{uuid.uuid4().hex}_"
+    lake = flows.Lake(spark, storage.scratch_path(spark, "named_lake"))
+    lake.write_layer(s, "silver_sales")
+    lake.register(["silver_sales"], prefix)
+    return spark.sql(f"""
+        SELECT l.storage_month, l.total_sales, n.promo_rows
+        FROM (SELECT storage_month, sum(sales) AS total_sales FROM {prefix}silver_sales GROUP BY storage_month) l
+        JOIN (SELECT date_format(date, 'yyyy-MM') AS storage_month, sum(is_promo) AS promo_rows FROM {name} GROUP BY 1) n
+          ON l.storage_month = n.storage_month""")
 
 
 # ------------------------------------------------------------- models
@@ -379,7 +407,10 @@ def severe_drift(spark, sf):
 
 
 def alerts_published(spark, sf):
+    """The table holds the alerts of the whole history when it is reset."""
     path = storage.scratch_path(spark, "ml_alerts")
+    history = fx.drift_batches(spark, sf)
+    alerts.publish_alerts(spark, alerts.drift_alerts(history, F.col("evaluation_timestamp")), path, keep_history=True)
     a = alerts.drift_alerts(_latest_batch(spark, sf), P.ts(P.EVAL_TS))
     return _wall_clock(alerts.publish_alerts(spark, a, path), "alert_timestamp")
 
@@ -517,7 +548,10 @@ def pointer_after_rollback(spark, sf):
 
 
 def pointer_restamped(spark, sf):
-    return registry.restamp(registry.active_decision(fx.model_decisions(spark, sf)), P.ts(P.EVAL_TS))
+    """The pointer table is written, overwritten from itself, read back."""
+    table = VersionedTable(spark, storage.scratch_path(spark, "active_model_pointer"), schemas.MODEL_DECISIONS)
+    table.replace(schemas.conform(registry.active_decision(fx.model_decisions(spark, sf)), schemas.MODEL_DECISIONS))
+    return _wall_clock(registry.restamp_table(table, P.ts(P.EVAL_TS)), "decision_timestamp")
 
 
 QUERIES: dict[str, Query] = {
@@ -552,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "null_lag_rows": null_lag_rows,
     "max_date": max_date,
     "layer_checks": layer_checks,
+    "tables_by_name": tables_by_name,
     "fixed_linear_scores": fixed_linear_scores,
     "forecast_checks": forecast_checks,
     "forecast_mae_rmse": forecast_mae_rmse,

@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from demandlake.config import BASELINE, CHALLENGER
 
 
+#: Tables behind ``bronze_dirty``.
+SALES_TABLES = ("lineitem", "orders", "supplier", "part")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -84,7 +88,7 @@ def bronze_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw, all-STRING sales rows (as a header CSV arrives) with malformed
-    dates and sales values mixed in.  Keys are integer ids as text."""
+    dates, malformed and decimal sales mixed in.  Keys are integer ids as text."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_quantity", "l_shipdate")
     k = F.col("l_orderkey")
     return li.select(
@@ -94,6 +98,7 @@ def raw_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("string").alias("store"),
         F.col("l_partkey").cast("string").alias("item"),
         F.when(k % 89 == 0, F.lit("x"))
+        .when(k % 5 == 0, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".99999999999")))  # longer than a cast could round
         .otherwise(F.col("l_quantity").cast("int").cast("string"))
         .alias("sales"),
     )

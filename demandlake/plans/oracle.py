@@ -47,6 +47,7 @@ RAW_STRINGS = """
          CAST(l_suppkey AS VARCHAR) AS store,
          CAST(l_partkey AS VARCHAR) AS item,
          CASE WHEN l_orderkey % 89 = 0 THEN 'x'
+              WHEN l_orderkey % 5 = 0 THEN CONCAT(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), '.99999999999')
               ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS sales
   FROM lineitem"""
 
@@ -357,7 +358,8 @@ def _oracles() -> dict[str, str]:
     q["overwrite_readback"] = with_(facts, "SELECT * FROM sales_facts")
 
     raw = [("raw", RAW_STRINGS)]
-    typed = "SELECT TRY_CAST(date AS DATE) AS date, store, item, TRY_CAST(sales AS INTEGER) AS sales FROM raw"
+    # DuckDB rounds decimal text; the lenient cast cuts it at the point
+    typed = "SELECT TRY_CAST(date AS DATE) AS date, store, item, TRY_CAST(split_part(sales, '.', 1) AS INTEGER) AS sales FROM raw"
     q["raw_typed"] = with_(raw, typed)
     shifted = "SELECT date + 2190 AS date, store, item, sales FROM typed"
     q["date_shifted"] = with_(raw + [("typed", typed)], shifted)
@@ -380,9 +382,12 @@ def _oracles() -> dict[str, str]:
         (0, "date", "date"), (1, "store", "string"), (2, "item", "string"), (3, "sales", "int"),
         (4, "ingestion_timestamp", "timestamp_ntz"), (5, "is_promo", "int"), (6, "discount_pct", "double"),
     ]
-    values = ", ".join(f"({i}, '{n}', '{t}')" for i, n, t in desc)
-    q["schema_description"] = (
-        f"SELECT CAST(col_pos AS INTEGER) AS col_pos, col_name, data_type FROM (VALUES {values}) v(col_pos, col_name, data_type)"
+    q["schema_description"] = with_(
+        two + [("evolved", evolved)],
+        " UNION ALL ".join(
+            f"SELECT CAST({i} AS INTEGER) AS col_pos, '{n}' AS col_name, '{t}' AS data_type, count(*) AS n_rows, count({n}) AS n_values, "
+            f"count(DISTINCT {n}) AS n_distinct FROM evolved" for i, n, t in desc
+        ),
     )
 
     ik = [("ik", INT_KEYS)]
@@ -449,6 +454,10 @@ def _oracles() -> dict[str, str]:
            CAST(min(date) AS VARCHAR) AS min_date, CAST(max(date) AS VARCHAR) AS max_date FROM gold)
     UNPIVOT (value FOR "check" IN (row_count, rows_with_null_lag, min_date, max_date))""")
 
+    q["tables_by_name"] = with_(silver, """
+  SELECT strftime(date, '%Y-%m') AS storage_month, CAST(sum(sales) AS BIGINT) AS total_sales, CAST(sum(is_promo) AS BIGINT) AS promo_rows
+  FROM silver GROUP BY 1""")
+
     base_lin = _lin(P.BASELINE_COEF, P.BASELINE_INTERCEPT)
     q["fixed_linear_scores"] = with_(g, f"""
   SELECT date, store, item, {FEATS},

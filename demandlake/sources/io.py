@@ -79,6 +79,24 @@ def read_back(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema
     return reader.load(path)
 
 
+def statistics(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The table read for minima, maxima and counts: an ungrouped aggregate
+    over it comes from the Parquet footers (``PushedAggregation``) and reads
+    no rows.  Minima and maxima want a column with a value in every file.
+
+    That needs Spark's second-generation reader, which is chosen when the
+    table is opened, so the session's choice for other reads stays as it is."""
+    if fmt != "parquet":
+        return spark.read.format(fmt).load(path)
+    first = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")  # concerns that reader alone
+    spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in first.split(",") if s != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", first)
+
+
 def reset_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
     """Empty a table while keeping its declared schema (overwrite with no rows)."""
     spark.createDataFrame([], schema).write.format(fmt).mode("overwrite").save(path)

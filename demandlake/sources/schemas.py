@@ -115,7 +115,33 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+LAYER_CHECKS = T.StructType(
+    [
+        T.StructField("layer", T.StringType()),
+        T.StructField("check", T.StringType()),
+        T.StructField("value", T.StringType()),
+    ]
+)
+
+
 def describe(df: DataFrame) -> DataFrame:
     """``DESCRIBE TABLE`` as a DataFrame: (col_pos, col_name, data_type)."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
     return df.sparkSession.createDataFrame(rows, "col_pos int, col_name string, data_type string")
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """``describe`` with what the columns hold: (col_pos, col_name,
+    data_type, n_rows, n_values, n_distinct), counted by Spark in one pass
+    over the whole table; the distinct count is exact."""
+    fields = list(enumerate(df.schema.fields))
+    counts = [F.count(F.col(f.name)).alias(f"v{i}") for i, f in fields] + [F.count_distinct(F.col(f.name)).alias(f"d{i}") for i, f in fields]
+    cells = [
+        F.struct(
+            F.lit(i).alias("col_pos"), F.lit(f.name).alias("col_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col("n_rows"), F.col(f"v{i}").alias("n_values"), F.col(f"d{i}").alias("n_distinct"),
+        )
+        for i, f in fields
+    ]
+    one = df.agg(F.count(F.lit(1)).alias("n_rows"), *counts)
+    return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")

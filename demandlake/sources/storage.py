@@ -4,6 +4,9 @@ On a cluster the folder is the one the cluster names in
 ``spark.checkpoint.dir`` (a shared filesystem or object store), so every
 executor and a restarted driver see the same files.  Only a local-mode
 session without that setting gets a folder of its own (tests, laptops).
+
+Scratch tables live in one folder per application, which the driver's JVM
+deletes when it ends.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import SparkSession
 
 _CONF = "spark.checkpoint.dir"
 _LOCAL_ROOTS: dict[str, str] = {}
+_MARKED: set[str] = set()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -42,6 +46,39 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, fs = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The application's scratch folder, marked for deletion at the end."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no local context
+        return f"{shared_root(spark)}/demandlake/scratch"
+    root = f"{shared_root(spark)}/demandlake/scratch-{app}"
+    if root not in _MARKED:
+        where, fs = _file_system(spark, root)
+        fs.mkdirs(where)  # only a folder that exists can be marked
+        fs.deleteOnExit(where)
+        _MARKED.add(root)
+    return root
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared root."""
-    return f"{shared_root(spark)}/demandlake/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and modification times of the files of a table, from
+    one listing: equal as long as nobody has changed the table."""
+    where, fs = _file_system(spark, path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(where)))

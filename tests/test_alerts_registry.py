@@ -2,8 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from demandlake import config
-from demandlake.operators import alerts, registry
+from demandlake.operators import alerts, monitoring, registry
 
 T = dt.datetime(2020, 1, 1)
 
@@ -58,11 +57,11 @@ def test_active_pointer_and_lookup(spark):
     assert restamped["decision_timestamp"] == T and restamped["active_model"] == "CHALLENGER"
 
 
-def test_thresholds_config():
-    assert config.Thresholds.for_env(" prod ").drift == 0.20
-    for bad in (None, "qa"):
-        try:
-            config.Thresholds.for_env(bad)
-            raise AssertionError("accepted bad env")
-        except (RuntimeError, ValueError):
-            pass
+def test_thresholds_are_arguments(spark):
+    d = spark.createDataFrame([("is_promo", 0.22), ("discount_pct", 0.19)], "feature string, psi double")
+    assert alerts.drift_alerts(d).count() == 0
+    assert [r["feature"] for r in alerts.drift_alerts(d, threshold=0.20).collect()] == ["is_promo"]
+    assert alerts.severe_drift(d, by=(), threshold=0.20).first()["severe_drift"] is True
+    df = spark.createDataFrame([(10.0, 10.3)], "b double, a double")
+    for factor, want in ((1.05, "OK"), (1.02, "DEGRADED")):
+        assert df.select(monitoring.degradation_status(F.col("b"), F.col("a"), factor).alias("s")).first()["s"] == want
