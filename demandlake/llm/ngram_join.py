@@ -375,25 +375,39 @@ class _Join:
         inter = F.size(F.array_intersect("sx", "sy"))
         return keep(both.select("x", "y", "nx", "ny", inter.alias("i")).where(f"{SIM[1]} * i >= {SIM[0]} * (nx + ny - i)").select("x", "y"), "links")
 
+    @staticmethod
+    def families(lists: DataFrame) -> DataFrame:
+        """(cid, family, home): a family is all sets that lists connect; home
+        is the least set of most of a set's lists."""
+        least = lists.groupBy("token").agg(F.min("cid").alias("y"))
+        near = keep(lists.join(least, "token").groupBy("cid", "y").agg(F.count(F.lit(1)).alias("k")), "near-sets")
+        home = near.groupBy("cid").agg(F.max(F.struct("k", "y")).alias("h")).select("cid", F.col("h.y").alias("home"))
+        family = components(near.select(F.col("cid").alias("x"), "y"))
+        return home.join(family.select(F.col("node").alias("cid"), F.col("comp").alias("family")), "cid")
+
     def block_links(self, lists: DataFrame) -> DataFrame:
         """(x, y) of components that links left open join, as nodes of
         ``components``: enough of them to join all that are linked.
 
         The queries are the sets outside the largest component of one of their
-        lists: every open pair has one.  Queries that share their longest list
-        are dealt to blocks of bounded size, the sets that a block meets to
-        shards of bounded size.  First the listed tokens meet, then the whole
-        sets of those that share enough of them with one of the other side."""
+        lists: every open pair has one.  Queries of one family are dealt to
+        blocks of bounded size, so a token's list is met by its family's
+        blocks and no others; the sets that a block meets are dealt to shards
+        of bounded size.  First the listed tokens meet, then the whole sets of
+        those that share enough of them with one of the other side."""
         size = lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
         main = size.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("held")).select("token", F.col("m.comp").alias("main"), "held")
         out = lists.join(main, "token").where("comp != main")
-        query = out.groupBy("cid").agg(F.first("n").alias("n"), F.max(F.struct("held", "token")).alias("h"))
-        query = keep(query.select("cid", "n", F.col("h.token").alias("home")), "queries")
+        query = out.groupBy("cid").agg(F.first("n").alias("n")).join(self.families(lists), "cid")
+        query = keep(query, "queries")
         total = query.agg(F.sum("n")).first()[0] or 0
-        home = query.groupBy("home").agg(F.sum("n").alias("tokens"))
-        own = F.xxhash64("home", F.pmod(F.xxhash64("cid"), F.ceil(F.col("tokens") / BLOCK_TOKENS)))
-        small = F.pmod(F.xxhash64("home"), F.lit(1 + total // BLOCK_TOKENS))
-        query = keep(query.join(home, "home").withColumn("block", F.when(F.col("tokens") > BLOCK_TOKENS, own).otherwise(small)).drop("home", "tokens"), "blocks")
+        size = query.groupBy("family", "home").agg(F.sum("n").alias("at_home")).withColumn("tokens", F.sum("at_home").over(Window.partitionBy("family")))
+        # a family within a block's size goes to one; a larger one is dealt by home, a larger home by set
+        by_home = F.xxhash64("family", F.pmod(F.xxhash64("home"), F.ceil(F.col("tokens") / BLOCK_TOKENS)))
+        by_set = F.xxhash64("family", "home", F.pmod(F.xxhash64("cid"), F.ceil(F.col("at_home") / BLOCK_TOKENS)))
+        small = F.pmod(F.xxhash64("family"), F.lit(1 + total // BLOCK_TOKENS))
+        block = F.when(F.col("tokens") <= BLOCK_TOKENS, small).when(F.col("at_home") <= BLOCK_TOKENS, by_home).otherwise(by_set)
+        query = keep(query.join(size, ["family", "home"]).select("cid", "n", block.alias("block")), "blocks")
 
         entry = ["cid", "comp", "n", "level", "token", "at"]
         own = lists.join(query.select("cid", "block"), "cid")
