@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandlake.llm.tables import keep, text_or_empty
+from demandlake.llm.tables import keep, located, text_or_empty, without
 from demandlake.llm.textops import U, mix
 
 GAMMA = 2.0
@@ -188,12 +188,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def keep_winners(docs: DataFrame) -> DataFrame:
     """The documents that stay, with their own columns."""
-    names = docs.columns
-    held = keep(docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
-                            F.monotonically_increasing_id().alias("row")), "dedup-input")
-    own = f"c{names.index('doc_id')}"
-    text = f"c{names.index('text')}"
-    digested = held.select(F.col(own).alias("doc_id"), "row", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)).alias("digest"))
-    digested = keep(digested, "digests")
-    lost = dedup(digested, history_half()).where("row != keep_row").select("row")
-    return held.join(lost, "row", "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    held = located(docs, "dedup-input")
+    own, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    digested = held.select(own.alias("doc_id"), "row", F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)).alias("digest"))
+    lost = dedup(keep(digested, "digests"), history_half()).where("row != keep_row")
+    return without(docs, held, lost, "dedup-lost")

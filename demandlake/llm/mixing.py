@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandlake.llm.tables import keep, n_words, text_or_empty
+from demandlake.llm.tables import keep, located, n_words, text_or_empty
 
 WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.0
@@ -137,9 +137,9 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix with their own columns, repeated as taken."""
     names = docs.columns
-    held = keep(docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], F.monotonically_increasing_id().alias("row"),
-                            n_words(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("size")), "mix-input")
-    key = lambda c: F.col(f"c{names.index(c)}").alias(c)
-    times = mix_rows(held.select(key("doc_id"), key("source"), "size", "row")).where("times > 0").select("row", "times")
+    held = located(docs, "mix-input")
+    key = lambda c: F.col(f"c{names.index(c)}")
+    sized = held.select(key("doc_id").alias("doc_id"), key("source").alias("source"), n_words(F.coalesce(key("text").cast("string"), F.lit(""))).alias("size"), "row")
+    times = keep(mix_rows(keep(sized, "mix-sizes")).where("times > 0").select("row", "times"), "mix-times")
     out = held.join(times, "row").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

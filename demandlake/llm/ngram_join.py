@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake.llm import textops as T
-from demandlake.llm.tables import keep
+from demandlake.llm.tables import keep, located, without
 
 SHINGLE = 5
 SIM = (75, 100)  # 100 * intersection >= 75 * union
@@ -464,14 +464,12 @@ def join(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component (the smallest doc_id; of rows repeated
     under it, one), with its own columns."""
-    names = docs.columns
-    held = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], F.monotonically_increasing_id().alias("row"))
-    held = keep(held, "join-input")
-    own, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
-    # the join names documents by the written row, which is unique and never null
-    found = keep(_Join(held.select(F.col("row").alias("doc_id"), F.col(text).alias("text"))).run(), "components")
-    ids = held.select(F.col("row").alias("doc_id"), F.col(own).alias("id"))
+    held = located(docs, "join-input")
+    own, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    # the join names documents by the row's locator, which is unique and never null
+    found = keep(_Join(held.select(F.col("row").alias("doc_id"), text.alias("text"))).run(), "components")
+    ids = held.select(F.col("row").alias("doc_id"), own.alias("id"))
     first = found.join(ids, "doc_id").groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id")).alias("m"), F.count(F.lit(1)).alias("k"))
     first = first.where("k > 1").select("comp", F.col("m.doc_id").alias("stays"))
     lost = found.join(first, "comp").where("doc_id != stays").select(F.col("doc_id").alias("row"))
-    return held.join(lost, "row", "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    return without(docs, held, lost, "join-lost")

@@ -7,6 +7,7 @@ import zipfile
 from pathlib import Path
 
 import demandlake
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,32 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def located(df: DataFrame, name: str) -> DataFrame:
+    """The columns of ``df`` by position (c0, c1, ...) and ``row``, a locator
+    that is the same whenever the rows are read again.
+
+    Rows that come straight from files are located by file and place there,
+    so nothing is copied; other frames are written first."""
+    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]
+    try:
+        at = df.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    except AnalysisException:
+        at = None
+    if at is None or "_metadata" in df.columns:
+        return keep(df.select(*columns, F.monotonically_increasing_id().alias("row")), name)
+    files = sorted(r["file"] for r in at.select("file").distinct().collect())  # the listing, which the driver holds anyway
+    numbers = df.sparkSession.createDataFrame([(f, i << 40) for i, f in enumerate(files)], "file string, start long")
+    return at.join(numbers, "file").select(*[f"c{i}" for i in range(len(df.columns))], (F.col("start") + F.col("place")).alias("row"))
+
+
+def without(df: DataFrame, located_rows: DataFrame, lost: DataFrame, name: str) -> DataFrame:
+    """``df`` less the rows of ``lost(row)``.  The locators are written, so
+    Spark knows their size before it chooses between sending them to the texts
+    and moving the texts."""
+    left = located_rows.join(keep(lost.select("row"), name), "row", "left_anti")
+    return left.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z only, whatever the locale."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
