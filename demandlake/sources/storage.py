@@ -57,6 +57,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder before the end of the application."""
+    if "/demandlake/scratch" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    where, fs = _file_system(spark, path)
+    fs.delete(where, True)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The application's scratch folder, marked for deletion at the end."""
     try:
