@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandlake.llm import textops as T
-from demandlake.llm.tables import keep, located, without
+from demandlake.llm.tables import forget, keep, located, without
 
 SHINGLE = 5
 SIM = (75, 100)  # 100 * intersection >= 75 * union
@@ -294,7 +294,7 @@ class _Join:
         entry = entry.select("token", "cid", (F.col("n") * 64 + F.greatest(F.lit(1), F.col("pos") + 1 - F.col("first"))).alias("pack"))
         entry = entry.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
         lists = keep(entry.select("token", "cid", F.floor(F.col("pack") / 64).cast("int").alias("n"), (F.col("pack") % 64).cast("int").alias("at"), "m"), "all-lists")
-        self.lists = self.with_level(lists)
+        self.lists, self.written = self.with_level(lists), lists
         self.links = None
         self.label = None
 
@@ -326,7 +326,8 @@ class _Join:
         held = own.select("*", F.min("comp").over(by_token).alias("a"), F.max("comp").over(by_token).alias("b"), F.min("level").over(by_token).alias("least"))
         have = held.where("a != b").drop("a", "b").withColumn("have", F.count(F.lit(1)).over(by_set))
         own = keep(have.where("have >= least(level, least)").drop("have", "least"), "open-lists")
-        self.lists = own.drop("comp")
+        forget(self.written)
+        self.lists, self.written = own.drop("comp"), own
         return own
 
     @staticmethod
@@ -357,7 +358,7 @@ class _Join:
 
     def sets_of(self, wanted: DataFrame) -> DataFrame:
         """(cid, n, tokens) of the wanted classes, from one more pass over the texts."""
-        cls = keep(self.classes.join(wanted.select("cid").distinct(), "cid").select("cid", "n", "d1", "d2", "th"), "wanted")
+        cls = keep(self.classes.join(wanted.select("cid").distinct(), "cid").select("cid", "n", "d1", "d2", "th"), "wanted-sets")
         bit = cls.select(F.explode(F.array("th", F.shiftright("th", 32))).alias("d")).select(F.col("d").bitwiseAND(FILTER_BITS - 1).alias("bit"))
         one = F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")
         got = bit.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(one).alias("w")).toPandas()  # FILTER_BITS / 64 rows at most
@@ -373,7 +374,9 @@ class _Join:
         left = pairs.join(sets.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("sx")), "x")
         both = left.join(sets.select(F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("tokens").alias("sy")), "y")
         inter = F.size(F.array_intersect("sx", "sy"))
-        return keep(both.select("x", "y", "nx", "ny", inter.alias("i")).where(f"{SIM[1]} * i >= {SIM[0]} * (nx + ny - i)").select("x", "y"), "links")
+        links = keep(both.select("x", "y", "nx", "ny", inter.alias("i")).where(f"{SIM[1]} * i >= {SIM[0]} * (nx + ny - i)").select("x", "y"), "links")
+        forget(pairs, sets)
+        return links
 
     @staticmethod
     def families(lists: DataFrame) -> DataFrame:
@@ -418,9 +421,11 @@ class _Join:
 
         asks, met = found.where("query"), found.where("NOT query")
         dealt = met.groupBy("block").agg(F.ceil(F.sum("n") / SHARD_TOKENS).cast("int").alias("shards"))
-        sets = self.sets_of(found).select("cid", "tokens")
-        both = self.in_shards(asks.drop("query", "n"), met.drop("query", "n"), keep(dealt, "shards")).join(sets, "cid")
-        return keep(both.groupBy("block", "shard").applyInArrow(_compare, "x long, y long"), "links")
+        sets = self.sets_of(found)
+        both = self.in_shards(asks.drop("query", "n"), met.drop("query", "n"), keep(dealt, "shards")).join(sets.select("cid", "tokens"), "cid")
+        links = keep(both.groupBy("block", "shard").applyInArrow(_compare, "x long, y long"), "links")
+        forget(found, sets)
+        return links
 
     @staticmethod
     def in_shards(queries: DataFrame, met: DataFrame, shards: DataFrame) -> DataFrame:

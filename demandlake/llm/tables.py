@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import demandlake
@@ -17,6 +18,9 @@ from demandlake.sources import storage
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: File names that are sent to the rows; more of them are joined.
+SENT_FILES = 50_000
+
 _SHIPPED: set[str] = set()
 
 
@@ -49,6 +53,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*kept: DataFrame) -> None:
+    """Delete tables written by ``keep`` that nothing will read again: what was
+    made of them has been written itself."""
+    for df in kept:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/llm-" in folder:
+                storage.remove(df.sparkSession, folder)
+
+
 def located(df: DataFrame, name: str) -> DataFrame:
     """The columns of ``df`` by position (c0, c1, ...) and ``row``, a locator
     that is the same whenever the rows are read again.
@@ -64,6 +77,8 @@ def located(df: DataFrame, name: str) -> DataFrame:
         return keep(df.select(*columns, F.monotonically_increasing_id().alias("row")), name)
     files = sorted(r["file"] for r in at.select("file").distinct().collect())  # the listing, which the driver holds anyway
     numbers = df.sparkSession.createDataFrame([(f, i << 40) for i, f in enumerate(files)], "file string, start long")
+    if len(files) <= SENT_FILES:  # a local list has no size that Spark knows
+        numbers = F.broadcast(numbers)
     return at.join(numbers, "file").select(*[f"c{i}" for i in range(len(df.columns))], (F.col("start") + F.col("place")).alias("row"))
 
 
@@ -88,6 +103,42 @@ def n_words(c: Column) -> Column:
     return F.regexp_count(c, F.lit(WORD)).cast("long")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Elements that ``running`` sums in one go.
+RUN_BLOCK = 64
+
+
+def running(x: Column, start: Column | None = None, levels: int = 2) -> Column:
+    """For each element of an array of integers the sum of all before it.
+
+    An array cannot be grown in place, so a plain fold copies it for each
+    element; here blocks are folded, and their totals are summed by the same
+    rule, so the cost is linear up to tens of millions of elements."""
+    start = F.lit(0).cast("int") if start is None else start
+
+    def fold(part: Column, first: Column) -> Column:
+        begin = F.struct(first.cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda acc, v: F.struct((acc["at"] + v).cast("int").alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(part, begin, step, lambda acc: acc["out"])
+
+    if not levels:
+        return fold(x, start)
+
+    def by_blocks(a: Column) -> Column:
+        last = F.floor((F.size(a) - 1) / RUN_BLOCK).cast("int")
+        return let(F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(a, b * RUN_BLOCK + 1, RUN_BLOCK)), sums)
+
+    def sums(blocks: Column) -> Column:
+        total = lambda p: F.aggregate(p, F.lit(0).cast("int"), lambda acc, v: (acc + v).cast("int"))
+        return F.flatten(F.zip_with(blocks, running(F.transform(blocks, total), start, levels - 1), fold))
+
+    return let(x, lambda a: F.when(F.size(a) <= RUN_BLOCK, fold(a, start)).otherwise(by_blocks(a)))
+
+
 def most_frequent(counted: DataFrame, limit: int) -> DataFrame:
     """The rows of largest ``n``, whole classes of counts, ``limit`` at most.
     The cut comes from a histogram of log-spaced classes (under 600), so no
