@@ -10,7 +10,8 @@ that reach the bar join the trusted ones.  In the end, high-confidence
 patterns mark identifier-like tokens that no seed covers as kind ``id``.
 
 Places are code points.  Spark finds no match positions, so a text is split
-at the matches: the pieces' and matches' lengths add up to the places.
+at the matches: the pieces' and matches' lengths add up to the places, by
+running sums in blocks, so the cost follows the text's length whatever it is.
 
 Defined results: null text counts as empty; without spans base_sha256 is
 that of the empty string and spans is empty; repeated rows get equal
@@ -19,10 +20,10 @@ results (each counts as an occurrence); an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandlake.llm.tables import keep, text_or_empty
+from demandlake.llm.tables import keep, let, running, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -43,22 +44,22 @@ ROUNDS = 3
 MIN_TRUST = 0.5  # confidence of an instance that joins the trusted ones
 MIN_PATTERN = 0.6  # confidence of a pattern that marks new spans
 MIN_SUPPORT = 5  # trusted instances behind such a pattern
+FEW = 64  # base spans that each token of a text is held against
 
 
 def _matches(pattern: str) -> Column:
     """array<struct<s, e, m>> of all matches, from the column ``text``."""
     found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    pieces = F.split("text", pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out"))
+    gaps = lambda z: F.transform(F.slice(z["p"], 1, F.size(z["m"])), F.length)
 
-    def step(acc, x):
-        s = acc["at"] + F.length(x["p"])
-        e = s + F.length(x["m"])
-        one = F.struct(s.cast("int").alias("s"), e.cast("int").alias("e"), x["m"].alias("m"))
-        return F.struct(e.cast("int").alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    def place(z):
+        start = running(F.zip_with(z["g"], z["m"], lambda g, m: g + F.length(m)))
+        zipped = F.arrays_zip(start.alias("at"), z["g"].alias("g"), z["m"].alias("m"))
+        s = lambda x: (x["at"] + x["g"]).cast("int")
+        return F.transform(zipped, lambda x: F.struct(s(x).alias("s"), (s(x) + F.length(x["m"])).cast("int").alias("e"), x["m"].alias("m")))
 
-    pairs = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("p"), found.alias("m"))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    both = F.struct(found.alias("m"), F.split("text", pattern, -1).alias("p"))
+    return let(both, lambda z: let(F.struct(z["m"].alias("m"), gaps(z).alias("g")), place))
 
 
 def _digits(m: Column) -> Column:
@@ -112,23 +113,44 @@ def _spans_of(kind: str, k: int) -> Column:
 def tokens() -> Column:
     """Identifier-like tokens: array<struct<s, e, m, l, r>> with the words left
     and right of each (lower-cased; empty at the text's ends)."""
-    found = F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))
-    pieces = F.split("text", TOKEN, -1)
     edge = r"[\x20\x09-\x0D]+"
     word = lambda p, i: F.lower(F.element_at(F.split(p, edge), i))
-    n = F.size(found)
-    near = F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), word(F.rtrim(p), -1).alias("l"), word(F.ltrim(p), 1).alias("r")))
-    zipped = F.arrays_zip(F.slice(near, 1, n).alias("p"), F.slice(near, 2, n).alias("q"), found.alias("m"))
+    around = lambda p: F.struct(F.length(p).cast("int").alias("n"), word(F.rtrim(p), -1).alias("l"), word(F.ltrim(p), 1).alias("r"))
     kind = "array<struct<s:int,e:int,m:string,l:string,r:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
-    def step(acc, x):
-        s = acc["at"] + x["p"]["n"]
-        e = s + F.length(x["m"])
-        one = F.struct(s.cast("int").alias("s"), e.cast("int").alias("e"), x["m"].alias("m"), x["p"]["l"].alias("l"), x["q"]["r"].alias("r"))
-        return F.struct(e.cast("int").alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    def place(z):
+        n = F.size(z["m"])
+        start = running(F.zip_with(F.slice(z["p"], 1, n), z["m"], lambda p, m: p["n"] + F.length(m)))
+        zipped = F.arrays_zip(start.alias("at"), F.slice(z["p"], 1, n).alias("p"), F.slice(z["p"], 2, n).alias("q"), z["m"].alias("m"))
+        s = lambda x: (x["at"] + x["p"]["n"]).cast("int")
+        return F.transform(
+            zipped,
+            lambda x: F.struct(s(x).alias("s"), (s(x) + F.length(x["m"])).cast("int").alias("e"), x["m"].alias("m"), x["p"]["l"].alias("l"), x["q"]["r"].alias("r")),
+        )
+
+    pieces = F.transform(F.split("text", TOKEN, -1), around)
+    both = F.struct(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("m"), pieces.alias("p"))
+    return F.when(F.col("text").rlike("[0-9@]"), let(both, place)).otherwise(F.array().cast(kind))
+
+
+_TOKEN = ["row", "s", "e", "m", "l", "r"]
+
+
+def beside_few(spans: DataFrame) -> DataFrame:
+    """Tokens of ``spans(row, tokens, base)``, a row each, and whether a base
+    span overlaps them: each token looks at all of its text's few spans."""
+    each = spans.select("row", "base", F.explode("tokens").alias("t")).select("row", "base", "t.*")
+    return each.select(*_TOKEN, F.exists("base", lambda b: (b["s"] < F.col("e")) & (F.col("s") < b["e"])).alias("covered"))
+
 
-    return F.when(F.col("text").rlike("[0-9@]"), F.aggregate(zipped, start, step, lambda a: a["out"])).otherwise(F.array().cast(kind))
+def among_many(spans: DataFrame) -> DataFrame:
+    """The same for texts with many spans: along the text, the furthest end of
+    the spans that start before a token's end tells whether one overlaps it."""
+    each = spans.select("row", F.explode("tokens").alias("t")).select("row", "t.*", F.col("t.e").alias("pos"), F.lit(None).cast("int").alias("reach"))
+    ends = spans.select("row", F.explode("base").alias("b")).select("row", F.col("b.s").alias("pos"), F.col("b.e").alias("reach"))
+    along = Window.partitionBy("row").orderBy("pos", F.col("reach").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    both = each.unionByName(ends, allowMissingColumns=True).withColumn("far", F.max("reach").over(along))
+    return both.where("reach IS NULL").select(*_TOKEN, F.coalesce(F.col("far") > F.col("s"), F.lit(False)).alias("covered"))
 
 
 def learn(instances: DataFrame) -> DataFrame:
@@ -159,7 +181,7 @@ def learn(instances: DataFrame) -> DataFrame:
 def _line(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in (*KINDS, "id")])
     one = lambda x: F.concat_ws(":", F.element_at(names, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))
-    return F.array_join(F.transform(F.array_sort(spans), one), ",")
+    return F.array_join(F.transform(F.sort_array(spans), one), ",")
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -168,10 +190,9 @@ def find(docs: DataFrame) -> DataFrame:
     seen = rows.select("doc_id", "row", *[c.alias(k) for k, c in zip(KINDS, base_spans(), strict=True)], tokens().alias("tokens"))
     seen = keep(seen, "pii-texts")
     base = F.concat(*KINDS)
-    each = seen.select("row", base.alias("base"), F.explode("tokens").alias("t"))
-    covered = F.exists("base", lambda b: (b["s"] < F.col("t.e")) & (F.col("t.s") < b["e"]))
-    secret = F.col("t.m").rlike(SECRET)
-    instances = keep(each.select("row", "t.s", "t.e", "t.m", "t.l", "t.r", covered.alias("covered"), (covered | secret).alias("seed")), "pii-instances")
+    spans = seen.select("row", "tokens", base.alias("base"))
+    each = beside_few(spans.where(F.size("base") <= FEW)).unionByName(among_many(spans.where(F.size("base") > FEW)))
+    instances = keep(each.withColumn("seed", F.col("covered") | F.col("m").rlike(SECRET)), "pii-instances")
     patterns = learn(instances.select("m", "l", "r", "seed"))
     fresh = instances.where("NOT covered").select("row", "s", "e", F.explode(F.array(F.concat(F.lit("l:"), "l"), F.concat(F.lit("r:"), "r"))).alias("pattern"))
     found = fresh.join(patterns, "pattern", "left_semi").select("row", "s", "e").distinct()
