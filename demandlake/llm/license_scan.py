@@ -1,14 +1,14 @@
 """License scan by a positional rare-token index, in DataFrame functions only.
 
-Licence templates form an index: word -> (template, position).  Word weights
-(IDF) come from document frequencies over the whole corpus.  Each template
-is indexed by its rarest places, so many that an alignment that misses them
-all misses too many words (see ``index_places``); which words these are
-decides only how much is looked up, never what is found.  A posting gives a
-relative position (place in the file minus place in the template), and each
-such alignment is verified on all words of the template.  One with MIN_TENTHS
-of them in place counts if the template's mandatory key phrase really stands
-there, word by word.
+Licence templates, an argument, form an index: word -> (template, position).
+Word weights (IDF) come from document frequencies over the whole corpus.
+Each template is indexed by its rarest places, so many that an alignment that
+misses them all misses too many words (see ``index_places``); which words
+these are decides only how much is looked up, never what is found.  Every
+word of every file is looked up.  A posting gives a relative position (place
+in the file minus place in the template); each such alignment is a candidate
+and is verified on all words of the template.  One with MIN_TENTHS of them in
+place counts if, last, the template's mandatory key phrase stands there.
 
 Independently of the index, three base phrases are found everywhere.
 
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlake.llm.tables import keep, lower_ascii, text_or_empty
+from demandlake.llm.tables import let, lower_ascii, running, text_or_empty
 
 #: Characters between words (after lower-casing): ASCII but digits and a-z.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -75,25 +75,22 @@ def _places(phrase: str) -> Column:
     # every piece but the last is followed by the phrase; the spaces around it belong to the pieces
     pieces = F.split(F.regexp_replace("spaced", f"(?<= ){phrase}(?= )", "\x00"), "\x00")
     word_count = lambda s: F.length(F.trim(s)) - F.length(F.replace(F.trim(s), F.lit(" "), F.lit(""))) + F.when(F.trim(s) == "", 0).otherwise(1)
-    lengths = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), word_count)
-    running = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, k: F.struct((acc["at"] + k + n).cast("int").alias("at"), F.concat(acc["starts"], F.array((acc["at"] + k).cast("int"))).alias("starts")),
-    )["starts"]
-    return F.when(F.contains("spaced", F.lit(f" {phrase} ")), running).otherwise(F.array().cast("array<int>"))
+    before = lambda p: F.transform(F.slice(p, 1, F.size(p) - 1), word_count)
+    starts = lambda k: F.zip_with(running(F.transform(k, lambda x: (x + n).cast("int"))), k, lambda at, x: (at + x).cast("int"))
+    found = let(let(pieces, before), starts)
+    return F.when(F.contains("spaced", F.lit(f" {phrase} ")), found).otherwise(F.array().cast("array<int>"))
 
 
 def _array(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def index_places(df: dict[str, int]) -> dict[str, list[tuple[int, int]]]:
+def index_places(df: dict[str, int], templates=TEMPLATES) -> dict[str, list[tuple[int, int]]]:
     """word -> (template, place) of the rarest places of each template.  An
     alignment holds at least ``need`` of a template's n words, so it misses at
     most n - need places and meets one of any n - need + 1."""
     post: dict[str, list[tuple[int, int]]] = {}
-    for t, (_, text, _) in enumerate(TEMPLATES):
+    for t, (_, text, _) in enumerate(templates):
         w = text.split()
         need = -(-len(w) * MIN_TENTHS // 10)
         for at in sorted(range(len(w)), key=lambda i: (df.get(w[i], 0), w[i], i))[: len(w) - need + 1]:
@@ -101,20 +98,17 @@ def index_places(df: dict[str, int]) -> dict[str, list[tuple[int, int]]]:
     return post
 
 
-def _confirmed(df: dict[str, int]) -> Column:
-    """Array of (label, share): the confirmed alignments of ``words``, a file
-    whose templates with a key phrase in it are ``keyed``."""
-    post = index_places(df)
+def _confirmed(df: dict[str, int], templates) -> Column:
+    """Array of (label, share): the confirmed alignments of ``words``."""
+    post = index_places(df, templates)
     lookup = F.create_map(*[c for w, at in sorted(post.items()) for c in (F.lit(w), F.array(*[F.lit(t * SHIFT_BASE - i + SHIFT_ZERO) for t, i in at]))])
     hits = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(sorted(post)))
-    found = F.flatten(F.transform(hits, lambda x: F.transform(F.element_at(lookup, x["w"]), lambda c: c + x["i"])))
-    template = lambda c: F.floor(c / SHIFT_BASE).cast("int")
-    found = F.array_distinct(F.filter(found, lambda c: F.array_contains("keyed", template(c))))
-    keys, labels = _array([f" {key} " for _, _, key in TEMPLATES]), _array([label for label, _, _ in TEMPLATES])
-    texts = F.array(*[_array(text.split()) for _, text, _ in TEMPLATES])
+    found = F.array_distinct(F.flatten(F.transform(hits, lambda x: F.transform(F.element_at(lookup, x["w"]), lambda c: c + x["i"]))))
+    keys, labels = _array([f" {key} " for _, _, key in templates]), _array([label for label, _, _ in templates])
+    texts = F.array(*[_array(text.split()) for _, text, _ in templates])
 
     def verify(c):
-        t = template(c) + 1
+        t = F.floor(c / SHIFT_BASE).cast("int") + 1
         shift = (F.pmod(c, F.lit(SHIFT_BASE)) - SHIFT_ZERO).cast("int")
         text = F.element_at(texts, t)
         cut = F.greatest(F.lit(0), -shift)  # template words before the file's start
@@ -126,23 +120,22 @@ def _confirmed(df: dict[str, int]) -> Column:
     return F.filter(F.transform(found, verify), lambda x: x.isNotNull())
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    vocabulary = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
-    rows = docs.select("doc_id", words_of(text_or_empty()).alias("words"))
-    rows = rows.select("doc_id", "words", F.size("words").cast("long").alias("n_words"), F.array_intersect(_array(vocabulary), "words").alias("known"))
-    # one pass over the texts: base places, the licence words, and the words of files that hold a mandatory phrase
-    rows = rows.withColumn("spaced", _spaced(F.col("words")))
-    rows = rows.withColumn("base", F.array(*[_places(p) for p in BASE]))
-    keyed = F.array(*[F.when(F.contains("spaced", F.lit(f" {key} ")), F.lit(t)) for t, (_, _, key) in enumerate(TEMPLATES)])
-    rows = rows.withColumn("keyed", F.array_compact(keyed))
-    seen = keep(rows.select("doc_id", "n_words", "known", "base", "keyed", F.when(F.size("keyed") > 0, F.col("words")).alias("words")), "license-files")
-
-    df = seen.select(F.explode("known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df")).collect()  # the templates' vocabulary at most
-    confirmed = F.when(F.col("words").isNotNull(), _confirmed({r["word"]: r["df"] for r in df}))
+def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
+    score.  ``templates`` are (label, notice, key phrase) in lower-case words;
+    texts are read once for the words' frequencies and once for the scan."""
+    vocabulary = sorted({w for _, text, _ in templates for w in text.split()})
+    words = docs.select("doc_id", words_of(text_or_empty()).alias("words"))
+    known = words.select(F.explode(F.array_intersect(_array(vocabulary), "words")).alias("word"))
+    df = known.groupBy("word").agg(F.count(F.lit(1)).alias("df")).collect()  # the templates' vocabulary at most
+    rows = words.withColumn("spaced", _spaced(F.col("words")))
+    base = F.array(*[_places(p) for p in BASE])
+    seen = rows.select(
+        "doc_id", F.size("words").cast("long").alias("n_words"), base.alias("base"), _confirmed({r["word"]: r["df"] for r in df}, templates).alias("confirmed")
+    )
     places = F.flatten("base")
     base_labels = F.array_sort(F.filter(F.transform(F.arrays_zip("base", _array(BASE.values()).alias("label")), lambda x: F.when(F.size(x["base"]) > 0, x["label"])), lambda x: x.isNotNull()))
-    out = seen.select("doc_id", "n_words", places.alias("places"), base_labels.alias("base_labels"), confirmed.alias("confirmed"))
+    out = seen.select("doc_id", "n_words", places.alias("places"), base_labels.alias("base_labels"), "confirmed")
     labels = F.array_sort(F.array_union("base_labels", F.coalesce(F.col("confirmed")["label"], F.array().cast("array<string>"))))
     base_score = F.when(F.size("base_labels") > 0, F.lit(BASE_SCORE)).otherwise(0.0)
     return out.select(
