@@ -102,8 +102,9 @@ def _confirmed(df: dict[str, int], templates) -> Column:
     """Array of (label, share): the confirmed alignments of ``words``."""
     post = index_places(df, templates)
     lookup = F.create_map(*[c for w, at in sorted(post.items()) for c in (F.lit(w), F.array(*[F.lit(t * SHIFT_BASE - i + SHIFT_ZERO) for t, i in at]))])
-    hits = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(sorted(post)))
-    found = F.array_distinct(F.flatten(F.transform(hits, lambda x: F.transform(F.element_at(lookup, x["w"]), lambda c: c + x["i"]))))
+    at = lambda i: F.get("words", i)
+    hits = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: at(i).isin(sorted(post)))
+    found = F.array_distinct(F.flatten(F.transform(hits, lambda i: F.transform(F.element_at(lookup, at(i)), lambda c: c + i))))
     keys, labels = _array([f" {key} " for _, _, key in templates]), _array([label for label, _, _ in templates])
     texts = F.array(*[_array(text.split()) for _, text, _ in templates])
 
@@ -117,7 +118,8 @@ def _confirmed(df: dict[str, int], templates) -> Column:
         good = (votes * 10 >= F.size(text) * MIN_TENTHS) & F.contains(_spaced(around), F.element_at(keys, t))
         return F.when(good, F.struct(F.element_at(labels, t).alias("label"), (votes / F.size(text)).alias("share")))
 
-    return F.filter(F.transform(found, verify), lambda x: x.isNotNull())
+    confirmed = F.filter(F.transform(found, verify), lambda x: x.isNotNull())
+    return F.when(F.arrays_overlap("words", _array(sorted(post))), confirmed)  # null: no indexed word at all
 
 
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
