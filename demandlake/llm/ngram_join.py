@@ -45,7 +45,7 @@ MAX_LEVEL = 16
 CELLS = 1 << 21
 CENTRES = 2
 ROUNDS = 2
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Tokens of the queries of one block, and of the sets of one shard that it meets.
 BLOCK_TOKENS = 1 << 17
 SHARD_TOKENS = 1 << 18
