@@ -2,11 +2,14 @@
 also starts in a document with a smaller doc_id.
 
 1. Anchors.  Every LENGTH-byte string selects the smallest GRAM-byte gram in
-   it, so equal strings select equal grams at equal places.  Spark deals the
-   grams to parts by hash; those that occur in one document only are done.
-2. Contexts.  Around each anchor left, all strings that may select it lie in
-   one context of ``GRAM + 2 * REACH`` bytes.  Contexts equal within a batch
-   of documents are sent once.
+   it, so equal strings select equal grams at equal places.  All strings that
+   may select an anchor lie in its context of ``GRAM + 2 * REACH`` bytes.
+   Spark deals (gram, context hash, document, place) to parts by gram.  A
+   context that a smaller document has too repeats as a whole; a gram whose
+   contexts all first occur in one document is done.
+2. Contexts.  What is left, grams with different contexts in different
+   documents, is compared byte by byte: each such context is sent once, by the
+   smallest document that has it.
 3. Shards.  A part's contexts form texts, all contexts of a gram in one; a
    text's suffix array is built by
    Larsson-Sadakane refinement (groups sorted by their first 8 bytes, then
@@ -17,7 +20,10 @@ also starts in a document with a smaller doc_id.
    sends its sorted distinct strings, and a merge looks up every shard's
    strings in the union by binary search.
 
-Exact copies of a smaller document are settled by digest before step 2.
+Contexts count as equal when a 64-bit hash of them and 32 or more bits of
+their gram's are.  A gram with many contexts in one batch of documents is not
+collected: its contexts go to step 2 at once, and only the fact is dealt.
+Exact copies of a smaller document are settled by digest.
 
 Defined results: null text counts as empty; a row without doc_id removes
 nothing and loses nothing; texts under LENGTH bytes lose nothing; rows
@@ -46,8 +52,14 @@ REACH = LENGTH - GRAM  # bytes that a string may reach before its anchor
 WIDTH = LENGTH + REACH
 CHUNK = 1 << 20
 #: Text bytes whose anchors one part takes, and contexts that one shard takes.
-PART_BYTES = 2 << 20
+PART_BYTES = 12 << 20
 SHARD_CONTEXTS = 60_000
+#: Anchors that a task gathers before it deals them, and contexts of one gram
+#: among them beyond which they are compared without asking its part.
+HOLD = 1 << 19
+GRAM_CONTEXTS = 8
+#: Contexts that a task cuts out at once.
+CONTEXT_BATCH = 50_000
 #: Contexts of one suffix array, but for one gram's.
 ARRAY_CONTEXTS = 4_000
 MERGE_BUCKETS = 64
@@ -73,11 +85,12 @@ def _slide(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hash, text) of the grams that some string of LENGTH bytes selects."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, hash, context hash, text) of the grams that some string of
+    LENGTH bytes selects."""
+    none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return none
+        return none, none.astype(np.uint64), none.astype(np.uint64), none
     pre = T.prefix_hash(data)
     place = np.arange(len(data) - GRAM + 1)
     gram = T.span_hash(pre, place, place + GRAM)
@@ -87,125 +100,167 @@ def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     pad = np.zeros(REACH, np.uint64)
     most = _slide(np.r_[pad, least, pad], REACH + 1, np.maximum)  # over the strings that hold a gram
     at = np.flatnonzero(most == gram)
-    return at, gram[at], np.searchsorted(off, at, "right") - 1
+    doc = np.searchsorted(off, at, "right") - 1
+    lo, hi = _reach(at, off[doc], off[doc + 1])
+    return at, gram[at], T.mix(T.span_hash(pre, lo, hi) + (at - lo).astype(np.uint64)), doc
 
 
-def _split(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(part, 32 bits within the part): together a filter, not a proof."""
-    return (h % T.U(parts)).astype(np.int32), (h >> T.U(32)).astype(np.uint32)
+def _reach(at: np.ndarray, first, end) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts [lo, hi) of anchors in a text [first, end)."""
+    return np.maximum(first, at - REACH), np.minimum(end, at + LENGTH)
 
 
-def _per_doc(doc: np.ndarray, *arrays: np.ndarray):
-    """(doc, slices) of arrays sorted by doc."""
-    if not len(doc):
-        return
-    o = np.argsort(doc, kind="stable")
-    doc = doc[o]
-    cut = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-    for a, b in zip(cut, np.r_[cut[1:], len(doc)], strict=True):
-        yield int(doc[a]), *[x[o[a:b]] for x in arrays]
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    new = np.zeros(max(len(keys[0]) - 1, 0), bool)
+    for k in keys:
+        new |= k[1:] != k[:-1]
+    return np.flatnonzero(np.r_[True, new]) if len(keys[0]) else np.zeros(0, np.int64)
 
 
-def _gather_anchors(parts: int):
-    """Per chunk: anchors by part (each once, flagged if several texts of the
-    chunk have it), and per document those that the chunk knows to be shared."""
+def _spread(values: np.ndarray, heads: np.ndarray, n: int) -> np.ndarray:
+    return np.repeat(values, np.diff(np.r_[heads, n]))
+
+
+def _by_key(key: np.ndarray, *arrays: np.ndarray):
+    """(key, slices) of arrays grouped by key."""
+    o = np.argsort(key, kind="stable")
+    key = key[o]
+    cut = _heads(key)
+    for a, b in zip(cut, np.r_[cut[1:], len(key)], strict=True):
+        yield int(key[a]), *[x[o[a:b]] for x in arrays]
+
+
+_BLOBS = "part int, a binary, b binary, c binary, d binary"
+
+
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*out, strict=True)) if out else [()] * 5
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["part", "a", "b", "c", "d"])
+
+
+def _told(doc: np.ndarray, pos: np.ndarray, compare: np.ndarray, parts: int):
+    """What is known of anchors, by bucket of documents: the context repeats
+    as a whole, or (``compare``) is to be compared."""
+    for k, d, p, c in _by_key((T.mix(doc.astype(np.uint64)) % T.U(parts)).astype(np.int32), doc, pos, compare):
+        o = np.argsort(d, kind="stable")
+        yield k, d[o].tobytes(), p[o].tobytes(), np.packbits(c[o]).tobytes()
+
+
+def _owners(gram: np.ndarray, ctx: np.ndarray, doc: np.ndarray):
+    """Order by (gram, context, document); there: the smallest document of a
+    context, where grams begin, and per gram whether two documents own some."""
+    o = np.lexsort((doc, ctx, gram))
+    g, c, d = gram[o], ctx[o], doc[o]
+    same = _heads(g, c)
+    owner = _spread(d[same], same, len(o))
+    grams = _heads(g)
+    several = np.zeros(0, bool)
+    if len(o):
+        several = np.minimum.reduceat(owner, grams) != np.maximum.reduceat(owner, grams)
+    return o, owner, same, grams, several
+
+
+def _gather(parts: int, hold: int):
+    """Texts -> anchors by part of their gram, one row a part and batch of
+    texts; of equal contexts in the batch only those of the smallest document."""
+
+    def deal(held):
+        h, ctx, own, pos = [np.concatenate(x) for x in zip(*held, strict=True)]
+        o, owner, same, grams, several = _owners(h, ctx, own)
+        h, ctx, own, pos = h[o], ctx[o], own[o], pos[o]
+        n = np.add.reduceat(np.isin(np.arange(len(h)), same, assume_unique=True).astype(np.int64), grams)
+        hot = _spread(several & (n > GRAM_CONTEXTS), grams, len(h))
+        first = own == owner
+        known = ~first | hot
+        out = [(k, None, d, p, c) for k, d, p, c in _told(own[known], pos[known], first[known], parts)]
+        fact = np.zeros(len(h), bool)
+        fact[grams] = hot[grams]
+        send = np.flatnonzero(~known | fact)
+        place = np.where(hot, -1, pos).astype(np.int32)
+        low = (h >> T.U(32)).astype(np.uint32)
+        for k, g, c, d, p in _by_key((h[send] % T.U(parts)).astype(np.int32), low[send], ctx[send], own[send], place[send]):
+            out.append((k, g.tobytes(), d.tobytes(), p.tobytes(), c.tobytes()))
+        return _rows(out)
 
     def run(batches):
+        held, n = [], 0
         for rows, data, off in T.chunks(batches, limit=CHUNK):
-            ids = rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            _, h, doc = anchors(data, off)
-            once = ~T.later(T.per_text(h, doc))
-            h, doc = h[once], doc[once]
-            if not len(h):
+            at, h, ctx, doc = anchors(data, off)
+            if not len(at):
                 continue
-            shared = T.repeated(h)
-            first = ~T.later(h)
-            part, low = _split(h, parts)
-            out = []
-            send = np.flatnonzero(first)
-            for p, lows, docs, flags in _per_doc(part[send], low[send], ids[doc[send]], shared[send]):
-                o = np.argsort(docs, kind="stable")
-                out.append((p, None, lows[o].tobytes(), docs[o].tobytes(), np.packbits(flags[o]).tobytes()))
-            for d, ps, lows in _per_doc(ids[doc[shared]], part[shared], low[shared]):
-                out.append((int(ps[0]), d, lows.tobytes(), None, ps.tobytes()))
-            yield _rows(out)
+            ids = rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            held.append((h, ctx, ids[doc], (at - off[doc]).astype(np.int32)))
+            n += len(at)
+            if n >= hold:
+                yield deal(held)
+                held, n = [], 0
+        if held:
+            yield deal(held)
 
     return run
 
 
-_BLOBS = "part int, doc_id long, a binary, b binary, c binary"
+_TOLD = "part int, a binary, b binary, c binary"
 
 
-def _rows(out: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*out, strict=True)) if out else [()] * 5
-    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["part", "doc_id", "a", "b", "c"])
-
-
-def _shared_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One part: the anchors that two texts have, per document."""
-    part = int(pdf["part"].iloc[0])
-    local = pdf["b"].isna()
-    known_rows, pdf = pdf[local], pdf[~local]
-    low = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["a"]])
-    doc = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["b"]])
-    flag = np.concatenate([np.unpackbits(np.frombuffer(c, np.uint8))[: len(a) // 4] for a, c in zip(pdf["a"], pdf["c"], strict=True)]).astype(bool)
-    o = np.argsort(low, kind="stable")
-    s = low[o]
-    cut = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-    size = np.diff(np.r_[cut, len(s)])
-    known = np.logical_or.reduceat(flag[o], cut)
-    both = np.zeros(len(low), bool)
-    both[o] = np.repeat((size > 1) | known, size)
-    take = both & ~flag  # flagged ones are kept where they come from
-    out = [(d, lows.tobytes(), np.full(len(lows), part, np.int32).tobytes()) for d, lows in _per_doc(doc[take], low[take])]
-    out += list(zip(known_rows["doc_id"], known_rows["a"], known_rows["c"], strict=True))
-    return pd.DataFrame(out, columns=["doc_id", "a", "c"]).astype({"doc_id": "int64"})
+def _judge(parts: int):
+    """One part: the contexts that a smaller document has too, and those of
+    grams that several documents own."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        told = pdf["a"].isna()
+        out = list(zip(pdf["part"][told], pdf["b"][told], pdf["c"][told], pdf["d"][told], strict=True))
+        pdf = pdf[~told]
+        if len(pdf):
+            low, doc, pos, ctx = [np.frombuffer(b"".join(pdf[c]), k) for c, k in zip("abcd", (np.uint32, np.int64, np.int32, np.uint64), strict=True)]
+            marked = np.unique(low[pos < 0])  # known to a batch to be compared
+            real = pos >= 0
+            low, doc, pos, ctx = low[real], doc[real], pos[real], ctx[real]
+            o, owner, _, grams, several = _owners(low, ctx, doc)
+            low, doc, pos = low[o], doc[o], pos[o]
+            again = doc > owner
+            compare = ~again & (_spread(several, grams, len(low)) | np.isin(low, marked))
+            take = again | compare
+            out += _told(doc[take], pos[take], compare[take], parts)
+        return pd.DataFrame(out, columns=["part", "a", "b", "c"]).astype({"part": "int32"})
+
+    return run
+
+
+_FOUND = "doc_id long, again binary, compare binary"
+
+
+def _by_document(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One bucket of documents: places of both kinds, a row per document."""
+    doc, pos = [np.frombuffer(b"".join(pdf[c]), k) for c, k in (("a", np.int64), ("b", np.int32))]
+    compare = np.concatenate([np.unpackbits(np.frombuffer(c, np.uint8))[: len(a) // 8] for a, c in zip(pdf["a"], pdf["c"], strict=True)]).astype(bool)
+    out = [(d, p[~c].tobytes(), p[c].tobytes()) for d, p, c in _by_key(doc, pos, compare)]
+    return pd.DataFrame(out, columns=["doc_id", "again", "compare"])
 
 
 def _contexts(parts: int):
-    """Texts with their shared anchors -> contexts by part; (part -1) those
-    that a smaller document of the chunk has too: all their strings repeat."""
+    """Texts and their anchors to compare -> contexts by part of their gram."""
 
     def run(batches):
         for rows, data, off in T.chunks(batches, limit=CHUNK):
             ids = rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            at, h, doc = anchors(data, off)
-            part, low = _split(h, parts)
-            wanted = []
-            for i, blobs in enumerate(rows.column("found").to_pylist()):
-                lows = np.frombuffer(b"".join(x["a"] for x in blobs), np.uint32).astype(np.uint64)
-                ps = np.frombuffer(b"".join(x["c"] for x in blobs), np.int32).astype(np.uint64)
-                wanted.append(T.per_text(lows << T.U(32) | ps, np.full(len(lows), i)))
-            mine = T.per_text(low.astype(np.uint64) << T.U(32) | part.astype(np.uint64), doc)
-            hit = np.flatnonzero(np.isin(mine, np.concatenate(wanted))) if wanted else np.zeros(0, int)
-            if not len(hit):
-                continue
-            at, part, doc = at[hit], part[hit], doc[hit]
-            lo, hi = np.maximum(off[doc], at - REACH), np.minimum(off[doc + 1], at + LENGTH)
-            left, right = (at - lo).astype(np.uint8), (hi - at).astype(np.uint8)
+            blobs = rows.column("compare").to_pylist()
+            pos = np.frombuffer(b"".join(blobs), np.int32).astype(np.int64)
+            doc = np.repeat(np.arange(len(blobs)), [len(x) // 4 for x in blobs])
             padded = np.r_[np.zeros(REACH, np.uint8), data, np.zeros(LENGTH, np.uint8)]
-            ctx = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[at]
             column = np.arange(WIDTH, dtype=np.uint8)
-            ctx[(column < (REACH - left)[:, None]) | (column >= (REACH + right)[:, None])] = 0  # other texts
-            whole = np.ascontiguousarray(np.column_stack([ctx, left, right]))
-            key = _row_hash(whole)
-            own = ids[doc]
-            o = np.lexsort((own, key))
-            head = np.r_[True, key[o][1:] != key[o][:-1]]
-            least = own[o][head][np.cumsum(head) - 1]  # the smallest document with this context
-            same = np.zeros(len(o), bool)
-            prev = o[np.flatnonzero(head)][np.cumsum(head) - 1]
-            same[o] = (own[o] > least) & (whole[o] == whole[prev]).all(1)
-            pos = (at - off[doc]).astype(np.int64)
-            mask = _valid(left, right)
-            out = []
-            for d, p, m in _per_doc(own[same], pos[same], mask[same]):
-                out.append((-1, d, p.tobytes(), m.tobytes(), None))
-            send = np.flatnonzero(~same)
-            for p, w, d, q in _per_doc(part[send], whole[send], own[send], pos[send]):
-                out.append((p, None, w.tobytes(), d.tobytes(), q.tobytes()))
-            yield _rows(out)
+            for k in range(0, len(pos), CONTEXT_BATCH):
+                own, p = doc[k : k + CONTEXT_BATCH], pos[k : k + CONTEXT_BATCH]
+                at = off[own] + p
+                lo, hi = _reach(at, off[own], off[own + 1])
+                left, right = (at - lo).astype(np.uint8), (hi - at).astype(np.uint8)
+                ctx = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[at]
+                ctx[(column < (REACH - left)[:, None]) | (column >= (REACH + right)[:, None])] = 0  # other texts
+                whole = np.ascontiguousarray(np.column_stack([ctx, left, right]))
+                part = (_row_hash(whole[:, REACH : REACH + GRAM]) >> T.U(32)) % T.U(parts)
+                yield _rows([(q, w.tobytes(), ids[d].tobytes(), x.astype(np.int32).tobytes(), None) for q, w, d, x in _by_key(part.astype(np.int32), whole, own, p)])
 
     return run
 
@@ -286,11 +341,11 @@ def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     one gram meet in one array; the arrays are kept small, for memory."""
     whole = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["a"]]).reshape(-1, WIDTH + 2)
     own = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["b"]])
-    pos = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["c"]])
+    pos = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["c"]]).astype(np.int64)
     base = int(pdf["part"].iloc[0]) * MERGE_BUCKETS if int(pdf["shards"].iloc[0]) > 1 else None
     h = _row_hash(whole[:, REACH : REACH + GRAM])
     out = []
-    for _, idx in _per_doc((h % T.U(max(1, len(whole) // ARRAY_CONTEXTS))).astype(np.int64), np.arange(len(whole))):
+    for _, idx in _by_key((h % T.U(max(1, len(whole) // ARRAY_CONTEXTS))).astype(np.int64), np.arange(len(whole))):
         out += _array(whole[idx], own[idx], pos[idx], base)
     return pd.DataFrame(out, columns=["kind", "doc_id", "a", "b", "c", "d"])
 
@@ -304,7 +359,7 @@ def _array(whole: np.ndarray, own: np.ndarray, pos: np.ndarray, base: int | None
     ok = (col <= REACH) & ((mask[row] >> np.minimum(col, 31).astype(np.uint32)) & 1).astype(bool)
     run = np.cumsum(lcp < LENGTH)[ok]
     row, col, place = row[ok], col[ok], sa[ok]
-    cut = np.flatnonzero(np.r_[True, run[1:] != run[:-1]][: len(run)])
+    cut = _heads(run)
     if not len(cut):
         return []
     least = np.repeat(np.minimum.reduceat(own[row], cut), np.diff(np.r_[cut, len(run)]))
@@ -312,12 +367,12 @@ def _array(whole: np.ndarray, own: np.ndarray, pos: np.ndarray, base: int | None
     dup = own[row] > least
     np.bitwise_or.at(bits, row[dup], np.uint32(1) << col[dup].astype(np.uint32))
     some = np.flatnonzero(bits)
-    out = [(0, d, p.tobytes(), m.tobytes(), None, None) for d, p, m in _per_doc(own[some], pos[some], bits[some])]
+    out = [(0, d, p.tobytes(), m.tobytes(), None, None) for d, p, m in _by_key(own[some], pos[some], bits[some])]
     if base is not None:  # in suffix order, so every bucket's strings are sorted
         mine = np.flatnonzero(~dup)
         flat = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[place[mine]]
         h = _row_hash(flat)
-        for k, s, d, p, c in _per_doc((h % T.U(MERGE_BUCKETS)).astype(np.int64), flat, own[row[mine]], pos[row[mine]], col[mine]):
+        for k, s, d, p, c in _by_key((h % T.U(MERGE_BUCKETS)).astype(np.int64), flat, own[row[mine]], pos[row[mine]], col[mine]):
             out.append((1, base + k, s.tobytes(), d.tobytes(), p.tobytes(), c.astype(np.int64).tobytes()))
     return out
 
@@ -339,23 +394,26 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     out = []
     for s, d, p, c in runs:
         hit = np.flatnonzero(least[np.searchsorted(union, s)] < d)
-        out += [(doc, q.tobytes(), m.tobytes()) for doc, q, m in _per_doc(d[hit], p[hit], (np.uint32(1) << c[hit].astype(np.uint32)).astype(np.uint32))]
+        out += [(doc, q.tobytes(), m.tobytes()) for doc, q, m in _by_key(d[hit], p[hit], (np.uint32(1) << c[hit].astype(np.uint32)).astype(np.uint32))]
     return pd.DataFrame(out, columns=["doc_id", "a", "b"])
 
 
 def _cut(batches):
-    """Text and its repeated strings -> removed bytes, spans, digest of the rest."""
+    """Text, contexts that repeat and repeated strings -> removed bytes, spans,
+    digest of the rest."""
+    column = np.arange(REACH + 1)
     for rows, data, off in T.chunks(batches, limit=CHUNK):
         removed, spans, digests = [], [], []
-        for i, blobs in enumerate(rows.column("found").to_pylist()):
+        for i, (again, blobs) in enumerate(zip(rows.column("again").to_pylist(), rows.column("strings").to_pylist(), strict=True)):
             text = data[off[i] : off[i + 1]]
-            pos = np.frombuffer(b"".join(x["a"] for x in blobs), np.int64)
-            mask = np.frombuffer(b"".join(x["b"] for x in blobs), np.uint32)
-            step = np.zeros(len(text) + 1, np.int64)
-            for c in range(REACH + 1):
-                start = pos[(mask >> np.uint32(c)) & 1 == 1] - REACH + c
-                np.add.at(step, start, 1)
-                np.add.at(step, start + LENGTH, -1)
+            lo, hi = _reach(np.frombuffer(again or b"", np.int32).astype(np.int64), 0, len(text))
+            if blobs:
+                pos = np.frombuffer(b"".join(x["a"] for x in blobs), np.int64)
+                mask = np.frombuffer(b"".join(x["b"] for x in blobs), np.uint32)
+                which, c = np.nonzero((mask[:, None] >> column.astype(np.uint32)) & 1)
+                start = pos[which] - REACH + c
+                lo, hi = np.r_[lo, start], np.r_[hi, start + LENGTH]
+            step = np.bincount(lo, minlength=len(text) + 1) - np.bincount(hi, minlength=len(text) + 1)
             gone = np.cumsum(step[:-1]) > 0
             removed.append(int(gone.sum()))
             spans.append(int((gone & ~np.r_[False, gone[:-1]]).sum()))
@@ -366,32 +424,37 @@ def _cut(batches):
         )
 
 
-def dedup(docs: DataFrame, part_bytes: int = PART_BYTES, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
+def dedup(docs: DataFrame, part_bytes: int = PART_BYTES, shard_contexts: int = SHARD_CONTEXTS, hold: int = HOLD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per document."""
     text = text_or_empty()
-    base = keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("digest")), "sa-base")
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("digest")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    base = keep(texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), digest), "sa-base")
     size = base.agg(F.sum("n_bytes")).first()[0] or 0
     parts = max(1, math.ceil(size / part_bytes))
     named = base.where("doc_id IS NOT NULL AND n_bytes >= " + str(LENGTH))
     judged = named.groupBy("doc_id").agg(F.min("digest").alias("digest"))  # one text per id
+    others = keep(named.join(judged, ["doc_id", "digest"], "left_anti").select("doc_id", "digest").distinct(), "sa-others")
     first = judged.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     copies = keep(judged.join(first, "digest").where("doc_id > least").select("doc_id", "digest"), "sa-copies")
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where("doc_id IS NOT NULL")
-    sent = texts.mapInArrow(_gather_anchors(parts), _BLOBS)
-    found = sent.groupBy("part").applyInPandas(_shared_anchors, "doc_id long, a binary, c binary")
-    alive = judged.join(copies.select("doc_id"), "doc_id", "left_anti")
-    found = found.groupBy("doc_id").agg(F.collect_list(F.struct("a", "c")).alias("found")).join(alive, "doc_id")
-    texts = texts.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    ctx = keep(texts.join(found, ["doc_id", "digest"]).mapInArrow(_contexts(parts), _BLOBS), "sa-contexts")
-    weight = ctx.where("part >= 0").groupBy("part").agg(F.ceil(F.sum(F.length("b")) / (8 * shard_contexts)).alias("shards"))
-    dealt = ctx.where("part >= 0").join(weight, "part").withColumn("shard", F.pmod(F.xxhash64("b"), F.col("shards")))
+    texts = texts.where("doc_id IS NOT NULL AND octet_length(text) >= " + str(LENGTH)).withColumn("digest", digest)
+    texts = texts.join(others, ["doc_id", "digest"], "left_anti")
+    told = texts.select("doc_id", "text").mapInArrow(_gather(parts, hold), _BLOBS).groupBy("part").applyInPandas(_judge(parts), _TOLD)
+    found = told.groupBy("part").applyInPandas(_by_document, _FOUND)
+    found = keep(found.join(copies.select("doc_id"), "doc_id", "left_anti"), "sa-found")
+    open_ = found.where("length(compare) > 0").select("doc_id", "compare")
+    n_open = open_.agg(F.sum(F.length("compare"))).first()[0] or 0
+    shards = max(1, math.ceil(n_open / 4 / shard_contexts))
+    ctx = keep(texts.select("doc_id", "text").join(open_, "doc_id").mapInArrow(_contexts(shards), _BLOBS), "sa-contexts")
+    weight = ctx.groupBy("part").agg(F.ceil(F.sum(F.length("b")) / (8 * shard_contexts)).alias("shards"))
+    dealt = ctx.join(weight, "part").withColumn("shard", F.pmod(F.xxhash64("b"), F.col("shards")))
     shards = keep(dealt.groupBy("part", "shard").applyInPandas(_shard, _SHARD), "sa-shards")
     merged = shards.where("kind = 1").groupBy("doc_id").applyInPandas(_merge, _MASKS)
-    masks = ctx.where("part < 0").select("doc_id", "a", "b")
-    masks = masks.unionByName(shards.where("kind = 0").select("doc_id", "a", "b")).unionByName(merged)
-    masks = masks.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("found"))
-    cut = texts.join(masks.join(judged, "doc_id"), ["doc_id", "digest"]).mapInArrow(_cut, "doc_id long, digest string, gone long, spans long, rest string")
+    masks = shards.where("kind = 0").select("doc_id", "a", "b").unionByName(merged)
+    masks = masks.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("strings"))
+    gone = found.select("doc_id", "again").join(masks, "doc_id", "full").where("length(again) > 0 OR strings IS NOT NULL")
+    cut = texts.join(keep(gone, "sa-gone"), "doc_id").mapInArrow(_cut, "doc_id long, digest string, gone long, spans long, rest string")
     cut = cut.dropDuplicates(["doc_id", "digest"])
     whole = copies.join(named.select("doc_id", "digest", "n_bytes").distinct(), ["doc_id", "digest"])
     whole = whole.select("doc_id", "digest", F.col("n_bytes").alias("gone"), F.lit(1).cast("long").alias("spans"), F.lit(hashlib.sha256().hexdigest()).alias("rest"))
