@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandlake.llm import textops as T
-from demandlake.llm.tables import keep, text_or_empty
+from demandlake.llm.tables import forget, keep, text_or_empty
 
 LENGTH = 50
 GRAM = 24
@@ -52,8 +52,8 @@ REACH = LENGTH - GRAM  # bytes that a string may reach before its anchor
 WIDTH = LENGTH + REACH
 CHUNK = 1 << 20
 #: Text bytes whose anchors one part takes, and contexts that one shard takes.
-PART_BYTES = 12 << 20
-SHARD_CONTEXTS = 60_000
+PART_BYTES = 6 << 20
+SHARD_CONTEXTS = 30_000
 #: Anchors that a task gathers before it deals them, and contexts of one gram
 #: among them beyond which they are compared without asking its part.
 HOLD = 1 << 19
@@ -131,6 +131,17 @@ def _by_key(key: np.ndarray, *arrays: np.ndarray):
         yield int(key[a]), *[x[o[a:b]] for x in arrays]
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """All first bytes, then all second ones, ...: sorted numbers compress."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _unpack(blobs, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    rows = [np.frombuffer(x, np.uint8).reshape(width, -1).T for x in blobs]
+    return np.ascontiguousarray(np.concatenate(rows)).view(kind).ravel() if rows else np.zeros(0, kind)
+
+
 _BLOBS = "part int, a binary, b binary, c binary, d binary"
 
 
@@ -144,8 +155,8 @@ def _told(doc: np.ndarray, pos: np.ndarray, compare: np.ndarray, parts: int):
     """What is known of anchors, by bucket of documents: the context repeats
     as a whole, or (``compare``) is to be compared."""
     for k, d, p, c in _by_key((T.mix(doc.astype(np.uint64)) % T.U(parts)).astype(np.int32), doc, pos, compare):
-        o = np.argsort(d, kind="stable")
-        yield k, d[o].tobytes(), p[o].tobytes(), np.packbits(c[o]).tobytes()
+        o = np.lexsort((p, d))
+        yield k, _pack(d[o]), _pack(p[o]), np.packbits(c[o]).tobytes()
 
 
 def _owners(gram: np.ndarray, ctx: np.ndarray, doc: np.ndarray):
@@ -170,7 +181,9 @@ def _gather(parts: int, hold: int):
         h, ctx, own, pos = [np.concatenate(x) for x in zip(*held, strict=True)]
         o, owner, same, grams, several = _owners(h, ctx, own)
         h, ctx, own, pos = h[o], ctx[o], own[o], pos[o]
-        n = np.add.reduceat(np.isin(np.arange(len(h)), same, assume_unique=True).astype(np.int64), grams)
+        head = np.zeros(len(h), np.int64)
+        head[same] = 1
+        n = np.add.reduceat(head, grams)
         hot = _spread(several & (n > GRAM_CONTEXTS), grams, len(h))
         first = own == owner
         known = ~first | hot
@@ -178,10 +191,11 @@ def _gather(parts: int, hold: int):
         fact = np.zeros(len(h), bool)
         fact[grams] = hot[grams]
         send = np.flatnonzero(~known | fact)
+        send = send[np.lexsort((pos[send], own[send]))]
         place = np.where(hot, -1, pos).astype(np.int32)
         low = (h >> T.U(32)).astype(np.uint32)
         for k, g, c, d, p in _by_key((h[send] % T.U(parts)).astype(np.int32), low[send], ctx[send], own[send], place[send]):
-            out.append((k, g.tobytes(), d.tobytes(), p.tobytes(), c.tobytes()))
+            out.append((k, _pack(g), _pack(d), _pack(p), _pack(c)))
         return _rows(out)
 
     def run(batches):
@@ -214,7 +228,7 @@ def _judge(parts: int):
         out = list(zip(pdf["part"][told], pdf["b"][told], pdf["c"][told], pdf["d"][told], strict=True))
         pdf = pdf[~told]
         if len(pdf):
-            low, doc, pos, ctx = [np.frombuffer(b"".join(pdf[c]), k) for c, k in zip("abcd", (np.uint32, np.int64, np.int32, np.uint64), strict=True)]
+            low, doc, pos, ctx = [_unpack(pdf[c], k) for c, k in zip("abcd", (np.uint32, np.int64, np.int32, np.uint64), strict=True)]
             marked = np.unique(low[pos < 0])  # known to a batch to be compared
             real = pos >= 0
             low, doc, pos, ctx = low[real], doc[real], pos[real], ctx[real]
@@ -234,7 +248,7 @@ _FOUND = "doc_id long, again binary, compare binary"
 
 def _by_document(pdf: pd.DataFrame) -> pd.DataFrame:
     """One bucket of documents: places of both kinds, a row per document."""
-    doc, pos = [np.frombuffer(b"".join(pdf[c]), k) for c, k in (("a", np.int64), ("b", np.int32))]
+    doc, pos = _unpack(pdf["a"], np.int64), _unpack(pdf["b"], np.int32)
     compare = np.concatenate([np.unpackbits(np.frombuffer(c, np.uint8))[: len(a) // 8] for a, c in zip(pdf["a"], pdf["c"], strict=True)]).astype(bool)
     out = [(d, p[~c].tobytes(), p[c].tobytes()) for d, p, c in _by_key(doc, pos, compare)]
     return pd.DataFrame(out, columns=["doc_id", "again", "compare"])
@@ -281,7 +295,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key |= padded[j : j + n].astype(np.uint64) << T.U(56 - 8 * j)
-    sa = np.argsort(key, kind="stable").astype(np.int32)
+    sa = np.argsort(key).astype(np.int32)
     s = key[sa]
     rank = np.zeros(n, np.int32)
 
@@ -297,11 +311,12 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     h = 8
     while len(open_):
         order = sa[open_]
-        a, b = rank[order], np.where(order + h < n, rank[np.minimum(order + h, n - 1)], n - h - order)  # past the end: the shorter first
-        o = np.lexsort((b, a))
-        order, a, b = order[o], a[o], b[o]
+        b = np.where(order + h < n, rank[np.minimum(order + h, n - 1)], n - h - order)  # past the end: the shorter first
+        pair = (rank[order].astype(np.int64) << 32) + (b.astype(np.int64) + h)
+        o = np.argsort(pair)
+        order, pair = order[o], pair[o]
         sa[open_] = order
-        edge = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+        edge = np.r_[True, pair[1:] != pair[:-1]]
         open_ = open_[groups(edge, order, open_)]
         h *= 2
     return sa
@@ -450,11 +465,14 @@ def dedup(docs: DataFrame, part_bytes: int = PART_BYTES, shard_contexts: int = S
     weight = ctx.groupBy("part").agg(F.ceil(F.sum(F.length("b")) / (8 * shard_contexts)).alias("shards"))
     dealt = ctx.join(weight, "part").withColumn("shard", F.pmod(F.xxhash64("b"), F.col("shards")))
     shards = keep(dealt.groupBy("part", "shard").applyInPandas(_shard, _SHARD), "sa-shards")
+    forget(ctx)
     merged = shards.where("kind = 1").groupBy("doc_id").applyInPandas(_merge, _MASKS)
     masks = shards.where("kind = 0").select("doc_id", "a", "b").unionByName(merged)
     masks = masks.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("strings"))
     gone = found.select("doc_id", "again").join(masks, "doc_id", "full").where("length(again) > 0 OR strings IS NOT NULL")
-    cut = texts.join(keep(gone, "sa-gone"), "doc_id").mapInArrow(_cut, "doc_id long, digest string, gone long, spans long, rest string")
+    gone = keep(gone, "sa-gone")
+    forget(found, shards)
+    cut = texts.join(gone, "doc_id").mapInArrow(_cut, "doc_id long, digest string, gone long, spans long, rest string")
     cut = cut.dropDuplicates(["doc_id", "digest"])
     whole = copies.join(named.select("doc_id", "digest", "n_bytes").distinct(), ["doc_id", "digest"])
     whole = whole.select("doc_id", "digest", F.col("n_bytes").alias("gone"), F.lit(1).cast("long").alias("spans"), F.lit(hashlib.sha256().hexdigest()).alias("rest"))
