@@ -50,16 +50,16 @@ LENGTH = 50
 GRAM = 24
 REACH = LENGTH - GRAM  # bytes that a string may reach before its anchor
 WIDTH = LENGTH + REACH
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Text bytes whose anchors one part takes, and contexts that one shard takes.
 PART_BYTES = 6 << 20
 SHARD_CONTEXTS = 30_000
 #: Anchors that a task gathers before it deals them, and contexts of one gram
 #: among them beyond which they are compared without asking its part.
-HOLD = 1 << 19
+HOLD = 1 << 18
 GRAM_CONTEXTS = 8
 #: Contexts that a task cuts out at once.
-CONTEXT_BATCH = 50_000
+CONTEXT_BATCH = 10_000
 #: Contexts of one suffix array, but for one gram's.
 ARRAY_CONTEXTS = 4_000
 MERGE_BUCKETS = 64
