@@ -127,7 +127,7 @@ def _by_key(key: np.ndarray, *arrays: np.ndarray):
     o = np.argsort(key, kind="stable")
     key = key[o]
     cut = _heads(key)
-    for a, b in zip(cut, np.r_[cut[1:], len(key)], strict=True):
+    for a, b in zip(cut, np.r_[cut[1:], len(key)][: len(cut)], strict=True):
         yield int(key[a]), *[x[o[a:b]] for x in arrays]
 
 
