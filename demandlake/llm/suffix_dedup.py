@@ -173,7 +173,7 @@ def _owners(gram: np.ndarray, ctx: np.ndarray, doc: np.ndarray):
     return o, owner, same, grams, several
 
 
-def _gather(parts: int, hold: int):
+def _gather(parts: int, hold: int, gram_contexts: int):
     """Texts -> anchors by part of their gram, one row a part and batch of
     texts; of equal contexts in the batch only those of the smallest document."""
 
@@ -184,7 +184,7 @@ def _gather(parts: int, hold: int):
         head = np.zeros(len(h), np.int64)
         head[same] = 1
         n = np.add.reduceat(head, grams)
-        hot = _spread(several & (n > GRAM_CONTEXTS), grams, len(h))
+        hot = _spread(several & (n > gram_contexts), grams, len(h))
         first = own == owner
         known = ~first | hot
         out = [(k, None, d, p, c) for k, d, p, c in _told(own[known], pos[known], first[known], parts)]
@@ -439,7 +439,14 @@ def _cut(batches):
         )
 
 
-def dedup(docs: DataFrame, part_bytes: int = PART_BYTES, shard_contexts: int = SHARD_CONTEXTS, hold: int = HOLD) -> DataFrame:
+def _only(texts: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """The texts of the documents in ``found``.  The ids are written alone, so
+    Spark knows their size before it chooses between sending them to the texts
+    and moving the texts (then once: the join that follows has the same key)."""
+    return texts.join(keep(found.select("doc_id"), name), "doc_id", "left_semi")
+
+
+def dedup(docs: DataFrame, part_bytes: int = PART_BYTES, shard_contexts: int = SHARD_CONTEXTS, hold: int = HOLD, gram_contexts: int = GRAM_CONTEXTS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per document."""
     text = text_or_empty()
     digest = F.sha2(F.col("text").cast("binary"), 256).alias("digest")
@@ -455,24 +462,24 @@ def dedup(docs: DataFrame, part_bytes: int = PART_BYTES, shard_contexts: int = S
 
     texts = texts.where("doc_id IS NOT NULL AND octet_length(text) >= " + str(LENGTH)).withColumn("digest", digest)
     texts = texts.join(others, ["doc_id", "digest"], "left_anti")
-    told = texts.select("doc_id", "text").mapInArrow(_gather(parts, hold), _BLOBS).groupBy("part").applyInPandas(_judge(parts), _TOLD)
+    told = texts.select("doc_id", "text").mapInArrow(_gather(parts, hold, gram_contexts), _BLOBS).groupBy("part").applyInPandas(_judge(parts), _TOLD)
     found = told.groupBy("part").applyInPandas(_by_document, _FOUND)
     found = keep(found.join(copies.select("doc_id"), "doc_id", "left_anti"), "sa-found")
-    open_ = found.where("length(compare) > 0").select("doc_id", "compare")
+    open_ = keep(found.where("length(compare) > 0").select("doc_id", "compare"), "sa-open")
     n_open = open_.agg(F.sum(F.length("compare"))).first()[0] or 0
     shards = max(1, math.ceil(n_open / 4 / shard_contexts))
-    ctx = keep(texts.select("doc_id", "text").join(open_, "doc_id").mapInArrow(_contexts(shards), _BLOBS), "sa-contexts")
+    ctx = keep(_only(texts, open_, "sa-open-ids").select("doc_id", "text").join(open_, "doc_id").mapInArrow(_contexts(shards), _BLOBS), "sa-contexts")
     weight = ctx.groupBy("part").agg(F.ceil(F.sum(F.length("b")) / (8 * shard_contexts)).alias("shards"))
     dealt = ctx.join(weight, "part").withColumn("shard", F.pmod(F.xxhash64("b"), F.col("shards")))
     shards = keep(dealt.groupBy("part", "shard").applyInPandas(_shard, _SHARD), "sa-shards")
-    forget(ctx)
+    forget(ctx, open_)
     merged = shards.where("kind = 1").groupBy("doc_id").applyInPandas(_merge, _MASKS)
     masks = shards.where("kind = 0").select("doc_id", "a", "b").unionByName(merged)
     masks = masks.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("strings"))
     gone = found.select("doc_id", "again").join(masks, "doc_id", "full").where("length(again) > 0 OR strings IS NOT NULL")
     gone = keep(gone, "sa-gone")
     forget(found, shards)
-    cut = texts.join(gone, "doc_id").mapInArrow(_cut, "doc_id long, digest string, gone long, spans long, rest string")
+    cut = _only(texts, gone, "sa-gone-ids").join(gone, "doc_id").mapInArrow(_cut, "doc_id long, digest string, gone long, spans long, rest string")
     cut = cut.dropDuplicates(["doc_id", "digest"])
     whole = copies.join(named.select("doc_id", "digest", "n_bytes").distinct(), ["doc_id", "digest"])
     whole = whole.select("doc_id", "digest", F.col("n_bytes").alias("gone"), F.lit(1).cast("long").alias("spans"), F.lit(hashlib.sha256().hexdigest()).alias("rest"))

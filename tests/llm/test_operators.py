@@ -335,6 +335,12 @@ def test_op4_removal_equals_brute_force(docs, rows, empty, contexts):
     assert suffix_dedup.dedup(empty).count() == 0
 
 
+def test_op4_grams_with_many_contexts_in_a_batch(docs, rows):
+    """Small batches and no tolerance: contexts go to the comparison unasked."""
+    got = by_id(suffix_dedup.dedup(docs, part_bytes=20_000, hold=500, gram_contexts=1))
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == removed_by_hand(rows)
+
+
 def test_op4_suffix_array_and_prefixes():
     rng = np.random.default_rng(0)
     for n in (76, 152, 760):
