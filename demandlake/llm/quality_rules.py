@@ -2,17 +2,21 @@
 
 Every document gets counts (words, symbols, repeated lines and 3-word
 windows, case, punctuation, ...).  Trees split random features at random
-values over small samples of labelled good rows; a short mean path marks an
-anomaly.  A split's value is drawn from the node's range and MARGIN ranges
-(of LEAST_RANGE at least) beyond each end, so rows that lie outside of all
-good ones are isolated too, and early; a node's depth is bounded by DEPTH
-times the sample's logarithm.
+values over labelled good rows; a short mean path marks an anomaly.  A split's
+value is drawn from the node's range and MARGIN ranges (of LEAST_RANGE at
+least) beyond each end, so rows that lie outside of all good ones are isolated
+too, and early; a node's depth is bounded by DEPTH times a logarithm.
 The threshold comes from labelled rows of both classes: the best balanced
 accuracy among the scores that lose MAX_GOOD_LOST of the good ones at most.
 
-The fit is bounded by FIT_ROWS labelled rows of each class, taken by a seeded
-hash order: half of the good ones grow the trees, the other half and the bad
-ones set the threshold.  ``measure`` says what that is worth on rows kept apart.
+Every labelled row that passes the base rules has its part in the fit.  A
+seeded hash halves the good ones.  Those of one half are dealt to the trees,
+each row to one tree at least and to as many as give a tree TREE_ROWS rows; a
+tree is grown in a task, counts all of its rows, and splits until a node holds
+a TREE_ROWS-th of them, so its size is bounded however many they are.  The
+other half and all bad ones are scored, and their counts by cell of the score
+(2^-SCORE_BITS wide) set the threshold.  ``measure`` says what that is worth
+on rows kept apart.
 
 Defined results: null or empty text has no words and fails the base rules;
 without labelled good rows the forest keeps what the base rules keep, without
@@ -35,15 +39,14 @@ from demandlake.llm.tables import keep
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-FIT_ROWS = 20_000
-#: Bits of the hash whose counts come to the driver to find the rows of least hash.
-HASH_STEPS = 12
 TREES = 200
 TREE_ROWS = 512
 MARGIN = 1.0
 LEAST_RANGE = 0.01
 DEPTH = 2
 MAX_GOOD_LOST = 0.002
+#: Labelled rows are counted by cells of the score; 2^SCORE_BITS a class come to the driver at most.
+SCORE_BITS = 16
 SEED = 7
 
 SYMBOL = np.zeros(256, bool)
@@ -123,40 +126,72 @@ def features(pdf: pd.DataFrame) -> np.ndarray:
     ])
 
 
-def _path_norm(n: int) -> float:
-    return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else float(n == 2)
+def _path_norm(n: float) -> float:
+    return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else max(n - 1.0, 0.0)
 
 
-def fit_forest(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> dict:
-    """Trees as flat arrays: feature (-1: leaf), cut, left child, path length at a leaf."""
-    rng = np.random.default_rng(seed)
-    rows = min(rows, len(x))
-    depth = DEPTH * int(np.ceil(np.log2(max(rows, 2))))
+def grow_tree(x: np.ndarray, rng: np.random.Generator, rows: int = TREE_ROWS) -> tuple[np.ndarray, ...]:
+    """One tree over all rows of ``x`` as flat arrays: feature (-1: leaf), cut,
+    right child, path length at a leaf.  More than ``rows`` rows weigh as much
+    as ``rows`` together; the order of the rows has no part."""
+    share = min(1.0, rows / len(x))
+    depth = DEPTH * int(np.ceil(np.log2(max(min(rows, len(x)), 2))))
     least = np.maximum(LEAST_RANGE, LEAST_RANGE * (x.max(0) - x.min(0)))  # also where all rows agree
-    forest = []
-    for _ in range(trees):
-        feat, cut, left, path = [], [], [], []
-
-        def grow(idx, level):
-            me = len(feat)
-            for a, v in ((feat, -1), (cut, 0.0), (left, 0), (path, 0.0)):
-                a.append(v)
-            sub = x[idx]
-            lo, hi = (sub.min(0), sub.max(0)) if len(idx) > 1 else (np.zeros(1), np.zeros(1))
-            if level >= depth or not (hi > lo).any():
-                path[me] = level + _path_norm(len(idx))
-                return me
-            f = int(rng.integers(x.shape[1]))
-            beyond = MARGIN * max(hi[f] - lo[f], least[f])
-            c = float(rng.uniform(lo[f] - beyond, hi[f] + beyond))
-            feat[me], cut[me] = f, c
-            grow(idx[sub[:, f] < c], level + 1)  # at me + 1
-            left[me] = grow(idx[sub[:, f] >= c], level + 1)
+    feat, cut, right, path = [], [], [], []
+
+    def grow(idx, level):
+        me = len(feat)
+        for a, v in ((feat, -1), (cut, 0.0), (right, 0), (path, 0.0)):
+            a.append(v)
+        sub = x[idx]
+        lo, hi = (sub.min(0), sub.max(0)) if len(idx) * share > 1 else (np.zeros(1), np.zeros(1))
+        if level >= depth or not (hi > lo).any():
+            path[me] = level + _path_norm(len(idx) * share)
             return me
+        f = int(rng.integers(x.shape[1]))
+        beyond = MARGIN * max(hi[f] - lo[f], least[f])
+        c = float(rng.uniform(lo[f] - beyond, hi[f] + beyond))
+        feat[me], cut[me] = f, c
+        grow(idx[sub[:, f] < c], level + 1)  # at me + 1
+        right[me] = grow(idx[sub[:, f] >= c], level + 1)
+        return me
+
+    grow(np.arange(len(x)), 0)
+    return np.array(feat), np.array(cut), np.array(right), np.array(path)
+
+
+def copies_of(n: int, trees: int = TREES, rows: int = TREE_ROWS) -> int:
+    """The trees that each of ``n`` rows goes to: one at least."""
+    return min(trees, max(1, -(-trees * rows // n)))
+
+
+def fit_forest(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> dict:
+    """The forest of rows that are at hand."""
+    copies = copies_of(len(x), trees, rows)
+    start = np.random.default_rng(seed).permutation(len(x)) % trees
+    own = [x[(t - start) % trees < copies] for t in range(trees)]
+    forest = [grow_tree(part, np.random.default_rng([seed, t]), rows) for t, part in enumerate(own) if len(part)]
+    return {"trees": forest, "norm": _norm(len(x), trees, rows)}
 
-        grow(rng.choice(len(x), rows, replace=False), 0)
-        forest.append((np.array(feat), np.array(cut), np.array(left), np.array(path)))
-    return {"trees": forest, "norm": max(_path_norm(rows), 1e-9)}
+
+def _norm(n: int, trees: int = TREES, rows: int = TREE_ROWS) -> float:
+    return max(_path_norm(min(rows, n * copies_of(n, trees, rows) / trees)), 1e-9)
+
+
+def grow_forest(good: DataFrame, n: int) -> dict:
+    """The forest of all ``n`` rows of ``good(h, counts...)``, grown in tasks."""
+    first = F.pmod(F.col("h"), F.lit(TREES)).alias("first")
+    dealt = good.select(*COUNTS, *MORE, first, F.explode(F.sequence(F.lit(0), F.lit(copies_of(n) - 1))).alias("next"))
+    dealt = dealt.select(*COUNTS, *MORE, F.pmod(F.col("first") + F.col("next"), F.lit(TREES)).cast("int").alias("tree"))
+
+    def grown(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = int(pdf["tree"].iloc[0])
+        return pd.DataFrame([[t, *grow_tree(features(pdf), np.random.default_rng([SEED, t]))]], columns=["tree", "feature", "cut", "right", "path"])
+
+    out = dealt.groupBy("tree").applyInPandas(grown, "tree int, feature array<int>, cut array<double>, right array<int>, path array<double>")
+    rows = sorted(out.collect(), key=lambda r: r["tree"])  # TREES rows, each of a bounded number of nodes
+    arrays = [tuple(np.array(r[c]) for c in ("feature", "cut", "right", "path")) for r in rows]
+    return {"trees": arrays, "norm": _norm(n)}
 
 
 def score_forest(forest: dict, x: np.ndarray) -> np.ndarray:
@@ -182,58 +217,75 @@ def base_failed():
 def calibrate(good: np.ndarray, bad: np.ndarray) -> float:
     """The threshold (kept: not above it) of best balanced accuracy among
     those that lose MAX_GOOD_LOST of the good rows at most; the lowest of equals."""
-    least = np.quantile(good, 1 - MAX_GOOD_LOST, method="higher")
-    at = np.unique(np.r_[good, bad])
-    at = at[at >= least]
-    if not len(bad):
-        return float(least)
-    kept_good = np.searchsorted(np.sort(good), at, "right") / len(good)
-    kept_bad = np.searchsorted(np.sort(bad), at, "right") / len(bad)
-    gain = kept_good - kept_bad
-    return float(at[np.flatnonzero(gain >= gain.max() - 1e-12)[0]])
+    at, place = np.unique(np.r_[good, bad], return_inverse=True)
+    return calibrate_counts(at, np.bincount(place[: len(good)], minlength=len(at)), np.bincount(place[len(good) :], minlength=len(at)))
+
+
+def calibrate_counts(at: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """``calibrate`` from the numbers of good and bad rows by ascending score."""
+    kept_good, kept_bad = np.cumsum(good), np.cumsum(bad)
+    least = int(np.searchsorted(kept_good, np.ceil((kept_good[-1] - 1) * (1 - MAX_GOOD_LOST)), "right"))
+    if not kept_bad[-1]:
+        return float(at[least])
+    gain = (kept_good / kept_good[-1] - kept_bad / kept_bad[-1])[least:]
+    return float(at[least + np.flatnonzero(gain >= gain.max() - 1e-12)[0]])
 
 
 def fit(counted: DataFrame, labels: DataFrame) -> tuple[dict, float] | None:
-    """(forest, threshold) from at most FIT_ROWS labelled rows of each class
-    that pass the base rules; half of the good ones grow the trees, the other
-    half and the bad ones set the threshold.  None without labelled good rows."""
-    good, bad = labelled(counted, labels)
-    if len(good) < 4:
+    """(forest, threshold) from all labelled rows that pass the base rules:
+    half of the good ones grow the trees, the other half and the bad ones set
+    the threshold.  None without labelled good rows."""
+    return _fit(labelled(counted, labels))
+
+
+def _fit(rows: DataFrame) -> tuple[dict, float] | None:
+    half = F.pmod(F.shiftright("h", 32), F.lit(2)).alias("half")
+    good = rows.where("quality = 1")
+    held = {r["half"]: r["count"] for r in good.groupBy(half).count().collect()}
+    n = sum(held.values())
+    if n < 4:
         return None
-    forest = fit_forest(good[::2])
-    return forest, calibrate(score_forest(forest, good[1::2]), score_forest(forest, bad))
+    grows, sets = good.where(half == 0), rows.where((F.col("quality") == 0) | (half == 1))
+    if 4 * min(held.get(0, 0), held.get(1, 0)) < n:  # a few rows that the hash did not halve have both parts
+        grows, sets, held = good, rows, {0: n}
+    forest = grow_forest(grows, held[0])
+    cell = F.ceil(anomaly_of(rows, forest) * (1 << SCORE_BITS)).cast("int")
+    counted = sets.select("quality", cell.alias("cell")).groupBy("cell").agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
+    cells = sorted(counted.collect())
+    at, is_good, is_bad = (np.array(c) for c in zip(*cells, strict=True))
+    return forest, calibrate_counts(at / (1 << SCORE_BITS), is_good, is_bad)
 
 
 def measure(counted: DataFrame, labels: DataFrame) -> tuple[float, float]:
     """(share of good rows lost, share of bad rows caught) among labelled rows
-    kept apart: a third of the good and half of the bad ones have no part in
-    forest or threshold."""
-    good, bad = labelled(counted, labels)
-    forest = fit_forest(good[::3])
-    threshold = calibrate(score_forest(forest, good[1::3]), score_forest(forest, bad[::2]))
-    return tuple(float((score_forest(forest, rows) > threshold).mean()) for rows in (good[2::3], bad[1::2]))
-
-
-def labelled(counted: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Features of the labelled good and bad rows, in hash order."""
-    once = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most")
-
-    def sample(quality):
-        rows = once.where(F.col("quality") == quality).select(F.col("doc_id").alias("label_id"))
-        seen = counted.where(~base_failed()).join(rows, F.col("doc_id") == F.col("label_id"), "left_semi")
-        # rows repeated under one doc_id are one
-        seen = seen.groupBy("doc_id").agg(F.min(F.struct(*COUNTS, *MORE)).alias("r")).select("doc_id", "r.*")
-        # the rows of least hash; a histogram says how far to look, so tasks send few rows more than are wanted
-        seen = seen.withColumn("h", F.xxhash64(F.lit(SEED), "doc_id")).withColumn("step", F.shiftright("h", 64 - HASH_STEPS))
-        last, have = None, 0
-        for r in sorted(seen.groupBy("step").count().collect(), key=lambda r: r["step"]):
-            last, have = r["step"], have + r["count"]
-            if have >= FIT_ROWS:
-                break
-        near = seen.where(F.col("step") <= last) if last is not None else seen.limit(0)
-        return near.orderBy("h", "doc_id").limit(FIT_ROWS).select(*COUNTS, *MORE).toPandas()
+    kept apart: a third of both has no part in forest or threshold."""
+    rows = labelled(counted, labels)
+    apart = F.pmod(F.shiftright("h", 40), F.lit(3)) == 0
+    forest, threshold = _fit(rows.where(~apart))
+    out = rows.where(apart).select("quality", (anomaly_of(rows, forest) > threshold).alias("lost"))
+    share = {r["quality"]: r["lost"] for r in out.groupBy("quality").agg(F.avg(F.col("lost").cast("int")).alias("lost")).collect()}
+    return share[1], share[0]
+
+
+def labelled(counted: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, h, quality, counts...) of every labelled good or bad document
+    that passes the base rules, once; written."""
+    once = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most AND quality IN (0, 1)")
+    own = counted.where(~base_failed()).select("doc_id", F.struct(*COUNTS, *MORE).alias("r"))
+    # rows repeated under one doc_id are one
+    seen = own.join(once.select("doc_id", "quality"), "doc_id").groupBy("doc_id", "quality").agg(F.min("r").alias("r"))
+    return keep(seen.select("doc_id", F.xxhash64(F.lit(SEED), "doc_id").alias("h"), "quality", "r.*"), "rule-labels")
 
-    return features(sample(1)), features(sample(0))
+
+def anomaly_of(counted: DataFrame, forest: dict):
+    """The anomaly score of a row of counts, as a column."""
+    shared = counted.sparkSession.sparkContext.broadcast(forest)  # TREES trees of bounded size
+
+    @F.pandas_udf("double")
+    def anomaly(pdf: pd.DataFrame) -> pd.Series:
+        return pd.Series(score_forest(shared.value, features(pdf)))
+
+    return anomaly(F.struct(*COUNTS, *MORE))
 
 
 def _verdict(model: tuple[dict, float] | None):
@@ -253,13 +305,7 @@ def judge(counted: DataFrame, labels: DataFrame) -> DataFrame:
     base = counted.withColumn("base_failed", base_failed())
     if model is None:
         return base.withColumn("anomaly", F.lit(0.0)).withColumn("kept", ~F.col("base_failed"))
-    shared = counted.sparkSession.sparkContext.broadcast(model)  # TREES x 2 x TREE_ROWS nodes
-
-    @F.pandas_udf("double")
-    def anomaly(pdf: pd.DataFrame) -> pd.Series:
-        return pd.Series(score_forest(shared.value[0], features(pdf)))
-
-    scored = base.withColumn("anomaly", anomaly(F.struct(*COUNTS, *MORE)))
+    scored = base.withColumn("anomaly", anomaly_of(counted, model[0]))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= F.lit(model[1])))
 
 

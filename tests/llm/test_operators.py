@@ -13,6 +13,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from demandlake.llm import exact_dedup, license_scan, lm_scoring, mixing, ngram_join, packing, pii, quality_rules, suffix_dedup, textops, url_filter
@@ -513,6 +514,27 @@ def test_op7_bad_labels_have_a_part_in_the_threshold(spark, docs, rows):
     assert both != one
 
 
+def test_op7_every_labelled_row_has_a_part_in_the_fit(spark, monkeypatch):
+    """All labelled rows are in the fit however many there are, and a tree of many rows stays bounded."""
+    text = "".join(f" {i}word" for i in range(60))
+    table = spark.range(45_000).select(F.col("id").alias("doc_id"), F.concat(F.lit(text), F.repeat(F.lit(" #"), (F.col("id") % 7).cast("int"))).alias("text"))
+    labels = spark.range(45_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    counted = quality_rules.counts(table, "doc_id").withColumnRenamed("key", "doc_id")
+    assert quality_rules.labelled(counted, labels).count() == 45_000
+    seen = []
+    monkeypatch.setattr(quality_rules, "calibrate_counts", lambda at, good, bad: seen.append(int(good.sum())) or 1.0)
+    plain = quality_rules.grow_forest
+    monkeypatch.setattr(quality_rules, "grow_forest", lambda good, n: seen.append((good.count(), n)) or plain(good, n))
+    quality_rules.fit(counted, labels)
+    (grown, said), scored = seen
+    assert grown == said and grown + scored == 45_000 and min(grown, scored) > 20_000
+
+    x = np.random.default_rng(3).normal(size=(40_000, 4))
+    assert len(quality_rules.grow_tree(x, np.random.default_rng(0))[0]) < 20 * quality_rules.TREE_ROWS
+    forest = quality_rules.fit_forest(x, trees=20, rows=64)  # 2,000 rows a tree
+    assert quality_rules.score_forest(forest, np.full((1, 4), 12.0))[0] > quality_rules.score_forest(forest, x[:500]).max()
+
+
 def test_op8_no_conflicts_and_every_word_once(docs, rows, empty):
     got = packing.pack(docs, capacity=300, per_source=2, shard_pieces=1000).collect()
     info = {r[0]: (words(r[1]), r[2]) for r in rows}
@@ -574,6 +596,22 @@ def water(sizes):
     return out
 
 
+def test_op9_documents_of_the_mix_stay_in_place(spark, tmp_path):
+    """Copies follow the operator's counts, also where a cut goes through a bucket, and no text is moved."""
+    sources = ["a", "b", "c", None]
+    rows = [(i // 2 if i % 50 == 0 else i, "w " * (1 + i % 3) + "x" * 400, sources[min(i % 9, 3)]) for i in range(4000)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3).write.parquet(str(tmp_path / "d"))
+    table = spark.read.parquet(str(tmp_path / "d"))
+    out = mixing.mixed_documents(table)
+    got = collections.Counter(r["doc_id"] for r in out.collect())
+    want = collections.Counter()
+    for r in mixing.mix(table).collect():
+        want[r["doc_id"]] += r["taken"] // r["size"]
+    assert got == +want and len(set(want.values())) > 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+
+
 def test_op9_targets_and_fit(docs, rows, empty):
     got = by_id(mixing.mix(docs))
     size = {i: len(WORD.findall(t or "")) for i, t, *_ in rows}
