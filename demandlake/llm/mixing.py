@@ -103,11 +103,16 @@ def _fit_source(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"src": pdf["src"], "size": pdf["size"], "whole": np.int64(whole), "extra": extra})
 
 
-def mix_rows(rows: DataFrame) -> DataFrame:
-    """``rows(doc_id, source, size, ...)`` (written, hence stable) with
-    source_size, target and ``times``, how often the mix takes the row."""
+def _bucketed(rows: DataFrame) -> DataFrame:
+    """``rows`` with src (the source, null or not), the hash h and its bucket."""
     rows = rows.withColumn("src", F.struct(F.col("source").isNotNull().alias("known"), F.coalesce("source", F.lit("")).alias("name")))
-    rows = rows.withColumn("h", F.xxhash64(F.lit(SEED), "doc_id")).withColumn("bucket", F.pmod(F.shiftright("h", 32), F.lit(BUCKETS)))
+    return rows.withColumn("h", F.xxhash64(F.lit(SEED), "doc_id")).withColumn("bucket", F.pmod(F.shiftright("h", 32), F.lit(BUCKETS)))
+
+
+def _cuts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For bucketed rows: (src, size, bucket, whole, room, in_bucket), where a
+    row is taken ``whole`` times, and once more if it is among the first
+    ``room`` of its bucket; and (src, source_size, target)."""
     per_bucket = rows.groupBy("src", "size", "bucket").agg(F.count(F.lit(1)).alias("n"))
     per_length = per_bucket.groupBy("src", "size").agg(F.sum("n").alias("n"))
     src = per_length.groupBy("src").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -121,6 +126,14 @@ def mix_rows(rows: DataFrame) -> DataFrame:
     ahead = Window.partitionBy("src", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     cut = per_bucket.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))).join(fitted, ["src", "size"])
     cut = cut.select("src", "size", "bucket", "whole", (F.col("extra") - F.col("ahead")).alias("room"), F.col("n").alias("in_bucket"))
+    return cut, goal
+
+
+def mix_rows(rows: DataFrame) -> DataFrame:
+    """``rows(doc_id, source, size, ...)`` (written, hence stable) with
+    source_size, target and ``times``, how often the mix takes the row."""
+    rows = _bucketed(rows)
+    cut, goal = _cuts(rows)
     joined = rows.join(cut, ["src", "size", "bucket"], "left")
     inside = Window.partitionBy("src", "size", "bucket").orderBy("h", "doc_id")
     rank = F.row_number().over(inside)
@@ -135,11 +148,25 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents of the mix with their own columns, repeated as taken."""
+    """The documents of the mix with their own columns, repeated as taken.
+
+    How often a row is taken follows from its source, size and bucket, but for
+    the buckets that a cut goes through.  So a row per source and size is sent
+    to the texts, with the locators of the rows taken in cut buckets; the texts
+    themselves stay where they are."""
     names = docs.columns
     held = located(docs, "mix-input")
     key = lambda c: F.col(f"c{names.index(c)}")
-    sized = held.select(key("doc_id").alias("doc_id"), key("source").alias("source"), n_words(F.coalesce(key("text").cast("string"), F.lit(""))).alias("size"), "row")
-    times = keep(mix_rows(keep(sized, "mix-sizes")).where("times > 0").select("row", "times"), "mix-times")
-    out = held.join(times, "row").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    size = n_words(F.coalesce(key("text").cast("string"), F.lit(""))).alias("size")
+    sized = _bucketed(keep(held.select(key("doc_id").alias("doc_id"), key("source").alias("source"), size, "row"), "mix-sizes"))
+    cut = keep(_cuts(sized)[0], "mix-cuts")
+    upto = F.max(F.when(F.col("room") >= F.col("in_bucket"), F.col("bucket")))  # buckets taken once more as a whole come first
+    lengths = keep(cut.groupBy("src", "size").agg(F.max("whole").alias("whole"), F.coalesce(upto, F.lit(-1)).alias("upto")), "mix-lengths")
+    through = sized.join(cut.where("room > 0 AND room < in_bucket"), ["src", "size", "bucket"])
+    rank = F.row_number().over(Window.partitionBy("src", "size", "bucket").orderBy("h", "doc_id"))
+    more = keep(through.withColumn("rank", rank).where("rank <= room").select("row", F.lit(1).alias("more")), "mix-more")
+    own = _bucketed(held.select(*held.columns, key("doc_id").alias("doc_id"), key("source").alias("source"), size))
+    own = own.join(lengths, ["src", "size"]).join(more, "row", "left")
+    times = F.col("whole") + F.when(F.col("bucket") <= F.col("upto"), 1).otherwise(0) + F.coalesce("more", F.lit(0))
+    out = own.withColumn("times", times.cast("int")).where("times > 0").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
