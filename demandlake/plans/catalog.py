@@ -272,6 +272,7 @@ def tables_by_name(spark, sf):
     through the catalog: sales by month, with the rows of the named table."""
     name = f"named_silver_{uuid.uuid4().hex}"
     s = _silver(spark, sf).select("date", "store", "item", "sales", "is_promo")
+    s = io.materialize(s, storage.scratch_path(spark, "silver_once"))  # three writes read it
     path = storage.scratch_path(spark, "named_silver")
     io.save_named(s.filter("is_promo = 1"), name, path)
     io.save_named(s.filter("is_promo = 0"), name, path)

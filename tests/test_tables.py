@@ -322,3 +322,15 @@ def test_lenient_int_equals_the_cast_without_ansi(spark):
 @given(st.lists(st.text(alphabet="0123456789+-. \t\x00e", max_size=14), min_size=50, max_size=80))
 def test_lenient_int_on_any_text(spark, texts):
     agrees(spark, texts)
+
+
+def test_tables_by_name_builds_silver_once(spark, monkeypatch):
+    """Three writes share one written silver, instead of joining and ranking all lines three times."""
+    from demandlake.plans import catalog
+
+    built, written = [], []
+    silver, save = catalog._silver, catalog.io.save_named
+    monkeypatch.setattr(catalog, "_silver", lambda *a: built.append(1) or silver(*a))
+    monkeypatch.setattr(catalog.io, "save_named", lambda df, *a: written.append(df._jdf.queryExecution().executedPlan().toString()) or save(df, *a))
+    assert catalog.tables_by_name(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(built) == 1 and len(written) == 2 and not any("Join" in plan or "Window" in plan for plan in written)
