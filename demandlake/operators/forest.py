@@ -26,6 +26,7 @@ folder; every pass scans that table, so a lost executor costs re-reading.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -46,6 +47,10 @@ GRID = 4096
 LEAST_GAIN = 1e-9
 #: Bytes of sums that a task holds in one pass; deeper levels take the trees in groups.
 PASS_BYTES = 96 << 20
+#: Rows that a task adds up at once (small enough for a core's cache, enough to outweigh the sums' own size).
+CHUNK = 1 << 16
+#: Levels at the top of a tree that are walked by comparing whole columns.
+TOP = 4
 
 NODES = T.StructType([
     T.StructField("tree", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("feature", T.StringType()),
@@ -94,7 +99,27 @@ def tree_draw(row_hash: np.ndarray, tree: int) -> np.ndarray:
 def tree_weight(row_hash: np.ndarray, tree: int, bootstrap: bool = True) -> np.ndarray:
     if not bootstrap:
         return np.ones(len(row_hash))
-    return np.searchsorted(np.array(poisson_steps(), np.uint64), tree_draw(row_hash, tree).astype(np.uint64), side="right").astype(float)
+    return _drawn(row_hash, tree).astype(float)
+
+
+@functools.cache
+def _weight_table() -> tuple[np.ndarray, np.ndarray]:
+    """The thresholds, and a draw's weight by its upper 16 bits; 255 where
+    these do not decide."""
+    steps = np.array(poisson_steps(), np.uint64)
+    first = np.arange(1 << 16, dtype=np.uint64) << np.uint64(16)
+    low, high = (np.searchsorted(steps, x, side="right") for x in (first, first + np.uint64(0xFFFF)))
+    return steps, np.where(low == high, low, 255).astype(np.uint8)
+
+
+def _drawn(row_hash: np.ndarray, tree: int) -> np.ndarray:
+    """Weights as bytes."""
+    steps, table = _weight_table()
+    draw = tree_draw(row_hash, tree)
+    out = table.take((draw >> np.uint32(16)).astype(np.int64), mode="clip")
+    left = np.flatnonzero(out == 255)
+    out[left] = np.searchsorted(steps, draw[left].astype(np.uint64), side="right")
+    return out
 
 
 # ------------------------------------------------------------------ cuts
@@ -141,51 +166,111 @@ class _Tree:
         self.feature = np.full(2 << depth, -1, np.int64)
         self.bin = np.zeros(2 << depth, np.int64)
 
-    def leaf_of(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        node = np.ones(len(bins), np.int64)
-        rows = np.arange(len(bins))
-        for _ in range(levels):
-            f = self.feature[node]
-            inner = f >= 0
-            if not inner.any():
-                break
-            right = bins[rows, np.where(inner, f, 0)] > self.bin[node]
-            node = np.where(inner, 2 * node + right, node)
+    def _right(self, columns: np.ndarray, node: int, turns: list[np.ndarray]) -> np.ndarray:
+        """Whether rows go right at the node below ``node`` to which their
+        last ``turns`` have led."""
+        if turns:
+            left, right = (self._right(columns, 2 * node + side, turns[1:]) for side in (0, 1))
+            return left ^ ((left ^ right) & turns[0])
+        f = self.feature[node]
+        return columns[f] > np.uint8(self.bin[node]) if f >= 0 else np.zeros(columns.shape[1], bool)
+
+    def node_of(self, columns: np.ndarray, use: np.ndarray, levels: int) -> np.ndarray:
+        """Node at depth ``levels`` of the rows ``use`` of (feature, row) bins.
+        Rows whose leaf lies higher go on to its left, to nodes that are
+        never open."""
+        turns: list[np.ndarray] = []
+        code = np.zeros(columns.shape[1], np.uint8)
+        for _ in range(min(levels, TOP)):
+            turns.append(self._right(columns, 1, turns))
+            code += code
+            code += turns[-1].view(np.uint8)
+        node = code.take(use, mode="clip").astype(np.int64) + (1 << len(turns))
+        if levels > TOP:
+            n = columns.shape[1]
+            cells, row_of = columns.reshape(-1), np.where(self.feature >= 0, self.feature, 0) * n
+            last = np.where(self.feature >= 0, self.bin, 255).astype(np.uint8)
+            for _ in range(levels - TOP):
+                at = row_of.take(node, mode="clip")  # all are in bounds; this mode is the quickest
+                at += use
+                right = cells.take(at, mode="clip") > last.take(node, mode="clip")
+                node += node
+                node += right
         return node
 
 
+def _chunks(batches, n_features: int):
+    """Bins as (feature, row), labels and hashes of ``CHUNK`` rows or more."""
+    parts, size = [], 0
+
+    def joined():
+        bins, y, h = zip(*parts, strict=True)
+        return np.ascontiguousarray(np.concatenate(bins).T), np.concatenate(y), np.concatenate(h)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        raw = batch.column("bins").cast(pa.binary())
+        start = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset]
+        bins = np.frombuffer(raw.buffers()[2], np.uint8)[start : start + batch.num_rows * n_features].reshape(-1, n_features)
+        parts.append((bins, batch.column("y").to_numpy(), batch.column("h").to_numpy().view(np.uint32)))
+        size += batch.num_rows
+        if size >= CHUNK:
+            yield joined()
+            parts, size = [], 0
+    if parts:
+        yield joined()
+
+
+#: Weights and weighted labels are added up as one number while both parts stay whole and below these.
+_MOST_WEIGHT, _MOST_LABEL = 2.0**20, 2.0**32
+
+
+def _add(total: np.ndarray, columns: np.ndarray, use: np.ndarray, slot: np.ndarray, w: np.ndarray, y: np.ndarray, whole: bool) -> None:
+    """Add rows to (2, feature, node, bin) sums of weights and weighted labels."""
+    if not len(use):
+        return
+    _, n_features, n_nodes, max_bins = total.shape
+    wy = w * y
+    first = slot * max_bins
+    packed = whole and w.sum() < _MOST_WEIGHT and wy.sum() < _MOST_LABEL
+    if packed:
+        wy += w * _MOST_LABEL
+    for f in range(n_features):
+        at = first + columns[f].take(use, mode="clip")
+        both = np.bincount(at, wy, n_nodes * max_bins).reshape(n_nodes, max_bins)
+        if packed:
+            weight = np.floor(both / _MOST_LABEL)
+            both -= weight * _MOST_LABEL
+        else:
+            weight = np.bincount(at, w, n_nodes * max_bins).reshape(n_nodes, max_bins)
+        total[0, f] += weight
+        total[1, f] += both
+
+
 def _sums(trees: dict[int, _Tree], active: dict[int, np.ndarray], level: int, n_features: int, max_bins: int, bootstrap: bool):
     """Task side of a pass: (tree, node, sums) with one array of weights and
     weighted labels by (feature, bin) for each open node."""
-    cells = n_features * max_bins
 
     def run(batches):
-        total = {t: np.zeros((2, len(nodes), cells)) for t, nodes in active.items()}
+        total = {t: np.zeros((2, n_features, len(nodes), max_bins)) for t, nodes in active.items()}
         slot = {}
         for t, nodes in active.items():
             slot[t] = np.full(2 << level, -1, np.int64)
             slot[t][nodes] = np.arange(len(nodes))
-        column = np.arange(n_features) * max_bins
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw = batch.column("bins")
-            bins = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(batch.num_rows, n_features).astype(np.int64)
-            y = batch.column("y").to_numpy()
-            h = batch.column("h").to_numpy().view(np.uint32)
-            for t in active:
-                w = tree_weight(h, t, bootstrap)
-                use = np.flatnonzero(w)
-                s = slot[t][np.minimum(trees[t].leaf_of(bins[use], level), (2 << level) - 1)]
-                use, s = use[s >= 0], s[s >= 0]
-                at = (s[:, None] * cells + column + bins[use]).ravel()
-                size = total[t][0].size
-                total[t][0] += np.bincount(at, np.repeat(w[use], n_features), size).reshape(total[t][0].shape)
-                total[t][1] += np.bincount(at, np.repeat(w[use] * y[use], n_features), size).reshape(total[t][1].shape)
+        for columns, y, h in _chunks(batches, n_features):
+            whole = bool((y >= 0).all() and (y == np.floor(y)).all())
+            for t, nodes in active.items():
+                w = _drawn(h, t) if bootstrap else np.ones(len(h), np.uint8)
+                use = np.flatnonzero(w != 0)
+                s = slot[t].take(trees[t].node_of(columns, use, level))
+                if len(nodes) < 1 << level:
+                    use, s = use[s >= 0], s[s >= 0]
+                _add(total[t], columns, use, s, w.take(use).astype(float), y.take(use), whole)
         for t, nodes in active.items():
-            seen = total[t][0].any(axis=1)
+            seen = total[t][0, 0].any(axis=1)
             if seen.any():
-                data = [np.ascontiguousarray(total[t][:, i]).tobytes() for i in np.flatnonzero(seen)]
+                data = [np.ascontiguousarray(total[t][:, :, i]).tobytes() for i in np.flatnonzero(seen)]
                 n = len(data)
                 yield pa.RecordBatch.from_arrays([pa.array([t] * n, pa.int32()), pa.array(nodes[seen]), pa.array(data, pa.binary())], ["tree", "node", "sums"])
 
@@ -329,34 +414,45 @@ class Forest:
         return Forest([tuple(r) for r in rows], features)
 
     def _arrays(self):
-        """Node table as arrays by place; a leaf's cut leads nowhere."""
+        """Node table as arrays by place: feature, number of the cut among the
+        feature's, children (left at 2 * place, right after it); a leaf leads
+        to itself."""
         place = {(r[0], r[1]): i for i, r in enumerate(self.table)}
         at = {f: i for i, f in enumerate(self.features)}
-        feature = np.array([at.get(r[2], -1) for r in self.table], np.int64)
-        cut = np.array([r[3] if r[3] is not None else 0.0 for r in self.table])
-        left = np.array([place[r[0], r[4]] if r[4] is not None else i for i, r in enumerate(self.table)], np.int64)
-        right = np.array([place[r[0], r[5]] if r[5] is not None else i for i, r in enumerate(self.table)], np.int64)
+        feature = np.array([max(at.get(r[2], -1), 0) for r in self.table], np.int64)
+        cuts = [np.unique([r[3] for r in self.table if r[2] == f]) for f in self.features]
+        cut = np.array([np.searchsorted(cuts[at[r[2]]], r[3]) if r[2] in at else 0 for r in self.table], np.int64)
+        inner = [r[2] in at for r in self.table]
+        child = np.array([place[r[0], r[k]] if is_in else i for i, (r, is_in) in enumerate(zip(self.table, inner, strict=True)) for k in (4, 5)], np.int64)
         value = np.array([r[6] for r in self.table])
         roots = [i for i, r in enumerate(self.table) if r[1] == 1]
         depth = max(int(r[1]).bit_length() for r in self.table) - 1
-        return feature, cut, left, right, value, roots, depth
+        return feature, cuts, cut, child, value, roots, depth
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``prediction``, the mean over the trees of the value of
         the leaf that the row's features lead to."""
         ship(df.sparkSession)
-        feature, cut, left, right, value, roots, depth = self._arrays()
+        feature, cuts, cut, child, value, roots, depth = self._arrays()
 
         @F.pandas_udf("double")
         def predict(*columns: pd.Series) -> pd.Series:
-            x = np.stack([c.to_numpy(float) for c in columns], axis=1)
-            rows = np.arange(len(x))
-            total = np.zeros(len(x))
+            n = len(columns[0])
+            passed = np.empty((len(columns), n), np.int64)  # cuts of the feature not above the row's value
+            for f, c in enumerate(columns):
+                x = c.to_numpy(float)
+                passed[f] = np.where(np.isnan(x), 0, np.searchsorted(cuts[f], x, side="right"))
+            cells, first, rows = passed.reshape(-1), feature * n, np.arange(n)
+            total = np.zeros(n)
             for root in roots:
-                node = np.full(len(x), root)
+                node = np.full(n, root)
                 for _ in range(depth):
-                    f = feature[node]
-                    node = np.where(f < 0, node, np.where(x[rows, f] >= cut[node], right[node], left[node]))
+                    at = first.take(node, mode="clip")
+                    at += rows
+                    right = cells.take(at, mode="clip") > cut.take(node, mode="clip")
+                    node += node
+                    node += right
+                    node = child.take(node, mode="clip")
                 total += value[node]
             return pd.Series(total / len(roots))
 

@@ -4,6 +4,7 @@ loaded, and at its edges."""
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +141,69 @@ def test_gram_rows_are_the_products(spark):
     for i, a in enumerate(names):
         for j in range(i, 4):
             assert abs(got[a, names[j]] - m[:, i] @ m[:, j]) < 1e-6
+
+
+def packed_rows(x, y, h, size):
+    """Record batches of ``size`` rows as the passes read them."""
+    for i in range(0, len(x), size):
+        bins = pa.array([r.tobytes() for r in x[i : i + size]], pa.binary())
+        yield pa.RecordBatch.from_arrays([bins, pa.array(y[i : i + size]), pa.array(h[i : i + size].view(np.int32))], ["bins", "y", "h"])
+
+
+@pytest.mark.parametrize("labels", ["whole", "parts", "below zero", "large"])
+@pytest.mark.parametrize("level", [0, 3, 6])
+def test_sums_of_a_pass_equal_plain_ones(labels, level):
+    r = np.random.default_rng(level)
+    n, f, bins, depth = 3000, 3, 8, 7
+    x, h = r.integers(0, bins, (n, f)).astype(np.uint8), r.integers(0, 2**32, n).astype(np.uint32)
+    y = r.integers(0, 50, n).astype(float)
+    y = {"whole": y, "parts": y / 8, "below zero": y - 20, "large": y * 2**40}[labels]
+    trees = {t: forest._Tree(depth) for t in (0, 2)}
+    for t, tree in trees.items():
+        tree.feature[1 : 1 << depth], tree.bin[1 : 1 << depth] = r.integers(0, f, (1 << depth) - 1), r.integers(0, bins - 1, (1 << depth) - 1)
+        tree.feature[[2 + t // 2, 11]] = -1  # leaves above the level
+    want, at = {}, {t: np.ones(n, int) for t in trees}
+    for t, tree in trees.items():
+        for _ in range(level):
+            at[t] = np.where(tree.feature[at[t]] < 0, 0, 2 * at[t] + (x[np.arange(n), tree.feature[at[t]]] > tree.bin[at[t]]))
+        w = forest.tree_weight(h, t)
+        for node in np.unique(at[t][(at[t] > 0) & (w > 0)]):
+            use = at[t] == node
+            want[t, int(node)] = np.array([[np.bincount(x[use, i], v[use], bins) for i in range(f)] for v in (w, w * y)])
+    active = {t: np.array([k for s, k in want if s == t]) for t in trees}
+    out = [row for b in forest._sums(trees, active, level, f, bins, True)(packed_rows(x, y, h, 700)) for row in b.to_pylist()]
+    assert {(o["tree"], o["node"]) for o in out} == set(want)
+    assert all((np.frombuffer(o["sums"]).reshape(2, f, bins) == want[o["tree"], o["node"]]).all() for o in out)
+
+
+def test_work_of_a_pass_does_not_follow_the_batches(monkeypatch):
+    """Small batches are added up together: the sums of a pass are gone
+    through once for all of them, not once for each."""
+    n = 2000
+    x, y, h = np.zeros((n, 2), np.uint8), np.ones(n), np.arange(n, dtype=np.uint32)
+    counted, count = [], np.bincount
+    monkeypatch.setattr(forest.np, "bincount", lambda *a: counted.append(1) or count(*a))
+    trees = {t: forest._Tree(2) for t in range(3)}
+    list(forest._sums(trees, {t: np.array([1]) for t in trees}, 0, 2, 8, True)(packed_rows(x, y, h, 10)))
+    assert len(counted) == 3 * 2  # before: two for each of 200 batches and each tree
+
+
+def test_weights_by_table_equal_the_steps():
+    steps = np.array(forest.poisson_steps(), np.uint64)
+    edge = np.concatenate([steps - np.uint64(1), steps, steps + np.uint64(1)]).astype(np.uint32)
+    h = np.concatenate([edge, np.random.default_rng(1).integers(0, 2**32, 20000).astype(np.uint32)])
+    draw = forest.tree_draw(h, 5)
+    assert (forest.tree_weight(h, 5) == np.searchsorted(steps, draw.astype(np.uint64), side="right")).all()
+    forest_draw = forest.tree_draw
+    try:
+        forest.tree_draw = lambda rows, tree: rows  # the thresholds themselves as draws
+        assert (forest.tree_weight(h, 5) == np.searchsorted(steps, h.astype(np.uint64), side="right")).all()
+    finally:
+        forest.tree_draw = forest_draw
+
+
+def test_a_value_that_is_not_a_number_goes_left(spark):
+    table = [(0, 1, "x", 2.0, 2, 3, 0.0, 4.0), (0, 2, None, None, None, None, -1.0, 2.0), (0, 3, None, None, None, None, 1.0, 2.0)]
+    df = spark.createDataFrame([(None,), (float("nan"),), (1.9,), (2.0,), (float("inf"),)], "x double")
+    got = forest.Forest(table, ["x"]).transform(df)
+    assert [r["prediction"] for r in got.collect()] == [-1.0, -1.0, -1.0, 1.0, 1.0]
