@@ -259,7 +259,8 @@ def layer_checks(spark, sf):
     """Each layer is built and written once, and checked while written."""
     lake = flows.Lake(spark, storage.scratch_path(spark, "checked_lake"))
     rows, taken = checks.observed(fx.bronze_dirty(spark, sf), "bronze")
-    io.write_table(rows, lake.path("bronze_sales"), "overwrite")
+    with io.dealt_by_size(rows):
+        io.write_table(rows, lake.path("bronze_sales"), "overwrite")
     lake.note_checks("bronze", taken.get)
     s = silver.build_silver(lake.read("bronze_sales"), as_of=P.day(P.AS_OF), tie_breakers=fx.dirty_tie_breakers())
     lake.write_layer(s, "silver_sales", check="silver")

@@ -79,7 +79,8 @@ class Lake:
         if check:
             w, taken = checks.observed(w, check)
         out = w.write.format(self.fmt).mode("overwrite").partitionBy(STORAGE_MONTH)
-        out.option("partitionOverwriteMode", "dynamic" if months_only else "static").save(self.path(name))
+        with io.dealt_by_size(df):
+            out.option("partitionOverwriteMode", "dynamic" if months_only else "static").save(self.path(name))
         if taken:
             self.note_checks(check, taken.get)
 

@@ -7,13 +7,18 @@ parameter: Parquet by default, Delta where its jar is on the classpath.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from demandlake.sources import storage
 from demandlake.sources.schemas import RAW_REQUIRED, conform
 
+#: Bytes of input files to a shuffle partition, and of shuffled bytes to a task, while a layer is written.
+INPUT_SHARE, SHUFFLE_SHARE = 4 << 20, 16 << 20
+
 
 def read_raw_sales(spark: SparkSession, path: str, required: Sequence[str] = RAW_REQUIRED) -> DataFrame:
     """CSV with a header, no inference: every column arrives as STRING.
@@ -50,6 +55,26 @@ def read_table(
     return reader.load(table_path(root, name, fmt))
 
 
+@contextmanager
+def dealt_by_size(df: DataFrame) -> Iterator[None]:
+    """While ``df`` is written: as many shuffle partitions as its input files
+    ask for, and no larger shares of a shuffle, so that what a task sorts stays
+    the same at any input size and fits its memory.  More partitions or
+    smaller shares that the session asks for stay."""
+    spark = df.sparkSession
+    parts, share = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    first = {c: spark.conf.get(c) for c in (parts, share)}
+    n = -(-storage.bytes_of(spark, df.inputFiles()) // INPUT_SHARE)
+    as_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    spark.conf.set(parts, str(max(int(first[parts]), n)))
+    spark.conf.set(share, str(min(as_bytes(first[share]), SHUFFLE_SHARE)))
+    try:
+        yield
+    finally:
+        for c, v in first.items():
+            spark.conf.set(c, v)
+
+
 def write_table(
     df: DataFrame,
     path: str,

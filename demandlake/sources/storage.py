@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -90,3 +91,18 @@ def fingerprint(spark: SparkSession, path: str) -> tuple:
     one listing: equal as long as nobody has changed the table."""
     where, fs = _file_system(spark, path)
     return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(where)))
+
+
+def bytes_of(spark: SparkSession, files: Iterable[str]) -> int:
+    """Total size of files, from one listing of each folder they lie in."""
+    uri = spark.sparkContext._jvm.java.net.URI
+    folders: dict[str, set[str]] = {}
+    for f in files:
+        folder, _, name = f.rpartition("/")
+        folders.setdefault(folder, set()).add(name)
+    total = 0
+    for folder, names in folders.items():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri(folder))
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        total += sum(f.getLen() for f in fs.listStatus(path) if uri("file", None, "/" + f.getPath().getName(), None).getRawPath()[1:] in names)
+    return total

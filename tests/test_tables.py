@@ -1,7 +1,9 @@
 """Tables that are replaced, pruned, checked and merged: versions, month
 folders, footer statistics, checks while writing, and the load ledger."""
 
+import contextlib
 import datetime as dt
+import os
 
 import pytest
 from hypothesis import given, settings
@@ -334,3 +336,34 @@ def test_tables_by_name_builds_silver_once(spark, monkeypatch):
     monkeypatch.setattr(catalog.io, "save_named", lambda df, *a: written.append(df._jdf.queryExecution().executedPlan().toString()) or save(df, *a))
     assert catalog.tables_by_name(spark, "/root/testdata/sf0.001").count() > 0
     assert len(built) == 1 and len(written) == 2 and not any("Join" in plan or "Window" in plan for plan in written)
+
+
+def test_layers_are_written_in_shares_of_their_input(spark, monkeypatch):
+    """Shuffle partitions follow the input's files while a layer is written,
+    and the session's settings come back, also after a failure."""
+    parts, share = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    first = spark.conf.get(parts), spark.conf.get(share)
+    path = storage.scratch_path(spark, "shares of input")
+    spark.range(20000).select(F.date_add(F.lit(dt.date(2013, 1, 1)), (F.col("id") % 60).cast("int")).alias("date"), "id").repartition(3).write.partitionBy("date").parquet(path)
+    df = spark.read.parquet(path)
+    size = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path.removeprefix("file:")) for f in names if f.endswith(".parquet"))
+    assert size and storage.bytes_of(spark, df.inputFiles()) == size
+    monkeypatch.setattr(io, "INPUT_SHARE", 1000)
+    seen = []
+    noted = io.dealt_by_size
+
+    @contextlib.contextmanager
+    def note(rows):
+        with noted(rows):
+            seen.append((int(spark.conf.get(parts)), int(spark.conf.get(share))))
+            yield
+
+    monkeypatch.setattr(io, "dealt_by_size", note)
+    lake = flows.Lake(spark, storage.scratch_path(spark, "shares"))
+    lake.write_layer(df, "by_share")
+    assert lake.read("by_share").count() == 20000
+    assert seen == [(-(-size // 1000), io.SHUFFLE_SHARE)] and seen[0][0] > int(first[0])
+    with pytest.raises(ZeroDivisionError), noted(spark.range(3)):
+        assert spark.conf.get(parts) == first[0]  # no files: as many as the session has
+        1 / 0
+    assert (spark.conf.get(parts), spark.conf.get(share)) == first
