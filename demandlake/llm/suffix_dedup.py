@@ -18,7 +18,8 @@ also starts in a document with a smaller doc_id.
    smallest doc_id of a run decides.
 4. A part that is too large for a task is split into several shards; each
    sends its sorted distinct strings, and a merge looks up every shard's
-   strings in the union by binary search.
+   strings in the union by binary search.  What a shard finds leaves it array
+   by array and is shuffled, not written, so no task holds a part's strings.
 
 Contexts count as equal when a 64-bit hash of them and 32 or more bits of
 their gram's are.  A gram with many contexts in one batch of documents is not
@@ -36,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -58,11 +60,14 @@ SHARD_CONTEXTS = 30_000
 #: among them beyond which they are compared without asking its part.
 HOLD = 1 << 18
 GRAM_CONTEXTS = 8
-#: Contexts that a task cuts out at once.
+#: Contexts that a task cuts out at once, and that it gathers before it deals them.
 CONTEXT_BATCH = 10_000
+CONTEXT_HOLD = 30_000
 #: Contexts of one suffix array, but for one gram's.
 ARRAY_CONTEXTS = 4_000
+#: Buckets of a split part's strings: so many at least, and so many a shard.
 MERGE_BUCKETS = 64
+SHARD_BUCKETS = 8
 
 
 def _row_hash(rows: np.ndarray) -> np.ndarray:
@@ -257,14 +262,25 @@ def _by_document(pdf: pd.DataFrame) -> pd.DataFrame:
 def _contexts(parts: int):
     """Texts and their anchors to compare -> contexts by part of their gram."""
 
+    def deal(held):
+        whole, own, pos = [np.concatenate(x) for x in zip(*held, strict=True)]
+        part = (_row_hash(whole[:, REACH : REACH + GRAM]) >> T.U(32)) % T.U(parts)
+        out = []
+        for q, w, d, x in _by_key(part.astype(np.int32), whole, own, pos):
+            for k in range(0, len(w), ARRAY_CONTEXTS):  # rows are what shards are dealt by
+                few = slice(k, k + ARRAY_CONTEXTS)
+                out.append((q, w[few].tobytes(), d[few].tobytes(), x[few].tobytes(), None))
+        return _rows(out)
+
     def run(batches):
+        held, n = [], 0
+        column = np.arange(WIDTH, dtype=np.uint8)
         for rows, data, off in T.chunks(batches, limit=CHUNK):
             ids = rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             blobs = rows.column("compare").to_pylist()
             pos = np.frombuffer(b"".join(blobs), np.int32).astype(np.int64)
             doc = np.repeat(np.arange(len(blobs)), [len(x) // 4 for x in blobs])
             padded = np.r_[np.zeros(REACH, np.uint8), data, np.zeros(LENGTH, np.uint8)]
-            column = np.arange(WIDTH, dtype=np.uint8)
             for k in range(0, len(pos), CONTEXT_BATCH):
                 own, p = doc[k : k + CONTEXT_BATCH], pos[k : k + CONTEXT_BATCH]
                 at = off[own] + p
@@ -272,9 +288,13 @@ def _contexts(parts: int):
                 left, right = (at - lo).astype(np.uint8), (hi - at).astype(np.uint8)
                 ctx = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[at]
                 ctx[(column < (REACH - left)[:, None]) | (column >= (REACH + right)[:, None])] = 0  # other texts
-                whole = np.ascontiguousarray(np.column_stack([ctx, left, right]))
-                part = (_row_hash(whole[:, REACH : REACH + GRAM]) >> T.U(32)) % T.U(parts)
-                yield _rows([(q, w.tobytes(), ids[d].tobytes(), x.astype(np.int32).tobytes(), None) for q, w, d, x in _by_key(part.astype(np.int32), whole, own, p)])
+                held.append((np.ascontiguousarray(np.column_stack([ctx, left, right])), ids[own], p.astype(np.int32)))
+                n += len(p)
+                if n >= CONTEXT_HOLD:
+                    yield deal(held)
+                    held, n = [], 0
+        if held:
+            yield deal(held)
 
     return run
 
@@ -347,25 +367,30 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, width: int, cap: int = LEN
 
 
 _MASKS = "doc_id long, a binary, b binary"
-_SHARD = "kind int, doc_id long, a binary, b binary, c binary, d binary"
-
-
-def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One task: (kind 0) the repeated strings per document; (kind 1, if its
-    part is split) its distinct strings with smallest document.  Contexts of
-    one gram meet in one array; the arrays are kept small, for memory."""
-    whole = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["a"]]).reshape(-1, WIDTH + 2)
-    own = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["b"]])
-    pos = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["c"]]).astype(np.int64)
-    base = int(pdf["part"].iloc[0]) * MERGE_BUCKETS if int(pdf["shards"].iloc[0]) > 1 else None
+_SHARD = "bucket long, doc_id long, a binary, b binary, c binary, d binary"
+
+
+def _shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One task: (bucket below 0) the repeated strings per document; (others,
+    if its part is split) its distinct strings with smallest document.
+    Contexts of one gram meet in one array; the arrays are kept small, and
+    each one's rows are sent before the next is built, for memory."""
+    rows = pd.concat(list(batches))
+    whole = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["a"]]).reshape(-1, WIDTH + 2)
+    own = np.concatenate([np.frombuffer(x, np.int64) for x in rows["b"]])
+    pos = np.concatenate([np.frombuffer(x, np.int32) for x in rows["c"]]).astype(np.int64)
+    part, shard, shards = [int(rows[c].iloc[0]) for c in ("part", "shard", "shards")]
+    del rows
+    buckets = max(MERGE_BUCKETS, SHARD_BUCKETS * shards) if shards > 1 else 0
     h = _row_hash(whole[:, REACH : REACH + GRAM])
-    out = []
     for _, idx in _by_key((h % T.U(max(1, len(whole) // ARRAY_CONTEXTS))).astype(np.int64), np.arange(len(whole))):
-        out += _array(whole[idx], own[idx], pos[idx], base)
-    return pd.DataFrame(out, columns=["kind", "doc_id", "a", "b", "c", "d"])
+        out = [(-1 - (part << 32 | shard) if k < 0 else part << 32 | k, *x) for k, *x in _array(whole[idx], own[idx], pos[idx], buckets)]
+        yield pd.DataFrame(out, columns=["bucket", "doc_id", "a", "b", "c", "d"])
 
 
-def _array(whole: np.ndarray, own: np.ndarray, pos: np.ndarray, base: int | None) -> list[tuple]:
+def _array(whole: np.ndarray, own: np.ndarray, pos: np.ndarray, buckets: int) -> list[tuple]:
+    """Of one suffix array: (-1, the repeated strings of a document) and, by
+    bucket if there are ``buckets``, (bucket, the distinct strings)."""
     mask = _valid(whole[:, WIDTH], whole[:, WIDTH + 1])
     text = np.ascontiguousarray(whole[:, :WIDTH]).ravel()
     sa = suffix_array(text)
@@ -382,19 +407,31 @@ def _array(whole: np.ndarray, own: np.ndarray, pos: np.ndarray, base: int | None
     dup = own[row] > least
     np.bitwise_or.at(bits, row[dup], np.uint32(1) << col[dup].astype(np.uint32))
     some = np.flatnonzero(bits)
-    out = [(0, d, p.tobytes(), m.tobytes(), None, None) for d, p, m in _by_key(own[some], pos[some], bits[some])]
-    if base is not None:  # in suffix order, so every bucket's strings are sorted
+    out = [(-1, d, p.tobytes(), m.tobytes(), None, None) for d, p, m in _by_key(own[some], pos[some], bits[some])]
+    if buckets:  # in suffix order, so every bucket's strings are sorted
         mine = np.flatnonzero(~dup)
         flat = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[place[mine]]
         h = _row_hash(flat)
-        for k, s, d, p, c in _by_key((h % T.U(MERGE_BUCKETS)).astype(np.int64), flat, own[row[mine]], pos[row[mine]], col[mine]):
-            out.append((1, base + k, s.tobytes(), d.tobytes(), p.tobytes(), c.astype(np.int64).tobytes()))
+        for k, s, d, p, c in _by_key((h % T.U(buckets)).astype(np.int64), flat, own[row[mine]], pos[row[mine]], col[mine]):
+            out.append((k, 0, s.tobytes(), d.tobytes(), p.tobytes(), c.astype(np.int64).tobytes()))
     return out
 
 
-def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sorted strings of several shards: each is looked up in the union by
-    binary search; a smaller document in another shard marks it repeated."""
+    binary search; a smaller document in another shard marks it repeated.
+    What a shard found by itself goes on as it is."""
+    held = []
+    for pdf in batches:
+        if pdf["bucket"].iloc[0] < 0:  # as all of its group
+            yield pdf[["doc_id", "a", "b"]]
+        else:
+            held.append(pdf)
+    if held:
+        yield _looked_up(pd.concat(held))
+
+
+def _looked_up(pdf: pd.DataFrame) -> pd.DataFrame:
     runs = [(np.frombuffer(r.a, f"S{LENGTH}"), np.frombuffer(r.b, np.int64), np.frombuffer(r.c, np.int64), np.frombuffer(r.d, np.int64)) for r in pdf.itertuples()]
     # one document may hold a string several times
     distinct = [s[np.r_[True, s[1:] != s[:-1]]] for s, *_ in runs]
@@ -467,18 +504,15 @@ def dedup(docs: DataFrame, part_bytes: int = PART_BYTES, shard_contexts: int = S
     found = keep(found.join(copies.select("doc_id"), "doc_id", "left_anti"), "sa-found")
     open_ = keep(found.where("length(compare) > 0").select("doc_id", "compare"), "sa-open")
     n_open = open_.agg(F.sum(F.length("compare"))).first()[0] or 0
-    shards = max(1, math.ceil(n_open / 4 / shard_contexts))
+    shards = max(1, math.ceil(n_open / 2 / shard_contexts))  # half a shard each: few are split, but those of frequent grams
     ctx = keep(_only(texts, open_, "sa-open-ids").select("doc_id", "text").join(open_, "doc_id").mapInArrow(_contexts(shards), _BLOBS), "sa-contexts")
     weight = ctx.groupBy("part").agg(F.ceil(F.sum(F.length("b")) / (8 * shard_contexts)).alias("shards"))
     dealt = ctx.join(weight, "part").withColumn("shard", F.pmod(F.xxhash64("b"), F.col("shards")))
-    shards = keep(dealt.groupBy("part", "shard").applyInPandas(_shard, _SHARD), "sa-shards")
-    forget(ctx, open_)
-    merged = shards.where("kind = 1").groupBy("doc_id").applyInPandas(_merge, _MASKS)
-    masks = shards.where("kind = 0").select("doc_id", "a", "b").unionByName(merged)
+    masks = dealt.groupBy("part", "shard").applyInPandas(_shard, _SHARD).groupBy("bucket").applyInPandas(_merge, _MASKS)
     masks = masks.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("strings"))
     gone = found.select("doc_id", "again").join(masks, "doc_id", "full").where("length(again) > 0 OR strings IS NOT NULL")
     gone = keep(gone, "sa-gone")
-    forget(found, shards)
+    forget(found, ctx, open_)
     cut = _only(texts, gone, "sa-gone-ids").join(gone, "doc_id").mapInArrow(_cut, "doc_id long, digest string, gone long, spans long, rest string")
     cut = cut.dropDuplicates(["doc_id", "digest"])
     whole = copies.join(named.select("doc_id", "digest", "n_bytes").distinct(), ["doc_id", "digest"])

@@ -44,7 +44,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(name: str, base: int, n: int) -> np.ndarray:
     have = _POWERS.get(name)
     if have is None or len(have) < n:
-        size = max(n, CHUNK_BYTES + 4096)
+        size = next(s for s in (CHUNK_BYTES // 4, CHUNK_BYTES + 4096, n) if s >= n)
         out = np.full(size, U(base), np.uint64)
         out[0] = U(1)
         out = np.multiply.accumulate(out)

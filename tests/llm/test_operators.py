@@ -11,6 +11,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -342,6 +343,49 @@ def test_op4_grams_with_many_contexts_in_a_batch(docs, rows):
     assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == removed_by_hand(rows)
 
 
+def test_op4_a_shard_sends_its_strings_array_by_array(monkeypatch):
+    """No task holds all strings of a split part, in Python or as one Arrow batch."""
+    monkeypatch.setattr(suffix_dedup, "ARRAY_CONTEXTS", 20)
+    rng, n = np.random.default_rng(1), 400
+    whole = rng.integers(97, 123, (n, suffix_dedup.WIDTH + 2)).astype(np.uint8)
+    whole[:, suffix_dedup.WIDTH :] = suffix_dedup.REACH, suffix_dedup.LENGTH
+    whole[1::2] = whole[::2]  # of two documents each
+    part = pd.DataFrame({"part": 3, "a": [whole[:150].tobytes(), whole[150:].tobytes()], "shard": 1, "shards": 2})
+    part["b"] = [np.arange(150).tobytes(), np.arange(150, n).tobytes()]
+    part["c"] = [np.full(150, 26, np.int32).tobytes(), np.full(n - 150, 26, np.int32).tobytes()]
+    sent = list(suffix_dedup._shard(iter([part[:1], part[1:]])))
+    assert len(sent) >= 15
+    assert max(len(b"".join(f["a"])) for f in sent) < n // 2 * 27 * suffix_dedup.LENGTH / 4
+    rows = pd.concat(sent)
+    again, strings = rows[rows["bucket"] < 0], rows[rows["bucket"] >= 0]
+    assert sorted(again["doc_id"]) == list(range(1, n, 2)) and set(strings["bucket"] // 2**32) == {3}
+    assert sum(map(len, strings["a"])) == n // 2 * 27 * suffix_dedup.LENGTH
+
+
+def test_op4_merge_passes_a_shards_own_and_looks_up_the_others():
+    def strings(bucket, doc, *texts):
+        k = len(texts)
+        return (bucket, 0, b"".join(texts), np.full(k, doc).tobytes(), np.full(k, 40).tobytes(), np.arange(k).tobytes())
+
+    x, y, z = (c * suffix_dedup.LENGTH for c in (b"x", b"y", b"z"))
+    columns = ["bucket", "doc_id", "a", "b", "c", "d"]
+    own = pd.DataFrame([(-5, 2**60 + 1, b"p", b"m", None, None)], columns=columns)
+    (got,) = suffix_dedup._merge(iter([own]))
+    assert got.values.tolist() == [[2**60 + 1, b"p", b"m"]]
+    (got,) = suffix_dedup._merge(iter([pd.DataFrame([strings(4, 9, x, z)], columns=columns), pd.DataFrame([strings(4, 7, y, z)], columns=columns)]))
+    assert got.values.tolist() == [[9, np.array([40]).tobytes(), np.array([2], np.uint32).tobytes()]]
+
+
+def test_small_texts_need_small_hash_tables():
+    """Workers live on, so what a table takes stays taken."""
+    textops._POWERS.clear()
+    pre = textops.prefix_hash(np.zeros(1000, np.uint8))
+    first = textops.span_hash(pre, np.array([3]), np.array([90]))
+    assert sum(x.nbytes for x in textops._POWERS.values()) <= 8 << 20
+    textops.prefix_hash(np.zeros(textops.CHUNK_BYTES, np.uint8))
+    assert (textops.span_hash(pre, np.array([3]), np.array([90])) == first).all()
+
+
 def test_op4_suffix_array_and_prefixes():
     rng = np.random.default_rng(0)
     for n in (76, 152, 760):
