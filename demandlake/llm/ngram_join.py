@@ -365,7 +365,8 @@ class _Join:
         words = np.zeros(FILTER_BITS // 64, np.int64)
         words[got["at"].to_numpy(np.int64)] = got["w"].to_numpy(np.int64)
         sets = self.texts.select("text", "th").mapInArrow(_sets(words), "n long, d1 long, d2 long, tokens array<long>")
-        return keep(sets.join(cls.drop("th"), ["n", "d1", "d2"]).dropDuplicates(["cid"]).select("cid", "n", "tokens"), "sets")
+        key = ["n", "d1", "d2"]  # of the join and of the copies, so that whole sets are shuffled once
+        return keep(sets.join(cls.drop("th"), key).dropDuplicates(key).select("cid", "n", "tokens"), "sets")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets are similar enough."""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import demandlake
@@ -21,6 +22,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: File names that are sent to the rows; more of them are joined.
 SENT_FILES = 50_000
 
+#: Bytes of an Arrow batch that a task sends to Python.
+BATCH_BYTES = 4 << 20
+
 _SHIPPED: set[str] = set()
 
 
@@ -44,12 +48,32 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def frugal(spark: SparkSession) -> Iterator[None]:
+    """While a table is written: Arrow batches of BATCH_BYTES at most, so that
+    rows on their way to Python take little memory however long the texts are
+    (by default a batch is 10,000 of them, or 64 MB), and shuffle files that go
+    with the write instead of staying until the driver collects its garbage.
+    Smaller batches that the session asks for stay."""
+    size, gone = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    first = {c: spark.conf.get(c) for c in (size, gone)}
+    as_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    spark.conf.set(size, str(min(as_bytes(first[size]), BATCH_BYTES)))
+    spark.conf.set(gone, "true")
+    try:
+        yield
+    finally:
+        for c, v in first.items():
+            spark.conf.set(c, v)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives
     a lost executor, and later scans read only the columns they need."""
     ship(df.sparkSession)
     path = storage.scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    with frugal(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
