@@ -8,7 +8,7 @@ for l matches before a pair is verified; both costs are estimated from the
 lengths of the set's own index lists.  A pair is a candidate if it shares
 ``min(l_x, l_y)`` tokens that belong to both prefixes of that level.
 
-The order puts common tokens last: tokens that texts of a chunk share are
+The order puts common tokens last: tokens that texts read together share are
 counted over the whole corpus, and a table of ``CELLS`` cells holds the
 largest count class of the tokens that fall into each; equal classes go by
 hash.  Any order gives the same result; this one keeps a passage that many
@@ -45,7 +45,9 @@ MAX_LEVEL = 16
 CELLS = 1 << 21
 CENTRES = 2
 ROUNDS = 2
-CHUNK = 2 << 20
+#: Bytes of text handled at once, and over which the survey counts shared tokens.
+CHUNK = 512 << 10
+SURVEY = 2 << 20
 #: Tokens of the queries of one block, and of the sets of one shard that it meets.
 BLOCK_TOKENS = 1 << 17
 SHARD_TOKENS = 1 << 18
@@ -80,22 +82,31 @@ def shingles(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _survey(batches):
     """Two kinds of rows: a text's set size and digest (token null), and the
-    tokens that several texts of a chunk share, with their number of texts."""
+    tokens that several texts of SURVEY bytes share, with their number of texts."""
+    held, size = [], 0
     for rows, data, off in T.chunks(batches, limit=CHUNK):
         h, soff = shingles(data, off)
         d1, d2 = _digests(h, soff)
-        h.sort()
-        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][: len(h)])
-        n = np.diff(np.r_[first, len(h)])
-        many = n > 1
-        ids, none = rows.column("doc_id"), np.ones(int(many.sum()), bool)
+        ids = rows.column("doc_id")
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array(np.diff(soff).astype(np.int64)), pa.array(d1), pa.array(d2), rows.column("th"), pa.nulls(len(ids), pa.int64())], _SURVEY
         )
-        zero = pa.array(np.zeros(len(none), np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(none), ids.type), pa.array(n[many].astype(np.int64)), zero, zero, zero, pa.array(h[first][many].view(np.int64))], _SURVEY
-        )
+        held.append(h)
+        size += len(data)
+        if size >= SURVEY:
+            yield _often(held, ids.type)
+            held, size = [], 0
+    if held:
+        yield _often(held, ids.type)
+
+
+def _often(held: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+    h = np.sort(np.concatenate(held))
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][: len(h)])
+    n = np.diff(np.r_[first, len(h)])
+    many = n > 1
+    zero = pa.array(np.zeros(int(many.sum()), np.int64))
+    return pa.RecordBatch.from_arrays([pa.nulls(len(zero), kind), pa.array(n[many].astype(np.int64)), zero, zero, zero, pa.array(h[first][many].view(np.int64))], _SURVEY)
 
 
 _SURVEY = ["doc_id", "n", "d1", "d2", "th", "token"]

@@ -36,11 +36,13 @@ CAPACITY = 2048
 PER_SOURCE = 2
 SHARD_PIECES = 8192
 SEED = 11
+#: Bytes of text handled at once.
+CHUNK = 512 << 10
 
 
 def _measure(batches):
     """(words, 64-bit cluster) of each text."""
-    for rows, data, off in T.chunks(batches):
+    for rows, data, off in T.chunks(batches, limit=CHUNK):
         data = T.LOWER[data]
         start, end, woff = T.words(data, off)
         wh = T.span_hash(T.prefix_hash(data), start, end)

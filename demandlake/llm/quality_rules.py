@@ -48,6 +48,8 @@ MAX_GOOD_LOST = 0.002
 #: Labelled rows are counted by cells of the score; 2^SCORE_BITS a class come to the driver at most.
 SCORE_BITS = 16
 SEED = 7
+#: Bytes of text handled at once.
+CHUNK = 512 << 10
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -102,7 +104,7 @@ def count_rules(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _count_batches(batches):
-    for rows, data, off in T.chunks(batches):
+    for rows, data, off in T.chunks(batches, limit=CHUNK):
         got = count_rules(data, off)
         yield pa.RecordBatch.from_arrays([rows.column("key"), *[pa.array(got[c], pa.int64()) for c in COUNTS + MORE]], ["key", *COUNTS, *MORE])
 
@@ -326,8 +328,14 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches):
         judged = _verdict(shared.value)
-        for rows, data, off in T.chunks((b.rename_columns([f"c{i}" for i in range(len(names))]) for b in batches), f"c{text}"):
-            kept = judged(pd.DataFrame(count_rules(data, off)))["kept"].to_numpy()
-            yield rows.filter(pa.array(kept)).rename_columns(names)
+        for b in batches:
+            parts = [(rows, count_rules(data, off)) for rows, data, off in T.chunks([b.rename_columns([f"c{i}" for i in range(len(names))])], f"c{text}", CHUNK)]
+            if not parts:
+                continue
+            kept = judged(pd.DataFrame({c: np.concatenate([got[c] for _, got in parts]) for c in COUNTS + MORE}))["kept"].to_numpy()
+            at = 0
+            for rows, _ in parts:
+                yield rows.filter(pa.array(kept[at : at + rows.num_rows])).rename_columns(names)
+                at += rows.num_rows
 
     return docs.mapInArrow(run, docs.schema)

@@ -3,10 +3,11 @@
 import os
 import time
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from demandlake.llm import ngram_join, tables
+from demandlake.llm import ngram_join, packing, quality_rules, tables
 
 
 def test_scratch_writes_send_small_batches_and_restore_settings(spark):
@@ -69,3 +70,38 @@ def test_op1_whole_sets_are_shuffled_once(spark, monkeypatch):
     assert plans[0].count("Exchange hashpartitioning") == 2  # the sets once, the wanted classes once
     assert [r["cid"] for r in got] == sorted(r["cid"] for r in join.classes.collect()) and len(got) == 20
     assert all(r["n"] == 8 == len(set(r["tokens"])) for r in got)
+
+
+def _texts(n=400, words=1000):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, words))) + " the same five words end all" for _ in range(n)]
+    ids = pa.array(range(n), pa.int64())
+    return pa.RecordBatch.from_arrays([ids, pa.array(texts), ids], ["doc_id", "text", "th"])
+
+
+def test_text_work_is_done_in_small_pieces(monkeypatch):
+    batch, seen = _texts(), []
+    assert batch.column("text").nbytes > 2 << 20
+    for module, name in ((ngram_join, "shingles"), (quality_rules, "count_rules"), (packing.T, "words")):
+        f = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda data, *a, f=f: (seen.append(len(data)), f(data, *a))[1])
+    renamed = batch.rename_columns(["key", "text", "th"])
+    for made in (ngram_join._survey([batch]), quality_rules._count_batches([renamed]), packing._measure([batch.rename_columns(["row", "text", "th"])])):
+        seen.clear()
+        list(made)
+        assert seen and max(seen) <= 512 << 10
+
+
+def test_op1_survey_counts_tokens_over_pieces(monkeypatch):
+    batch = _texts()
+
+    def shared():
+        got = pa.Table.from_batches(list(ngram_join._survey([batch]))).to_pandas()
+        often = got[got["token"].notna()].groupby("token")["n"].sum()
+        return got["token"].isna().sum(), sorted(zip(often.index, often, strict=True))
+
+    monkeypatch.setattr(ngram_join, "SURVEY", 64 << 20)
+    want = shared()
+    assert want[0] == 400 and 400 in [n for _, n in want[1]]
+    monkeypatch.setattr(ngram_join, "CHUNK", 20_000)
+    assert shared() == want
