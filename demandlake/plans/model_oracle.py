@@ -8,7 +8,7 @@ from demandlake import config
 from demandlake.operators import forest
 from demandlake.plans import oracle as O
 from demandlake.plans import params as P
-from demandlake.plans.model_catalog import FOREST
+from demandlake.plans.model_catalog import CHALLENGER, FOREST
 
 BINS = forest.Settings().max_bins
 
@@ -152,7 +152,7 @@ def _oracles() -> dict[str, str]:
     q["ols_coefficients"] = _with([*TRAIN, *ols], f"SELECT c.term, c.coefficient FROM (SELECT unnest([{terms}]) AS c FROM coef)")
     base = _metrics(config.BASELINE, f"SELECT sales, {_ols_score()} AS p FROM test_m, coef")
     q["holdout_metrics"] = _with([*TRAIN, TEST, *ols], base)
-    q["forest_nodes"] = _with([*TRAIN, *grown], "SELECT * FROM f_nodes")
+    q["forest_nodes"] = _with([*TRAIN, *forest_ctes(**CHALLENGER)], "SELECT * FROM f_nodes")
     q["stump_means"] = _with(TRAIN, "SELECT CAST(is_promo AS INTEGER) AS is_promo, count(*) AS n_rows, round(avg(sales), 6) AS mean_sales FROM train_m GROUP BY is_promo")
     challenger = _metrics(config.CHALLENGER, "SELECT sales, p FROM w_score")
     q["forest_holdout_metrics"] = _with([*TRAIN, TEST, *grown, *walk_ctes("test_m", "sales")], challenger)

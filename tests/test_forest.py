@@ -3,11 +3,13 @@ loaded, and at its edges."""
 
 import math
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from demandlake.operators import forest, models
 from demandlake.sources import storage
 
@@ -207,3 +209,20 @@ def test_a_value_that_is_not_a_number_goes_left(spark):
     df = spark.createDataFrame([(None,), (float("nan"),), (1.9,), (2.0,), (float("inf"),)], "x double")
     got = forest.Forest(table, ["x"]).transform(df)
     assert [r["prediction"] for r in got.collect()] == [-1.0, -1.0, -1.0, 1.0, 1.0]
+
+
+def test_forest_nodes_is_the_whole_challenger(spark, tmp_path):
+    """100 trees of depth 10, node for node what its SQL fits on rows of its own."""
+    con = duckdb.connect()
+    line = """SELECT i AS l_orderkey, i % 12 AS l_partkey, i % 12 AS l_suppkey, CAST(1 + i % 2 AS INTEGER) AS l_linenumber,
+        CAST(1 + hash(i) % 50 AS DOUBLE) AS l_quantity, hash(i * 7) % 11 / 100 AS l_discount, 'N' AS l_returnflag,
+        TIMESTAMP '2000-01-01' + to_days(CAST(i // 12 AS INTEGER)) AS l_shipdate FROM range(3600) r(i)"""
+    for name, sql in {
+        "lineitem": line, "orders": "SELECT i AS o_orderkey, TIMESTAMP '1999-01-01' AS o_orderdate FROM range(3600) r(i)",
+        "supplier": "SELECT i AS s_suppkey FROM range(12) r(i)", "part": "SELECT i AS p_partkey, 'type' || i AS p_type FROM range(12) r(i)",
+    }.items():
+        con.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    got = queries()["forest_nodes"](spark, str(tmp_path)).orderBy("tree", "node").collect()
+    assert {r["tree"] for r in got} == set(range(100)) and max(r["node"] for r in got) >= 1 << 10  # before: 6 trees, nodes up to 15
+    assert [tuple(r) for r in got] == con.execute(f"SELECT * FROM ({oracle_sql()['forest_nodes']}) ORDER BY tree, node").fetchall()
