@@ -357,11 +357,12 @@ def grow(rows: DataFrame, features: Sequence[str], label: str, key: Sequence[str
                 size += len(active[todo[0]]) * width
                 group.append(todo.pop(0))
             part = _sums({t: trees[t] for t in group}, {t: active[t] for t in group}, level, len(features), settings.max_bins, settings.bootstrap)
-            sums = binned.mapInArrow(part, "tree int, node long, sums binary")
-            best = sums.repartition("tree", "node").sortWithinPartitions("tree", "node").mapInArrow(
-                _reduce(len(features), settings.max_bins), "tree int, node long, w double, s double, f int, b int, lw double, ls double"
-            )
-            cut_rows += best.collect()
+            with io.shuffles_go(spark):
+                sums = binned.mapInArrow(part, "tree int, node long, sums binary")
+                best = sums.repartition("tree", "node").sortWithinPartitions("tree", "node").mapInArrow(
+                    _reduce(len(features), settings.max_bins), "tree int, node long, w double, s double, f int, b int, lw double, ls double"
+                )
+                cut_rows += best.collect()
         opened: dict[int, list[int]] = {t: [] for t in trees}
         for r in sorted(cut_rows, key=lambda r: (r["tree"], r["node"])):
             t, n = r["tree"], r["node"]

@@ -75,6 +75,19 @@ def dealt_by_size(df: DataFrame) -> Iterator[None]:
             spark.conf.set(c, v)
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """What is made and collected here takes its shuffle files with it, which
+    would stay until the driver collects its garbage."""
+    gone = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    first = spark.conf.get(gone)
+    spark.conf.set(gone, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(gone, first)
+
+
 def write_table(
     df: DataFrame,
     path: str,
